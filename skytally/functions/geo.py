@@ -97,14 +97,15 @@ def assign_nearest(
     row, column = F.floor(latitude / GRID_DEGREES), F.floor(longitude / GRID_DEGREES)
     cell = row * GRID_COLUMNS + F.pmod(column, F.lit(GRID_COLUMNS))
 
-    def in_reach(point: Column) -> Column:
+    def distance(point: Column) -> Column:
         km = haversine_km(latitude, longitude, point["lat"], point["lon"])
-        return F.when(km <= max_km, F.struct(km.alias("km"), point["ord"].alias("ord"), point["code"].alias("code")))
+        return F.struct(km.alias("km"), point["ord"].alias("ord"), point["code"].alias("code"))
 
-    best = F.array_min(F.transform("__candidates", in_reach))
+    nearest = F.array_min(F.transform("__candidates", distance))
+    found = df.withColumn("__cell", cell).join(grid, "__cell", "left").withColumn("__best", nearest)
+    best, reached = F.col("__best"), F.col("__best.km") <= max_km
     placed = latitude.isNotNull() & longitude.isNotNull()
-    found = df.withColumn("__cell", cell).join(grid, "__cell", "left").withColumn("__best", best)
-    added = {out: F.when(placed, F.coalesce(F.col("__best.code"), F.lit(other)))}
+    added = {out: F.when(placed, F.when(reached, best["code"]).otherwise(other))}
     if km_out:
-        added[km_out] = F.col("__best.km")
+        added[km_out] = F.when(reached, best["km"])
     return found.withColumns(added).drop("__cell", "__candidates", "__best")

@@ -9,16 +9,16 @@ from skytally.constants import FEET_PER_METRE, KNOTS_PER_METRE_SECOND
 
 
 def nan_to_null(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
+    return F.nanvl(col, F.lit(None).cast("double"))
 
 
 def to_double(text: Column) -> Column:
     """Text to double, NULL when it is not a number.
 
-    Java also accepts a trailing type letter ("3d", "2.5f"); that is not a number here.
+    Java also reads a trailing type letter ("3d", "2.5f") as part of a number; masking these
+    letters turns such a text, and infinity, into something that is not one.
     """
-    typed = F.upper(F.right(F.rtrim(text), F.lit(1))).isin("D", "F")
-    return nan_to_null(F.when(~typed, text).try_cast("double"))
+    return nan_to_null(F.translate(text, "dDfF", "____").try_cast("double"))
 
 
 def to_exact_decimal(col: Column) -> Column:

@@ -11,21 +11,17 @@ from skytally.constants import AIRLINE_BY_PREFIX, AIRLINE_OTHER, AIRLINE_UNKNOWN
 _WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def literal_map(entries: dict) -> Column:
-    """A constant map; Catalyst folds it to one literal."""
-    cells = []
-    for key, value in entries.items():
-        cells.append(F.lit(key))
-        cells.append(F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value))
-    return F.create_map(*cells)
+def _sql(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"array({', '.join(map(_sql, value))})" if isinstance(value, list) else str(value)
 
 
 def lookup(entries: dict, key: Column, default: object = None) -> Column:
-    """Left join against a small constant dimension, as an expression."""
-    found = F.try_element_at(literal_map(entries), key)
-    if default is None:
-        return found
-    return F.coalesce(found, F.array(*map(F.lit, default)) if isinstance(default, list) else F.lit(default))
+    """Left join against a small constant dimension, as an expression over one literal map."""
+    cells = ", ".join(_sql(cell) for entry in entries.items() for cell in entry)
+    found = F.try_element_at(F.expr(f"map({cells})"), key)
+    return found if default is None else F.coalesce(found, F.expr(_sql(default)))
 
 
 def strip(col: Column) -> Column:
