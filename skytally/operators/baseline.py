@@ -23,13 +23,14 @@ def number_series(traffic: DataFrame) -> DataFrame:
     """
     chunk = F.floor(F.unix_seconds("bucket_sk") / CHUNK_SECONDS)
     packed = (
-        traffic.filter(F.col("region").isNotNull())
-        .withColumn("chunk", chunk)
+        traffic.withColumn("chunk", chunk)
+        .filter(F.col("region").isNotNull() & F.col("chunk").isNotNull())
         .groupBy("region", "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("bucket_sk", "aircraft_count"))).alias("points"))
     )
     before = Window.partitionBy("region").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per region and week; shares the shuffle below ``packed``.
+    # One row per region and week. Both sides of the join below read the same shuffle of
+    # ``packed``: the filter above states what the join would otherwise add to one side only.
     offsets = packed.select("region", "chunk", F.size("points").alias("n")).select(
         "region", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
     )

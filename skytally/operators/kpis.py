@@ -116,10 +116,16 @@ def altitude_bands(states: DataFrame) -> DataFrame:
 
 def event_counts(events: DataFrame, since: Column, n: int = 5) -> DataFrame:
     """Events since a cutoff: the ``n`` busiest regions, each next to the overall total."""
-    recent = events.filter(F.col("event_timestamp") >= since)
-    by_region = count_by(recent, "nearest_region", "events")
-    total = recent.agg(F.count("*")).scalar()
-    return by_region.orderBy(F.desc("events"), "nearest_region").limit(n).withColumn("total_events", total)
+    everything = Window.partitionBy(F.lit(0))  # over one row per region
+    return (
+        events.filter(F.col("event_timestamp") >= since)
+        .groupBy("nearest_region")
+        .agg(F.count("*").alias("events"))
+        .withColumn("total_events", F.sum("events").over(everything))
+        .filter(F.col("nearest_region").isNotNull())
+        .orderBy(F.desc("events"), "nearest_region")
+        .limit(n)
+    )
 
 
 def detour_cost(

@@ -113,7 +113,7 @@ def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-separated lines of 61 fields, as an export file holds them."""
     raw = raw_events(spark, sf_dir)
     cells = [F.coalesce(c, F.lit("")) if c in raw.columns else F.lit("") for c in EXPORT_COLUMNS]
-    return raw.select("event_id", F.concat_ws("\t", *cells).alias("line"))
+    return raw.select(F.concat_ws("\t", *cells).alias("line"))
 
 
 def conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:

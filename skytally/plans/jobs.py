@@ -95,22 +95,28 @@ def _serve_new_batches(
 
 
 def run_pipeline(
-    spark: SparkSession, landing: str, lake: str, now: str, bucket_minutes: int = BUCKET_MINUTES
+    spark: SparkSession,
+    landing: str,
+    lake: str,
+    now: str,
+    bucket_minutes: int = BUCKET_MINUTES,
+    max_files: int | None = None,
 ) -> dict:
     """Drain everything that has arrived, layer by layer; safe to run again at any time.
 
     ``landing/polls`` holds poll responses and ``landing/exports`` zipped event exports; either
     may be missing, and is then absent from the summary. ``now`` is only noted in the manifest.
+    ``max_files`` splits a backlog into micro-batches of that many files.
     """
     summary: dict = {}
     marks = f"{lake}/checkpoints"
     if _has_files(spark, f"{landing}/polls"):
         bronze, silver, gold = f"{lake}/bronze/states", f"{lake}/silver/states", f"{lake}/gold"
-        polls = stream_polls(spark, f"{landing}/polls")
+        polls = stream_polls(spark, f"{landing}/polls", max_files)
         summary["polls"] = ingest.drain(ingest.polls_to_bronze(polls, bronze, f"{marks}/bronze"))
-        records = stream_records(spark, bronze)
+        records = stream_records(spark, bronze, max_files)
         summary["records"] = ingest.drain(ingest.records_to_silver(records, silver, f"{marks}/silver"))
-        states = ingest.stream_silver_states(spark, silver)
+        states = ingest.stream_silver_states(spark, silver, max_files)
         summary["states"] = ingest.drain(
             gold_stream.silver_to_gold(states, silver, gold, f"{marks}/gold", bucket_minutes)
         )
@@ -118,7 +124,7 @@ def run_pipeline(
         summary.update(_serve_new_batches(spark, "traffic", log, KEYS, ["batch_id"], lake, now))
     if _has_files(spark, f"{landing}/exports"):
         silver = f"{lake}/silver/events"
-        exports = stream_exports(spark, f"{landing}/exports")
+        exports = stream_exports(spark, f"{landing}/exports", max_files)
         summary["event_rows"] = ingest.drain(ingest.exports_to_silver(exports, silver, f"{marks}/events"))
         log = ingest.read_silver_events(spark, silver)
         order = ["source_file", "batch_id"]

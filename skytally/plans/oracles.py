@@ -233,6 +233,15 @@ def _correlation(directions: str, minutes: int) -> str:
     """
 
 
+def _detour(rate: int) -> str:
+    affected = ", ".join(map(_literal, AFFECTED_AIRLINES))
+    return f"""
+    SELECT n AS affected_flights, CAST(round_even(n * 0.75 * {rate}, 0) AS BIGINT) AS low_usd,
+      CAST(round_even(n * 2.0 * {rate}, 0) AS BIGINT) AS high_usd, {rate} AS per_hour_usd
+    FROM (SELECT count(*) AS n FROM silver_v WHERE airline IN ({affected}))
+    """
+
+
 _CHECKPOINTS = """
     SELECT 's' || CAST(user_id % 50 AS VARCHAR) AS source, event_type AS shard, max(event_id) AS position
     FROM events WHERE {condition} GROUP BY 1, 2
@@ -274,8 +283,7 @@ _BODIES = {
     "zone_for_point": f"SELECT event_id, {ZONE} AS zone FROM records_v",
     "events_in_bbox": f"SELECT GLOBALEVENTID AS global_event_id, {_r('lat', 'lon')} FROM box_v",
     "clean_events": f"SELECT {_EVENTS} FROM conflicts_v",
-    "filter_airlines": "SELECT airline, CASE WHEN airline IN ('Emirates', 'Saudia') THEN count(*) END AS chosen, count(*) AS everyone"
-    " FROM silver_v GROUP BY airline",
+    "filter_airlines": "SELECT airline, count(*) AS aircraft FROM silver_v WHERE airline IN ('Emirates', 'Saudia') GROUP BY airline",
     "traffic_by_bucket": "SELECT nearest_region AS region, time_bucket(INTERVAL '5 minutes', poll_ts) AS bucket_sk,"
     " count(DISTINCT icao24) AS aircraft_count FROM near_v GROUP BY 1, 2",
     "rolling_baseline": f"SELECT region, bucket_sk, aircraft_count, {_r('rolling_mean', 'rolling_std')}, baseline_n FROM scored_v",
@@ -346,10 +354,8 @@ _BODIES = {
     "altitude_bands": """
         SELECT position, band, (SELECT count(*) FROM silver_v WHERE baro_altitude > low AND baro_altitude <= high) AS aircraft
         FROM (VALUES (0, '<10k ft', -1, 3000), (1, '10-30k ft', 3000, 9000), (2, '>30k ft', 9000, 100000)) t(position, band, low, high)""",
-    "detour_cost": f"""
-        SELECT n AS affected_flights, CAST(round_even(n * 0.75 * rate, 0) AS BIGINT) AS low_usd, CAST(round_even(n * 2.0 * rate, 0) AS BIGINT) AS high_usd,
-          rate AS per_hour_usd
-        FROM (SELECT count(*) AS n FROM silver_v WHERE airline IN ({', '.join(map(_literal, AFFECTED_AIRLINES))})), (VALUES (5000), (6000)) t(rate)""",
+    "detour_cost": _detour(5000),
+    "detour_cost_full": _detour(6000),
     "event_counts": f"SELECT nearest_region, events, (SELECT count(*) FROM since_v) AS total_events"
     f" FROM ({_count('nearest_region', 'events', 'since_v')} ORDER BY events DESC, nearest_region LIMIT 5)",
     "events_all_regions": f"SELECT {_EVENTS} FROM conflicts_v WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR",

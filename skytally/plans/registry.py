@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,24 +115,18 @@ def bronze_records(spark, sf_dir):
 
 @query
 def export_events(spark, sf_dir):
-    """Events packed into zip files of at most a thousand lines, unzipped, parsed and cleaned."""
-    lines = adapters.export_lines(spark, sf_dir).withColumn("file_no", F.floor(F.col("event_id") / 1000))
-    zips = lines.groupBy("file_no").applyInArrow(_zip_group, "path STRING, content BINARY")
-    return cleaning.clean_events(exports.parse_exports(zips))
+    """Events packed into zip files, one per Arrow batch of lines, unzipped, parsed and cleaned."""
+    lines = adapters.export_lines(spark, sf_dir).select("line")
+    return cleaning.clean_events(exports.parse_exports(lines.mapInArrow(_zip_batches, "path STRING, content BINARY")))
 
 
-def _zip_group(lines):
-    """One zip per group; a group holds at most a thousand lines."""
-    import io
-    import zipfile
-
-    import pyarrow as pa
-
-    body = io.BytesIO()
-    with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as archive:
-        archive.writestr("events.CSV", "\n".join(lines.column("line").to_pylist()))
-    name = f"{lines.column('file_no')[0].as_py()}.export.CSV.zip"
-    return pa.table({"path": [name], "content": [body.getvalue()]})
+def _zip_batches(batches):
+    """One small zip per incoming batch (Spark bounds the rows of a batch)."""
+    for number, batch in enumerate(batches):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("events.CSV", "\n".join(batch.column("line").to_pylist()))
+        yield pa.RecordBatch.from_pydict({"path": [f"{number}.export.CSV.zip"], "content": [body.getvalue()]})
 
 
 @query
@@ -288,9 +285,7 @@ def clean_events(spark, sf_dir):
 
 @query
 def filter_airlines(spark, sf_dir):
-    chosen = cleaning.filter_any(adapters.silver(spark, sf_dir), "airline", ["Emirates", "Saudia"])
-    everything = cleaning.filter_any(adapters.silver(spark, sf_dir), "airline", [])
-    return kpis.count_by(chosen, "airline", "chosen").join(kpis.count_by(everything, "airline", "everyone"), "airline", "right")
+    return kpis.count_by(cleaning.filter_any(adapters.silver(spark, sf_dir), "airline", ["Emirates", "Saudia"]), "airline")
 
 
 # ---- traffic and scores -------------------------------------------------------------------------------
@@ -395,10 +390,8 @@ def drop_event_correlation(spark, sf_dir):
 @query
 def anomaly_event_correlation(spark, sf_dir):
     """Both directions, with a window that is not a multiple of the bucket."""
-    found = correlation.correlate_with_events(
-        scored(spark, sf_dir), adapters.conflicts(spark, sf_dir), 150, HOUR, ("drop", "spike")
-    )
-    return found
+    anomalies, found = scored(spark, sf_dir), adapters.conflicts(spark, sf_dir)
+    return correlation.correlate_with_events(anomalies, found, 150, HOUR, ("drop", "spike"))
 
 
 # ---- serving ------------------------------------------------------------------------------------------
@@ -512,8 +505,12 @@ def altitude_bands(spark, sf_dir):
 
 @query
 def detour_cost(spark, sf_dir):
-    states = adapters.silver(spark, sf_dir)
-    return kpis.detour_cost(states).unionByName(kpis.detour_cost(states, use_full_operating_cost=True))
+    return kpis.detour_cost(adapters.silver(spark, sf_dir))
+
+
+@query
+def detour_cost_full(spark, sf_dir):
+    return kpis.detour_cost(adapters.silver(spark, sf_dir), use_full_operating_cost=True)
 
 
 @query

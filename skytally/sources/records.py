@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.functions.times import partition_date
+from skytally.functions.times import bucket_epoch, partition_date
 from skytally.schemas import RECORD, with_columns
 
 STORED = with_columns(RECORD, "dt DATE")
@@ -33,13 +33,16 @@ def decode(messages: DataFrame, body: str = "value") -> DataFrame:
     return messages.select(F.from_json(F.col(body).cast("string"), RECORD).alias("r")).select("r.*")
 
 
-def write_records(records: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Append records as NDJSON under ``dt=``.
+def spread(records: DataFrame, partitions: int) -> DataFrame:
+    """Records of one aircraft and hour together, as a keyed stream would hold them.
 
-    With ``partitions`` the records are first spread by identifier. One identifier is a small
-    share of all rows (one sighting per poll), so the key itself cannot be hot.
+    The hour keeps an identifier that dominates the feed from filling a single partition.
     """
-    dated = records.withColumn("dt", partition_date(F.col("poll_timestamp")))
-    if partitions:
-        dated = dated.repartition(partitions, "icao24")
-    dated.write.mode("append").partitionBy("dt").json(path)
+    hour = bucket_epoch(F.col("poll_timestamp"), 60)
+    return records.repartition(partitions, F.col("icao24"), hour)
+
+
+def write_records(records: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Append records as NDJSON under ``dt=``, spread over ``partitions`` files a day if given."""
+    rows = spread(records, partitions) if partitions else records
+    rows.withColumn("dt", partition_date(F.col("poll_timestamp"))).write.mode("append").partitionBy("dt").json(path)
