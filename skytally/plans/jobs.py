@@ -125,7 +125,7 @@ def run_pipeline(
     if _has_files(spark, f"{landing}/exports"):
         silver = f"{lake}/silver/events"
         exports = stream_exports(spark, f"{landing}/exports", max_files)
-        summary["event_rows"] = ingest.drain(ingest.exports_to_silver(exports, silver, f"{marks}/events"))
+        summary["export_files"] = ingest.drain(ingest.exports_to_silver(exports, silver, f"{marks}/events"))
         log = ingest.read_silver_events(spark, silver)
         order = ["source_file", "batch_id"]
         summary.update(_serve_new_batches(spark, "events", log, ["global_event_id"], order, lake, now))

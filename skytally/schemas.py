@@ -13,6 +13,7 @@ _TYPES = {
     "BOOLEAN": T.BooleanType(),
     "TIMESTAMP": T.TimestampType(),
     "DATE": T.DateType(),
+    "BINARY": T.BinaryType(),
     "VECTORS": T.ArrayType(T.ArrayType(T.StringType())),
     "POSITIONS": T.MapType(T.StringType(), T.StringType()),
 }
@@ -72,6 +73,9 @@ ActionGeo_Lat ActionGeo_Long ActionGeo_FeatureID
 DATEADDED SOURCEURL
 """.split()
 
+# Files as Spark's binary file source delivers them; streams must name their schema.
+FILES = _struct("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+
 EVENTS = _struct(
     "global_event_id STRING, event_timestamp TIMESTAMP, actor1_name STRING, actor2_name STRING,"
     " event_code STRING, quad_class INT, goldstein_scale DOUBLE, num_mentions DOUBLE,"

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.functions.text import last_path_segment
-from skytally.schemas import EXPORT_COLUMNS
+from skytally.schemas import EXPORT_COLUMNS, FILES
 
 EXPORT_SUFFIX = ".export.CSV.zip"
 
@@ -83,7 +83,7 @@ def read_exports(spark: SparkSession, path: str, columns: Sequence[str] = USED_C
 
 def stream_exports(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """New zips only: the stream's checkpoint remembers every file it has seen."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.zip")
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", "*.zip")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return parse_exports(reader.load(path))
