@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from skytally.schemas import EVENTS, TRAFFIC
 from skytally.sources.exports import stream_exports
 from skytally.sources.polls import stream_polls
 from skytally.sources.records import stream_records
-from skytally.sources.tables import manifest_row, read_log, read_manifest, write_batch
+from skytally.sources.tables import has_files, manifest_row, read_log, read_manifest, write_batch
 from skytally.streaming import gold as gold_stream
 from skytally.streaming import ingest
 
@@ -63,15 +62,6 @@ def read_serving_events(spark: SparkSession, serving: str) -> DataFrame:
     return latest_by_key(log, ["event_pk"], ["batch_id"]).drop("batch_id")
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").isEmpty()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return False
-        raise
-
-
 def _serve_new_batches(
     spark: SparkSession, source: str, log: DataFrame, keys: list[str], order: list[str], lake: str, now: str
 ) -> dict[str, int]:
@@ -110,7 +100,7 @@ def run_pipeline(
     """
     summary: dict = {}
     marks = f"{lake}/checkpoints"
-    if _has_files(spark, f"{landing}/polls"):
+    if has_files(spark, f"{landing}/polls"):
         bronze, silver, gold = f"{lake}/bronze/states", f"{lake}/silver/states", f"{lake}/gold"
         polls = stream_polls(spark, f"{landing}/polls", max_files)
         summary["polls"] = ingest.drain(ingest.polls_to_bronze(polls, bronze, f"{marks}/bronze"))
@@ -122,7 +112,7 @@ def run_pipeline(
         )
         log = read_log(spark, f"{gold}/traffic", TRAFFIC)
         summary.update(_serve_new_batches(spark, "traffic", log, KEYS, ["batch_id"], lake, now))
-    if _has_files(spark, f"{landing}/exports"):
+    if has_files(spark, f"{landing}/exports"):
         silver = f"{lake}/silver/events"
         exports = stream_exports(spark, f"{landing}/exports", max_files)
         summary["export_files"] = ingest.drain(ingest.exports_to_silver(exports, silver, f"{marks}/events"))

@@ -189,6 +189,12 @@ def _decimal(name: str) -> str:
 
 
 _BUCKET_ITEM = "'BUCKET#' || strftime(bucket_sk, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
+_TRAFFIC_ITEM = (
+    f"'REGION#' || region AS region_pk, {_BUCKET_ITEM} AS bucket_sk, "
+    + ", ".join(_decimal(n) for n in ("aircraft_count", "rolling_mean", "rolling_std", "z_score", "baseline_n"))
+    + ", anomaly_status, anomaly_direction,"
+    " CASE WHEN anomaly_status IN ('warning', 'serious', 'critical') THEN 'STATUS#' || anomaly_status END AS status_gsi_pk"
+)
 _HISTORY = "bucket_sk, aircraft_count, " + _r("rolling_mean") + ", anomaly_status"
 _SEVERITY = (
     "CASE anomaly_status WHEN 'critical' THEN 0 WHEN 'serious' THEN 1 WHEN 'warning' THEN 2 WHEN 'normal' THEN 3"
@@ -309,12 +315,12 @@ _BODIES = {
     " THEN num_mentions + 1000 ELSE num_mentions END AS num_mentions) FROM conflicts_v)",
     "drop_event_correlation": _correlation("'drop'", 60),
     "anomaly_event_correlation": _correlation("'drop', 'spike'", 150),
-    "serving_traffic": f"""
-        SELECT 'REGION#' || region AS region_pk, {_BUCKET_ITEM} AS bucket_sk,
-          {', '.join(_decimal(n) for n in ('aircraft_count', 'rolling_mean', 'rolling_std', 'z_score', 'baseline_n'))},
-          anomaly_status, anomaly_direction,
-          CASE WHEN anomaly_status IN ('warning', 'serious', 'critical') THEN 'STATUS#' || anomaly_status END AS status_gsi_pk
-        FROM scored_v""",
+    "serving_traffic": f"SELECT {_TRAFFIC_ITEM} FROM scored_v",
+    "serving_traffic_json": f"""
+        SELECT *, 5 + CAST(rolling_mean IS NOT NULL AS INTEGER) + CAST(rolling_std IS NOT NULL AS INTEGER)
+          + CAST(z_score IS NOT NULL AS INTEGER) + CAST(anomaly_direction IS NOT NULL AS INTEGER)
+          + CAST(status_gsi_pk IS NOT NULL AS INTEGER) AS attributes
+        FROM (SELECT {_TRAFFIC_ITEM} FROM scored_v)""",
     "serving_events": f"""
         SELECT 'EVENT#' || global_event_id AS event_pk, 'REGION#' || nearest_region AS region_gsi_pk,
           strftime(event_timestamp, '%Y-%m-%dT%H:%M:%SZ') AS event_timestamp,
@@ -397,6 +403,4 @@ _BODIES = {
     "stream_anomaly_score": f"SELECT {_TRAFFIC} FROM scored_v",
 }
 
-# Left without SQL: serving_traffic_json (JSON text differs between engines; its items are
-# checked by serving_traffic).
 ORACLES = {name: _sql(body) for name, body in _BODIES.items()}

@@ -327,22 +327,29 @@ def status_as_of(spark, sf_dir):
     return history.status_as_of(scored(spark, sf_dir), REPLAY_AT, mapview.airports(spark))
 
 
+def _stored(df, label, schema):
+    """The table a later step reads, written once; its input is then not computed again per use."""
+    path = work_path(df.sparkSession, label)
+    tables.write_batch(df, path, 0)
+    return tables.read_log(df.sparkSession, path, schema).drop("batch_id")
+
+
 @query
 def recent_history(spark, sf_dir):
     """The last 48 hourly buckets of the regions seen on the last day."""
-    series = hourly(spark, sf_dir)
+    series = _stored(hourly(spark, sf_dir), "counts", COUNTS)
     return history.recent_history(series, series.filter(F.col("bucket_sk") >= F.lit(AS_OF).cast("timestamp")), 48)
 
 
 @query
 def new_scored_rows(spark, sf_dir):
-    rows = scored(spark, sf_dir)
+    rows = _stored(scored(spark, sf_dir), "traffic", TRAFFIC)
     return history.only_keys(rows, rows.filter(F.col("bucket_sk") >= since()))
 
 
 def _versions(spark, sf_dir):
     """A stored series built from half of the rows, and newer full counts that overlap it by a day."""
-    half = adapters.records(spark, sf_dir).filter((F.col("event_id") % 2 == 0))
+    half = adapters.records(spark, sf_dir).filter(F.col("event_id") % 2 == 0)
     stored = traffic.aggregate_traffic(cleaning.clean_states(half.select(*RECORD.fieldNames())), HOUR)
     return (
         stored.filter(F.col("bucket_sk") < F.lit("2024-01-21").cast("timestamp")),
@@ -358,7 +365,7 @@ def merge_history(spark, sf_dir):
 
 @query
 def incremental_score(spark, sf_dir):
-    stored, new = _versions(spark, sf_dir)
+    stored, new = (_stored(counts, "counts", COUNTS) for counts in _versions(spark, sf_dir))
     return history.incremental_score(stored, new)
 
 
@@ -405,7 +412,11 @@ def serving_traffic(spark, sf_dir):
 
 @query
 def serving_traffic_json(spark, sf_dir):
-    return serving.as_json(serving.serving_traffic(scored(spark, sf_dir)))
+    """Items as JSON text, read back: the number of attributes present, and their values."""
+    items = serving.serving_traffic(tidy(scored(spark, sf_dir)))
+    read = F.from_json("item", items.schema)
+    back = serving.as_json(items).select(F.size(F.json_object_keys("item")).alias("attributes"), read.alias("i"))
+    return back.select("attributes", *[F.col(f"i.{c}").cast("string").alias(c) for c in items.columns])
 
 
 @query
@@ -600,10 +611,11 @@ def silver_to_gold(spark, sf_dir):
 
 @query
 def load_serving(spark, sf_dir):
-    """The serving load, run twice over the same rows, read back as rows."""
+    """The serving load of a gold table, run twice over the same rows, read back as rows."""
     path = work_path(spark, "serving")
+    rows = _stored(scored(spark, sf_dir), "traffic", TRAFFIC)
     for batch_id in (0, 1):
-        jobs.load_serving(scored(spark, sf_dir), None, path, batch_id)
+        jobs.load_serving(rows, None, path, batch_id)
     return serving.decode_traffic(jobs.read_serving_traffic(spark, path))
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from skytally.functions.numbers import nan_to_null
 from skytally.functions.text import blank_to_null
-from skytally.schemas import POLL, RECORD, VECTOR_FIELDS
+from skytally.operators.cleaning import clean_states
+from skytally.schemas import POLL, RECORD, STATES, VECTOR_FIELDS
+from skytally.sources.tables import has_files, newest_file
 
 
 def read_polls(spark: SparkSession, path: str) -> DataFrame:
@@ -21,6 +23,20 @@ def stream_polls(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.json(path)
 
 
+def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame, str]:
+    """Cleaned states to show now, and how fresh they are.
+
+    The live poll if there is one, else the newest stored file, else nothing.
+    """
+    if has_files(spark, live):
+        return clean_states(flatten_states(read_polls(spark, live))), "live"
+    if has_files(spark, bronze):
+        stored = newest_file(spark, bronze, "*.json")
+        label = f"cached (from {stored.modified_at:%H:%M} UTC)"
+        return clean_states(spark.read.schema(RECORD).json(stored.path)), label
+    return spark.createDataFrame([], STATES), "unavailable"
+
+
 def flatten_states(polls: DataFrame) -> DataFrame:
     """One record per state vector; vectors without an identifier are dropped.
 

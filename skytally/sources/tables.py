@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,16 @@ def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, k
     write_batch(latest_by_key(log, keys, ["batch_id"]).select(*schema.fieldNames()), target, last)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds any file; an absent folder holds none."""
+    try:
+        return not list_files(spark, path).isEmpty()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
+            return False
+        raise
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Path, size and age of every file below ``path``; contents are not read."""
     files = (
@@ -68,10 +78,14 @@ def newest(df: DataFrame, by: str) -> DataFrame:
     return df.filter(F.col(by) == df.agg(F.max(by)).scalar())
 
 
-def read_newest_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the most recently written NDJSON file."""
-    rows = spark.read.schema(schema).json(path).withColumn("__written", F.col("_metadata.file_modification_time"))
-    return newest(rows, "__written").drop("__written")
+def newest_file(spark: SparkSession, path: str, glob: str = "*") -> Row | None:
+    """Listing row of the most recently written file; only the listing is read."""
+    return list_files(spark, path, glob).orderBy(F.desc("modified_at"), F.desc("path")).first()
+
+
+def read_newest_file(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*") -> DataFrame:
+    """Rows of the most recently written NDJSON file; the others are not opened."""
+    return spark.read.schema(schema).json(newest_file(spark, path, glob).path)
 
 
 def unprocessed(files: DataFrame, manifest: DataFrame, key: str = "file_name", force: bool = False) -> DataFrame:

@@ -10,6 +10,9 @@ these are counted again from silver and scored against the stored series:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -69,19 +72,30 @@ def silver_to_gold(
     return states.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
 
 
+def _drop_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct rows of each Arrow batch."""
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        yield from rows.group_by(rows.column_names, use_threads=False).aggregate([]).to_batches()
+
+
 def windowed_traffic(states: DataFrame, lateness: str, bucket_minutes: int = BUCKET_MINUTES) -> DataFrame:
     """Distinct aircraft per region and bucket with bounded state.
 
     Rows later than ``lateness`` are dropped by the watermark, so this is for feeds whose lateness
     is known; ``silver_to_gold`` is the exact way. Aircraft are deduplicated one by one, which
-    spreads a crowded bucket over all state partitions.
+    spreads a crowded bucket over all state partitions. A streaming deduplication does not fold
+    rows before its shuffle, so repeats are first dropped batch by batch: an aircraft that fills
+    the feed then reaches its state partition as a few rows.
     """
+    sightings = states.select(
+        F.col("nearest_region").alias("region"),
+        bucket_epoch(F.col("poll_timestamp"), bucket_minutes).alias("start"),
+        "icao24",
+    )
     return (
-        states.select(
-            F.col("nearest_region").alias("region"),
-            F.timestamp_seconds("poll_timestamp").alias("ts"),
-            "icao24",
-        )
+        sightings.mapInArrow(_drop_repeats, "region STRING, start BIGINT, icao24 STRING")
+        .select("region", F.timestamp_seconds("start").alias("ts"), "icao24")
         .withWatermark("ts", lateness)
         .select("region", F.window("ts", f"{bucket_minutes} minutes").alias("bucket"), "icao24")
         .dropDuplicates(["region", "bucket", "icao24"])

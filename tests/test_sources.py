@@ -164,6 +164,24 @@ def test_newest_file(spark, tmp_path):
     assert [str(d[0]) for d in rows_of(tables.expired_partitions(listing, "2026-02-01", 30))] == ["2026-01-01"]
 
 
+def test_live_states_fall_back(spark, tmp_path):
+    live, bronze = tmp_path / "live", tmp_path / "bronze"
+    empty, label = polls.live_states(spark, str(live), str(bronze))
+    assert (empty.count(), empty.columns, label) == (0, STATES.fieldNames(), "unavailable")
+    import os
+
+    for at, name in ((3600, "old"), (7260, "new")):
+        (bronze / f"dt=2026-01-0{at // 3600}").mkdir(parents=True)
+        path = bronze / f"dt=2026-01-0{at // 3600}" / "x.json"
+        path.write_text(json.dumps({"icao24": name, "latitude": 25.25, "longitude": 55.36}))
+        os.utime(path, (at, at))
+    cached, label = polls.live_states(spark, str(live), str(bronze))
+    assert (rows_of(cached, "icao24", "nearest_region"), label) == ([("new", "DXB")], "cached (from 02:01 UTC)")
+    write_poll(live / "now.json", 5, [vector()])
+    states, label = polls.live_states(spark, str(live), str(bronze))
+    assert (rows_of(states, "icao24", "nearest_region"), label) == ([("abc123", "DXB")], "live")
+
+
 def test_unprocessed_files(spark):
     files = spark.createDataFrame([("a",), ("b",)], "file_name STRING")
     known = files.filter("file_name = 'a'")
