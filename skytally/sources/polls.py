@@ -32,7 +32,7 @@ def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame,
         return clean_states(flatten_states(read_polls(spark, live))), "live"
     if has_files(spark, bronze):
         stored = newest_file(spark, bronze, "*.json")
-        label = f"cached (from {stored.modified_at:%H:%M} UTC)"
+        label = f"cached (from {stored.written} UTC)"
         return clean_states(spark.read.schema(RECORD).json(stored.path)), label
     return spark.createDataFrame([], STATES), "unavailable"
 

@@ -79,8 +79,10 @@ def newest(df: DataFrame, by: str) -> DataFrame:
 
 
 def newest_file(spark: SparkSession, path: str, glob: str = "*") -> Row | None:
-    """Listing row of the most recently written file; only the listing is read."""
-    return list_files(spark, path, glob).orderBy(F.desc("modified_at"), F.desc("path")).first()
+    """Listing row of the most recently written file (``written`` is its UTC time of day); only
+    the listing is read."""
+    listing = list_files(spark, path, glob).withColumn("written", F.date_format("modified_at", "HH:mm"))
+    return listing.orderBy(F.desc("modified_at"), F.desc("path")).first()
 
 
 def read_newest_file(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*") -> DataFrame:

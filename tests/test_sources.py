@@ -5,6 +5,7 @@ import pytest
 from conftest import rows_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from skytally.functions.times import iso_utc
 from skytally.operators.cleaning import clean_events, clean_states
 from skytally.schemas import COUNTS, EVENTS, EXPORT_COLUMNS, RECORD, STATES
 from skytally.sources import exports, polls, records, tables
@@ -111,7 +112,8 @@ def test_exports_are_unzipped_parsed_and_cleaned(spark, tmp_path):
     assert set(got) == {"1", "2", "3", "4", "10", "11", "12"}
     assert clean_events(raw).schema == EVENTS or clean_events(raw).columns == EVENTS.fieldNames()
     assert got["1"].nearest_region == "RUH" and got["1"].quad_class == 4 and got["1"].num_mentions == 10.0
-    assert got["1"].event_timestamp.isoformat().startswith("2026-07-28T15:30:00")
+    at = out.filter("global_event_id = '1'").select(iso_utc(F.col("event_timestamp"))).first()[0]
+    assert at == "2026-07-28T15:30:00Z"
     assert got["3"].event_timestamp is None and got["3"].goldstein_scale is None
     assert got["4"].nearest_region == "AMM" and got["4"].actor1_name == 'A "QUOTE' and got["4"].num_mentions is None
     assert got["10"].source_url is None and got["11"].source_url == "http://x/1"
