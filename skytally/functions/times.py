@@ -6,10 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def epoch_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
-
-
 def bucket_epoch(seconds: Column, minutes: int) -> Column:
     """Epoch seconds floored to the start of their bucket."""
     return seconds - F.pmod(seconds, F.lit(minutes * 60))

@@ -12,11 +12,11 @@ from skytally.operators.dedup import latest_by_key
 from skytally.operators.history import KEYS
 from skytally.operators.serving import serving_events, serving_traffic
 from skytally.operators.traffic import aggregate_traffic
-from skytally.schemas import EVENTS, TRAFFIC
+from skytally.schemas import COUNTS, EVENTS, TRAFFIC
 from skytally.sources.exports import stream_exports
 from skytally.sources.polls import stream_polls
 from skytally.sources.records import stream_records
-from skytally.sources.tables import has_files, manifest_row, read_log, read_manifest, write_batch
+from skytally.sources.tables import compact, has_files, manifest_row, read_log, read_manifest, write_batch
 from skytally.streaming import gold as gold_stream
 from skytally.streaming import ingest
 
@@ -91,17 +91,19 @@ def run_pipeline(
     now: str,
     bucket_minutes: int = BUCKET_MINUTES,
     max_files: int | None = None,
+    gold_name: str = "gold",
 ) -> dict:
     """Drain everything that has arrived, layer by layer; safe to run again at any time.
 
     ``landing/polls`` holds poll responses and ``landing/exports`` zipped event exports; either
     may be missing, and is then absent from the summary. ``now`` is only noted in the manifest.
-    ``max_files`` splits a backlog into micro-batches of that many files.
+    ``max_files`` splits a backlog into micro-batches of that many files, ``gold_name`` is the
+    folder of the gold tables (see ``compact_gold``).
     """
     summary: dict = {}
     marks = f"{lake}/checkpoints"
     if has_files(spark, f"{landing}/polls"):
-        bronze, silver, gold = f"{lake}/bronze/states", f"{lake}/silver/states", f"{lake}/gold"
+        bronze, silver, gold = f"{lake}/bronze/states", f"{lake}/silver/states", f"{lake}/{gold_name}"
         polls = stream_polls(spark, f"{landing}/polls", max_files)
         summary["polls"] = ingest.drain(ingest.polls_to_bronze(polls, bronze, f"{marks}/bronze"))
         records = stream_records(spark, bronze, max_files)
@@ -120,3 +122,13 @@ def run_pipeline(
         order = ["source_file", "batch_id"]
         summary.update(_serve_new_batches(spark, "events", log, ["global_event_id"], order, lake, now))
     return summary
+
+
+def compact_gold(spark: SparkSession, lake: str, source: str, target: str) -> None:
+    """Rewrite the gold tables as one batch each in a new folder, between two pipeline runs.
+
+    The next run continues there with ``gold_name=target``: batch numbers go on from the last one,
+    so neither the stream nor the serving load notices.
+    """
+    for name, schema in (("counts", COUNTS), ("traffic", TRAFFIC)):
+        compact(spark, f"{lake}/{source}/{name}", f"{lake}/{target}/{name}", schema, KEYS)

@@ -3,7 +3,7 @@ import json
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
-from skytally.operators import baseline, traffic
+from skytally.operators import baseline, history, traffic
 from skytally.operators.cleaning import clean_states
 from skytally.plans import jobs
 from skytally.schemas import RECORD, TRAFFIC
@@ -141,10 +141,34 @@ def test_pipeline(spark, tmp_path):
     assert (newest.anomaly_status, newest.anomaly_direction, newest.status_gsi_pk) == ("critical", "drop", "STATUS#critical")
     events = {r.event_pk: int(r.num_mentions) for r in jobs.read_serving_events(spark, f"{lake}/serving").collect()}
     assert events == {"EVENT#1": 77, "EVENT#2": 10}  # the later export replaced event 1
+    promoted = jobs.current_events(ingest.read_silver_events(spark, f"{lake}/silver/events"))
+    assert rows_of(promoted, "global_event_id", "num_mentions", "nearest_region") == [("1", 77.0, "RUH"), ("2", 10.0, "RUH")]
     manifest = {r.source_name for r in tables.read_manifest(spark, f"{lake}/manifest").collect()}
     assert manifest == {"traffic", "events"}
 
 
+def test_compacted_gold_continues(spark, tmp_path):
+    landing, lake = tmp_path / "landing", str(tmp_path / "lake")
+    for i in range(14):
+        write_poll(landing / "polls" / f"{i:02}.json", START + 300 * i, [vector(_0=f"p{n}") for n in range(10)])
+    jobs.run_pipeline(spark, str(landing), lake, "2026-01-01 01:00:00", max_files=7)
+    before = rows_of(gold.read_traffic(spark, f"{lake}/gold"))
+    jobs.compact_gold(spark, lake, "gold", "gold-2")
+    assert rows_of(gold.read_traffic(spark, f"{lake}/gold-2")) == before
+    write_poll(landing / "polls" / "99.json", START + 300 * 14, [vector(_0="p0")])
+    summary = jobs.run_pipeline(spark, str(landing), lake, "2026-01-01 01:10:00", gold_name="gold-2")
+    assert summary == {"polls": 1, "records": 1, "states": 1, "traffic_items": 1}
+    newest = gold.read_traffic(spark, f"{lake}/gold-2").orderBy(F.desc("bucket_sk")).first()
+    assert (newest.baseline_n, newest.anomaly_status, newest.anomaly_direction) == (14, "critical", "drop")
+
+
+def test_filters_reach_the_stored_table(spark, tmp_path, series):
+    tables.write_batch(baseline.score_anomalies(series(("DXB", [1, 2, 3]))), f"{tmp_path}/traffic", 0)
+    found = history.region_history(gold.read_traffic(spark, str(tmp_path)), "DXB", "2026-01-01 01:00:00", 24)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(region,DXB)" in plan and "GreaterThanOrEqual(bucket_sk" in plan
+
+
 def test_serving_load_twice_is_idempotent(spark, tmp_path, series):
     scored = baseline.score_anomalies(series(("DXB", [1, 2, 3])))
     for batch in (0, 1):
