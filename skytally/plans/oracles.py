@@ -122,9 +122,7 @@ BLOCKS = {
     "since_v": f"SELECT * FROM conflicts_v WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL {HOURS} HOUR",
     "detail_events_v": f"SELECT * FROM since_v WHERE nearest_region = '{DETAIL_REGION}'",
     "detail_v": f"SELECT * FROM scored_v WHERE region = '{DETAIL_REGION}' AND bucket_sk >= TIMESTAMP '{AS_OF}' - INTERVAL {HOURS} HOUR",
-    "half_near_v": "SELECT * FROM near_v WHERE event_id % 2 = 0",
-    "half_hourly_v": _hourly("half_near_v"),
-    "stored_v": "SELECT * FROM half_hourly_v WHERE bucket_sk < TIMESTAMP '2024-01-21'",
+    "stored_v": "SELECT region, bucket_sk, aircraft_count + 2 AS aircraft_count FROM hourly_v WHERE bucket_sk < TIMESTAMP '2024-01-21'",
     "new_v": "SELECT * FROM hourly_v WHERE bucket_sk >= TIMESTAMP '2024-01-20'",
     "merged_v": "SELECT * FROM new_v UNION ALL SELECT * FROM stored_v WHERE bucket_sk < TIMESTAMP '2024-01-20'"
     " UNION ALL SELECT * FROM stored_v s WHERE bucket_sk >= TIMESTAMP '2024-01-20'"
@@ -269,7 +267,7 @@ _BODIES = {
         SELECT coalesce(n.source, o.source) AS source, coalesce(n.shard, o.shard) AS shard,
           CAST(coalesce(n.position, o.position) AS VARCHAR) AS position
         FROM ({_CHECKPOINTS.format(condition=f"ts < TIMESTAMP '{REPLAY_AT}'")}) o
-        FULL JOIN ({_CHECKPOINTS.format(condition=f"ts >= TIMESTAMP '{REPLAY_AT}' AND event_id % 3 = 0")}) n
+        FULL JOIN ({_CHECKPOINTS.format(condition=f"ts >= TIMESTAMP '{REPLAY_AT}' AND event_type <> 'signup'")}) n
           ON n.source = o.source AND n.shard = o.shard""",
     "stored_etag": "SELECT event_type || '-' || CAST(event_id AS VARCHAR) AS source_etag FROM events"
     " WHERE user_id % 50 = 7 ORDER BY event_id DESC LIMIT 1",
@@ -311,7 +309,7 @@ _BODIES = {
     "upsert_traffic": "SELECT region, bucket_sk, aircraft_count FROM merged_v",
     "incremental_score": f"SELECT {_TRAFFIC} FROM merged_scored_v m WHERE EXISTS ("
     "SELECT 1 FROM new_v n WHERE n.region = m.region AND n.bucket_sk = m.bucket_sk)",
-    "upsert_events": f"SELECT {_EVENTS} FROM (SELECT * REPLACE (CASE WHEN CAST(global_event_id AS BIGINT) % 3 = 0"
+    "upsert_events": f"SELECT {_EVENTS} FROM (SELECT * REPLACE (CASE WHEN quad_class = 4"
     " THEN num_mentions + 1000 ELSE num_mentions END AS num_mentions) FROM conflicts_v)",
     "drop_event_correlation": _correlation("'drop'", 60),
     "anomaly_event_correlation": _correlation("'drop', 'spike'", 150),

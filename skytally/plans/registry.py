@@ -197,7 +197,7 @@ def merge_checkpoints(spark, sf_dir):
     rows = _event_sources(spark, sf_dir)
     split = F.lit(REPLAY_AT).cast("timestamp_ntz")
     old = _checkpoints(rows, F.col("ts") < split).withColumnRenamed("checkpoints", "old")
-    new = _checkpoints(rows, (F.col("ts") >= split) & (F.col("event_id") % 3 == 0)).withColumnRenamed("checkpoints", "new")
+    new = _checkpoints(rows, (F.col("ts") >= split) & (F.col("event_type") != "signup")).withColumnRenamed("checkpoints", "new")
     merged = old.join(new, "source", "full").select("source", tables.merge_checkpoints(F.col("old"), F.col("new")).alias("m"))
     return merged.select("source", F.explode("m").alias("shard", "position"))
 
@@ -348,12 +348,13 @@ def new_scored_rows(spark, sf_dir):
 
 
 def _versions(spark, sf_dir):
-    """A stored series built from half of the rows, and newer full counts that overlap it by a day."""
-    half = adapters.records(spark, sf_dir).filter(F.col("event_id") % 2 == 0)
-    stored = traffic.aggregate_traffic(cleaning.clean_states(half.select(*RECORD.fieldNames())), HOUR)
+    """A stored series with outdated counts, and newer counts that overlap it by a day."""
+    counts = _stored(hourly(spark, sf_dir), "counts", COUNTS)
+    bucket = F.col("bucket_sk")
+    outdated = counts.withColumn("aircraft_count", F.col("aircraft_count") + 2)
     return (
-        stored.filter(F.col("bucket_sk") < F.lit("2024-01-21").cast("timestamp")),
-        hourly(spark, sf_dir).filter(F.col("bucket_sk") >= F.lit("2024-01-20").cast("timestamp")),
+        outdated.filter(bucket < F.lit("2024-01-21").cast("timestamp")),
+        counts.filter(bucket >= F.lit("2024-01-20").cast("timestamp")),
     )
 
 
@@ -365,7 +366,7 @@ def merge_history(spark, sf_dir):
 
 @query
 def incremental_score(spark, sf_dir):
-    stored, new = (_stored(counts, "counts", COUNTS) for counts in _versions(spark, sf_dir))
+    stored, new = _versions(spark, sf_dir)
     return history.incremental_score(stored, new)
 
 
@@ -383,7 +384,7 @@ def upsert_events(spark, sf_dir):
     """Overlapping pulls of events: the later pull replaces what it repeats."""
     path = work_path(spark, "events")
     pulled = adapters.conflicts(spark, sf_dir)
-    repeated = pulled.filter(F.col("global_event_id").cast("bigint") % 3 == 0)
+    repeated = pulled.filter(F.col("quad_class") == 4)
     tables.write_batch(pulled, path, 0)
     tables.write_batch(repeated.withColumn("num_mentions", F.col("num_mentions") + 1000), path, 1)
     return tables.read_current(spark, path, EVENTS, ["global_event_id"])

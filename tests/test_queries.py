@@ -39,7 +39,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not re.match("stream|upsert|load|bronze_records|recent_history|new_scored|incremental", n)))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not re.match("stream|upsert|load|bronze_records|recent_history|new_scored|incremental|merge_history", n)))
 def test_no_cross_product(spark, name):
     plan = _plan(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan
