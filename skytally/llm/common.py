@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -101,6 +103,16 @@ def _last_start(batch: pa.RecordBatch, keys: list[str]) -> int:
     return int(where[-1]) if len(where) else 0
 
 
+def per_worker(name: str, make: Callable[[], object]):
+    """An object that each Python worker makes once and keeps from task to task.
+
+    Functions travel with the job by value, so what they remember would start anew in every task."""
+    kept = sys.modules.setdefault("_skytally_worker", types.ModuleType("_skytally_worker"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the runs of equal values."""
     if len(values) == 0:

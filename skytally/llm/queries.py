@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import simhash
+from skytally.llm import bpe, packing, simhash
 from skytally.llm.common import table
 from skytally.session import configure
 
@@ -24,6 +25,20 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op4_packing(spark, sf_dir):
+    """Every document as pieces of sequences of 4096 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1, capacity=4096)
+
+
+@query
+def op7_byte_bpe(spark, sf_dir):
+    """Every document to token ids and back, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, digests=True)
+
+
 @query
 def op8_simhash(spark, sf_dir):
     """Fingerprint of every document and the least doc_id its chain of near-duplicates reaches."""
