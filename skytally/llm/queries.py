@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, packing, simhash
+from skytally.llm import bpe, packing, quality, simhash
 from skytally.llm.common import table
 from skytally.session import configure
 
@@ -25,6 +25,12 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op2_quality(spark, sf_dir):
+    """Counts and verdict of every document."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark, sf_dir):
     """Every document as pieces of sequences of 4096 tokens."""
