@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, packing, quality, simhash
+from skytally.llm import bpe, packing, quality, simhash, substrings
 from skytally.llm.common import table
 from skytally.session import configure
 
@@ -25,6 +25,12 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    """Every document without the strings of 200 bytes that start anywhere else."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), 200)
+
+
 @query
 def op2_quality(spark, sf_dir):
     """Counts and verdict of every document."""
