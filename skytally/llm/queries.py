@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, packing, quality, simhash, substrings
+from skytally.llm import bpe, language, packing, quality, simhash, substrings
 from skytally.llm.common import table
 from skytally.session import configure
 
@@ -37,6 +37,12 @@ def op2_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_language(spark, sf_dir):
+    """Language of every document, learned from those that are not held out."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark, sf_dir):
     """Every document as pieces of sequences of 4096 tokens."""
