@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, language, packing, quality, simhash, substrings
+from skytally.llm import bpe, language, packing, passages, quality, simhash, substrings
 from skytally.llm.common import table
 from skytally.session import configure
 
@@ -64,3 +64,9 @@ def op8_simhash(spark, sf_dir):
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).select(
         "doc_id", "fingerprint", "component_id"
     )
+
+
+@query
+def op10_passages(spark, sf_dir):
+    """Passages of documents that another document has in about the same words."""
+    return passages.passages(table(spark, sf_dir, "documents"))
