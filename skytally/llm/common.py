@@ -18,6 +18,18 @@ from skytally.session import work_path
 SPACES = " \t\n\x0b\x0c\r"
 
 
+# Whole texts are long: Spark's 10,000 rows a batch would hold more memory, twice for each task, than the work itself.
+ROWS_A_BATCH = 500
+
+
+def short_batches(spark: SparkSession) -> SparkSession:
+    """Fewer rows in each Arrow batch, unless the session has a number of its own."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(ROWS_A_BATCH))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -113,6 +125,20 @@ def per_worker(name: str, make: Callable[[], object]):
     return getattr(kept, name)
 
 
+def pack(values: np.ndarray) -> bytes:
+    """64-bit integers in few bytes where neighbours are alike: differences, byte by byte, compressed."""
+    planes = np.diff(values.astype(np.int64), prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.zeros(0, np.int64)
+    planes = pa.decompress(data[8:], 8 * size, codec="zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel())
+
+
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the runs of equal values."""
     if len(values) == 0:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm import phrases
-from skytally.llm.common import parts_for, row_key, runs, slices, stored, text_bytes
+from skytally.llm.common import pack, parts_for, row_key, runs, slices, stored, text_bytes, unpack
 
 K = 5  # words of a seed
 REACH = 8  # of so many seeds in a row the one with the least hash is taken
@@ -21,7 +20,7 @@ GAP_COST = 0.1  # per word that a chain skips on either side; a seed counts K
 FLANK = 64  # windows of words are cut at multiples of this, so that many chains ask for the same one
 SLICE_BYTES = 1 << 20
 DEAL_BYTES = 32 << 20
-PART_BYTES = 32 << 20
+PART_BYTES = 48 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -103,11 +102,11 @@ def _ask(parts: int, ids, rids, keys, places) -> Iterator[tuple]:
     linked = ~new_key
     part = ((keys >> np.uint64(19)) % np.uint64(parts)).astype(np.int64)
     asks = np.flatnonzero(new_key)
-    asks = asks[np.lexsort((rids[asks], part[asks]))]
+    asks = asks[np.lexsort((places[asks], rids[asks], part[asks]))]
     rows = []
     for a, b in zip(*runs(part[asks])):
         some = asks[a:b]
-        rows.append((int(part[some[0]]), keys[some].tobytes(), ids[some].tobytes(), rids[some].tobytes(), places[some].tobytes()))
+        rows.append((int(part[some[0]]), keys[some].tobytes(), pack(ids[some]), pack(rids[some]), pack(places[some])))
     found = rids[linked], places[linked], ids[to][linked], rids[to][linked], places[to][linked]
     return rows, found
 
@@ -129,10 +128,9 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for keys, ids, rids, places, known in zip(*(batch.column(c).to_pylist() for c in ("keys", "ids", "rids", "places", "known"))):
             if known:
-                data = np.frombuffer(known, "<i8").reshape(4, -1)
-                yield from _by_text(np.full(data.shape[1], np.frombuffer(rids, "<i8")[0]), *data)
+                yield from _by_text(*unpack(known).reshape(5, -1))
             else:
-                held.append(tuple(np.frombuffer(x, t) for x, t in ((keys, "<u8"), (ids, "<i8"), (rids, "<i8"), (places, "<i8"))))
+                held.append((np.frombuffer(keys, "<u8"), unpack(ids), unpack(rids), unpack(places)))
     if held:
         keys, ids, rids, places = map(np.concatenate, zip(*held))
         order = np.lexsort((places, rids, ids, keys))
@@ -166,12 +164,11 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
     def send(held: list[tuple]) -> pa.RecordBatch:
         rows, known = _ask(parts, *map(np.concatenate, zip(*held)))
         rows = [(*r, None) for r in rows]
-        order = np.argsort(known[0], kind="stable")
-        known = [c[order] for c in known]
-        for a, b in zip(*runs(known[0])):
-            own = known[0][a : a + 1]
-            data = np.stack([c[a:b] for c in known[1:]]).tobytes()
-            rows.append((int(own.view(np.uint64)[0] % np.uint64(parts)), None, None, own.tobytes(), None, data))
+        part = (known[0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((known[1], known[0], part))
+        for a, b in zip(*runs(part[order])):
+            some = order[a:b]
+            rows.append((int(part[some[0]]), None, None, None, None, pack(np.concatenate([c[some] for c in known]))))
         kinds = [pa.int32(), *[pa.binary()] * 5]
         columns = zip(*rows) if rows else ((),) * 6
         return pa.RecordBatch.from_arrays(
@@ -381,7 +378,7 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 def find(rows: DataFrame) -> DataFrame:
     """Passages of ``rows`` (key, id, rid, text), by rid."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = parts_for(size, PART_BYTES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts_for(size, PART_BYTES, rows.sparkSession.sparkContext.defaultParallelism)
     chains = stored(matches(rows.select("id", "rid", "text"), parts).mapInArrow(_chains, CHAINS), "chains")
     asked = chains.select("rid", F.struct(F.col("a0").alias("a"), F.col("a1").alias("b")).alias("w")).union(
         chains.select("other_rid", F.struct(F.col("b0").alias("a"), F.col("b1").alias("b")))
@@ -417,12 +414,13 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the repeated passages; a text of which no word is left goes. Texts without passages stay as they are."""
+    columns = docs.columns
     marked = docs.withColumns({"__rid": row_key(key, F.coalesce(F.col(text), F.lit("")))})
     found = stored(find(_keyed(docs, key, text)), "passages")
     spans = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word")).alias("__spans"))
     joined = marked.join(spans.withColumnRenamed("rid", "__rid"), "__rid", "left")
-    hit = joined.filter(F.col("__spans").isNotNull()).select(*docs.columns, "__spans")
-    clean = joined.filter(F.col("__spans").isNull()).select(*docs.columns)
+    hit = joined.filter(F.col("__spans").isNotNull()).select(*columns, "__spans")
+    clean = joined.filter(F.col("__spans").isNull()).select(*columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,7 +440,7 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 kept.append(row)
                 out.append(b"".join(c.tobytes() for c in cuts).decode())
             some = batch.take(pa.array(kept, pa.int64()))
-            columns = [pa.array(out, pa.string()) if c == text else some.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            arrays = [pa.array(out, pa.string()) if c == text else some.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
     return clean.unionByName(hit.mapInArrow(work, docs.schema))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, language, packing, passages, quality, simhash, substrings
-from skytally.llm.common import table
+from skytally.llm import bpe, language, packing, passages, quality, secrets, simhash, substrings
+from skytally.llm.common import short_batches, table
 from skytally.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +19,7 @@ ORACLES: dict[str, str] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(configure(spark), sf_dir)
+        return build(short_batches(configure(spark)), sf_dir)
 
     QUERIES[build.__name__] = run
     return build
@@ -66,6 +66,15 @@ def op8_simhash(spark, sf_dir):
     )
 
 
+@query
+def op9_secrets(spark, sf_dir):
+    """Every candidate of every document with the forest's probability; the run itself is given as a digest."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "word_index", "run_index", F.length("run").alias("n_chars"), F.sha2("run", 256).alias("run_sha256"), "probability", "is_secret"
+    )
+
+
 @query
 def op10_passages(spark, sf_dir):
     """Passages of documents that another document has in about the same words."""
