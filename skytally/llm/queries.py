@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, language, packing, passages, quality, secrets, simhash, substrings
+from skytally.llm import bpe, language, neighbours, packing, passages, quality, secrets, simhash, substrings
 from skytally.llm.common import short_batches, table
 from skytally.session import configure
 
@@ -50,6 +50,12 @@ def op4_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1, capacity=4096)
 
 
+@query
+def op5_multiprobe(spark, sf_dir):
+    """The twenty nearest of all embeddings for each one whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op7_byte_bpe(spark, sf_dir):
     """Every document to token ids and back, as digests."""
