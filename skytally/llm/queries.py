@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, language, neighbours, packing, passages, quality, secrets, simhash, substrings
+from skytally.llm import bpe, language, neighbours, packing, passages, quality, revisits, secrets, simhash, substrings
 from skytally.llm.common import short_batches, table
 from skytally.session import configure
 
@@ -56,6 +56,16 @@ def op5_multiprobe(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+@query
+def op6_revisits(spark, sf_dir):
+    """What each not-modified capture of the pages stands for."""
+    found = revisits.resolve(revisits.crawl(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", revisits.header_lines(F.col("headers")))
+
+
+ORACLES["op6_revisits"] = revisits.ORACLE
+
+
 @query
 def op7_byte_bpe(spark, sf_dir):
     """Every document to token ids and back, as digests."""
