@@ -264,13 +264,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return train([r[0] or "" for r in sample], [r[1] for r in sample], languages, counts)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns but the text, with lang_pred and score.
+def predict(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """All columns (the text only with ``keep_text``), with lang_pred and score.
 
     The language with the highest mean probability over the words, and that mean; of equal ones the first by name. A text
     without a letter (null too), or a model without languages, gives ``und`` with score 0.
     """
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if keep_text or c != text]
     empty = docs.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: weight rows by languages
 
@@ -306,6 +306,15 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return predict(docs.select(key, out.alias("held_out"), text), model, text)
 
 
+def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
+    """The rows whose language is known with a score of ``least`` or more, by a model of all labelled rows."""
+    model = fit(docs, text, lang)
+    columns = docs.columns
+    clear = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])  # so that no name clashes
+    found = predict(clear, model, f"c{columns.index(text)}", keep_text=True).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def label_words(text: str, model: Model) -> list[tuple[str, str]]:
     """(word, language) of a text that may switch languages."""
     words = Words([text])

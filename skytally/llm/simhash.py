@@ -152,19 +152,32 @@ def near_duplicates(
     Other columns of ``docs`` are not read. A null key stays null and never becomes a component_id
     unless all keys of its component are null.
     """
-    prints = stored(fingerprints(docs.select(key, text), text, shingle), "fingerprints")
+    prints, classes = _classified(docs.select(key, text), key, text, shingle, distance, width)
+    return prints.join(classes, "fp").select(key, "fp", "component_id")
+
+
+def _classified(docs: DataFrame, key: str, text: str, shingle: int, distance: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(all columns but the text with fp, one row per fp with its root and component_id)."""
+    prints = stored(fingerprints(docs, text, shingle), "fingerprints")
     folded = stored(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
     roots = stored(components(links(folded.select("fp"), distance, width)), "roots")
     rooted = folded.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select(key, "fp", "component_id")
+    return prints, stored(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One row of each group of near-duplicates: that of the least doc_id (of equal ids, of the least text)."""
-    known = near_duplicates(docs, **options)
-    same = known.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(same, docs["doc_id"].eqNullSafe(same["doc_id"]), "left_semi")
+def keep_first(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, distance: int = 4, width: int = 2
+) -> DataFrame:
+    """One row of each group of near-duplicates: that of the least key (null last; of equal keys that of the least hash of its text)."""
+    marked = docs.withColumn("__rid", row_key(key, text))
+    prints, classes = _classified(marked.select(key, "__rid", text), key, text, shingle, distance, width)
+    rank = F.struct(F.col(key).isNull(), F.col(key), F.col("__rid"))
+    first = prints.join(classes, "fp").groupBy("root").agg(F.min(rank).alias("first")).select(F.col("first.__rid").alias("__rid"))
+    sizes = prints.join(first, "__rid", "left_semi").groupBy("__rid").agg(F.count("*").alias("__n"))
+    kept = marked.join(stored(sizes, "kept"), "__rid")
+    once = kept.filter("__n = 1")
+    again = kept.filter("__n > 1").dropDuplicates(["__rid"])  # the same row several times
+    return once.unionByName(again).select(*docs.columns)
