@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm import phrases
-from skytally.llm.common import parts_for, row_key, runs, slices, text_bytes
+from skytally.llm.common import pack, parts_for, row_key, runs, slices, text_bytes, unpack
 
 SLICE_BYTES = 1 << 20  # of text hashed at once
-DEAL_BYTES = 32 << 20  # of text whose keys are folded before they are sent
-PART_BYTES = 32 << 20  # of text for each partition of keys
+DEAL_KEYS = 1 << 19  # keys that are folded before they are sent
+PART_BYTES = 24 << 20  # of text for each partition of keys
 MORE = 128  # a spot is a run of starts: (first * MORE + bytes to the trigger) * MORE + further starts
 SPOT = MORE * MORE
 
@@ -69,9 +69,8 @@ def _first_spots(window: Window, batch: pa.RecordBatch) -> Iterator[tuple[np.nda
 
 
 def _spots(column: pa.Array) -> list[np.ndarray]:
-    """The spots that the rows of a list column of binaries hold, sorted."""
-    lists = (x.as_py() for x in column)
-    return [np.unique(np.frombuffer(b"".join(x), "<i8")) if x else np.zeros(0, np.int64) for x in lists]
+    """The spots that the rows of a column hold, sorted; null is none."""
+    return [np.unique(np.frombuffer(x.as_py() or b"", "<i8")) for x in column]
 
 
 def _placed(window: Window, batch: pa.RecordBatch, spots: list[np.ndarray]):
@@ -135,11 +134,12 @@ class _Block:
 
     def ask(self, kind: int, keys, stretches, rids, spots) -> None:
         part = self._part(keys)
-        order = np.lexsort((rids, part))
+        order = np.lexsort((spots, rids, part))
         part = part[order]
         for a, b in zip(*runs(part)):
-            data = [b"" if c is None else c[order[a:b]].tobytes() for c in (keys, stretches, rids, spots)]
-            self.rows.append((int(part[a]), kind, *data))
+            some = order[a:b]
+            plain = [b"" if c is None else c[some].tobytes() for c in (keys, stretches)]
+            self.rows.append((int(part[a]), kind, *plain, pack(rids[some]), pack(spots[some])))
 
     def tell(self, kind: int, keys) -> None:
         keys = keys[np.argsort(self._part(keys), kind="stable")]
@@ -148,11 +148,12 @@ class _Block:
             self.rows.append((int(part[a]), kind, keys[a:b].tobytes(), b"", b"", b""))
 
     def answer(self, kind: int, rids, spots) -> None:
-        order = np.argsort(rids, kind="stable")
-        rids, spots = rids[order], spots[order]
-        for a, b in zip(*runs(rids)):
-            part = int(self._part(rids[a : a + 1])[0])
-            self.rows.append((part, kind, b"", b"", rids[a : a + 1].tobytes(), spots[a:b].tobytes()))
+        part = self._part(rids)
+        order = np.lexsort((spots, rids, part))
+        part = part[order]
+        for a, b in zip(*runs(part)):
+            some = order[a:b]
+            self.rows.append((int(part[a]), kind, b"", b"", pack(rids[some]), pack(spots[some])))
 
     def batch(self) -> pa.RecordBatch:
         columns = zip(*self.rows) if self.rows else ((),) * len(NAMES)
@@ -182,73 +183,92 @@ def _sent(parts: int, rids, keys, spots, cores=None) -> pa.RecordBatch:
     return block.batch()
 
 
-def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, kind, spots) of the places whose question is answered by yes."""
-    held: dict[int, list[tuple]] = {REPEATS: [], MIXED: []}
-    sure: dict[int, list[tuple]] = {REPEATS: [], MIXED: []}
-    for batch in batches:
-        for kind, *data in zip(*(batch.column(c).to_pylist() for c in NAMES[1:])):
-            keys, stretches, rids, spots = (np.frombuffer(x, t) for x, t in zip(data, ("<u8", "<u8", "<i8", "<i8")))
-            if len(keys) == 0:
-                sure[kind].append((np.full(len(spots), rids[0]), spots))
-            elif len(rids) == 0:  # as if two places asked, of two stretches
-                two = np.repeat(np.array([0, 1], np.uint64), len(keys))
-                held[kind].append((np.tile(keys, 2), two, np.zeros(len(two), np.int64), np.full(len(two), -1)))
-            else:
-                held[kind].append((keys, stretches if kind == MIXED else keys, rids, spots))
-    for kind in (REPEATS, MIXED):
-        if held[kind]:
-            keys, stretches, rids, spots = map(np.concatenate, zip(*held[kind]))
-            order = np.lexsort((stretches, keys)) if kind == MIXED else np.argsort(keys)
-            start, end = runs(keys[order])
-            yes = end - start > 1
-            if kind == MIXED:
-                yes = stretches[order[start]] != stretches[order[end - 1]]
-            found = order[np.repeat(yes, end - start)]
-            found = found[spots[found] >= 0]
-            sure[kind].append((rids[found], spots[found]))
-        if sure[kind]:
-            yield from _by_rid(kind, *map(np.concatenate, zip(*sure[kind])))
-
-
-def _by_rid(kind: int, rids: np.ndarray, spots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((spots, rids))
-    rids, spots = rids[order], spots[order]
-    start, end = runs(rids)
-    for at in range(0, len(start), 20_000):
-        some = list(zip(start[at : at + 20_000], end[at : at + 20_000]))
-        lists = pa.array([spots[a:b].tobytes() for a, b in some], pa.binary())
-        kinds = pa.array([kind] * len(some), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(rids[start[at : at + 20_000]]), kinds, lists], names=["rid", "kind", "spots"])
-
-
-def _round(rows: DataFrame, found, parts: int) -> DataFrame:
-    """(rid, kind, spots) where a question is answered by yes. ``found`` gives (keys, rows, spots[, cores]) of a batch."""
+def _answers(parts: int):
+    """Of the places whose question is answered by yes rids and spots, in one row for each part that rids are dealt to."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {REPEATS: [], MIXED: []}
+        sure: dict[int, list[tuple]] = {REPEATS: [], MIXED: []}
+        for batch in batches:
+            for kind, *data in ([x.as_py() for x in row] for row in zip(*(batch.column(c) for c in NAMES[1:]))):
+                keys, stretches = (np.frombuffer(x, "<u8") for x in data[:2])
+                rids, spots = (unpack(x) if x else np.zeros(0, np.int64) for x in data[2:])
+                if len(keys) == 0:
+                    sure[kind].append((rids, spots))
+                elif len(rids) == 0:  # as if two places asked, of two stretches
+                    two = np.repeat(np.array([0, 1], np.uint64), len(keys))
+                    held[kind].append((np.tile(keys, 2), two, np.zeros(len(two), np.int64), np.full(len(two), -1)))
+                else:
+                    held[kind].append((keys, stretches if kind == MIXED else keys, rids, spots))
+        block = _Block(parts)
+        for kind in (REPEATS, MIXED):
+            if held[kind]:
+                keys, stretches, rids, spots = map(np.concatenate, zip(*held[kind]))
+                order = np.lexsort((stretches, keys)) if kind == MIXED else np.argsort(keys)
+                start, end = runs(keys[order])
+                yes = end - start > 1
+                if kind == MIXED:
+                    yes = stretches[order[start]] != stretches[order[end - 1]]
+                found = order[np.repeat(yes, end - start)]
+                found = found[spots[found] >= 0]
+                sure[kind].append((rids[found], spots[found]))
+            if sure[kind]:
+                block.answer(kind, *map(np.concatenate, zip(*sure[kind])))
+        yield block.batch()
+
+    return work
+
+
+def _merged(names: list[str]):
+    """One row per rid with the spots of each kind."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[tuple]] = [[] for _ in names]
+        for batch in batches:
+            for kind, rids, spots in zip(*(batch.column(c) for c in ("kind", "rids", "spots"))):
+                held[kind.as_py()].append((unpack(rids.as_py()), unpack(spots.as_py())))
+        none = np.zeros(0, np.int64)
+        sorted_ = []
+        for parts in held:
+            rids, spots = map(np.concatenate, zip(*parts)) if parts else (none, none)
+            order = np.lexsort((spots, rids))
+            sorted_.append((rids[order], spots[order]))
+        every = np.unique(np.concatenate([r for r, _ in sorted_]))
+        bounds = [(np.searchsorted(r, every), np.searchsorted(r, every, side="right")) for r, _ in sorted_]
+        for at in range(0, len(every), 20_000):
+            some = slice(at, at + 20_000)
+            lists = [
+                pa.array([spots[a:b].tobytes() for a, b in zip(low[some].tolist(), high[some].tolist())], pa.binary())
+                for (_, spots), (low, high) in zip(sorted_, bounds)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(every[some]), *lists], names=["rid", *names])
+
+    return work
+
+
+def _round(rows: DataFrame, found, parts: int, names: list[str]) -> DataFrame:
+    """rid and, by kind, the spots whose question is answered by yes. ``found`` gives (keys, rows, spots[, cores]) of a batch."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text", DEAL_BYTES // 4):
-                rid = part.column("rid").to_numpy()
-                held += [(rid[rows], keys, *rest) for keys, rows, *rest in found(part)]
-                size += int(text_bytes(part.column("text"))[1][-1])
-                if size >= DEAL_BYTES and held:
+            rid = batch.column("rid").to_numpy()
+            for keys, rows, *rest in found(batch):
+                held.append((rid[rows], keys, *rest))
+                size += len(keys)
+                if size >= DEAL_KEYS:
                     yield _sent(parts, *map(np.concatenate, zip(*held)))
                     held, size = [], 0
         if held:
             yield _sent(parts, *map(np.concatenate, zip(*held)))
 
     asked = rows.mapInArrow(ask, RECORDS).repartition(parts, "part")
-    return asked.mapInArrow(_answers, "rid long, kind int, spots binary")
-
-
-def _lists(answers: DataFrame, **kinds: int) -> DataFrame:
-    picks = [F.collect_list(F.when(F.col("kind") == kind, F.col("spots"))).alias(name) for name, kind in kinds.items()]
-    return answers.groupBy("rid").agg(*picks)
+    answered = asked.mapInArrow(_answers(parts), RECORDS).repartition(parts, "part")
+    return answered.mapInArrow(_merged(names), ", ".join(["rid long", *(f"{n} binary" for n in names)]))
 
 
 def repeated_spans(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """(texts dealt by rid, rid with lists ``whole`` and ``single`` of spots whose strings all repeat).
+    """(texts dealt by rid, rid with the spots ``whole`` and ``single`` whose strings all repeat).
 
     ``texts`` has rid (equal rows share it) and text. Three rounds of keys:
     1. What follows the trigger of a run of strings, the core. Most cores are there once, and their strings too.
@@ -257,12 +277,13 @@ def repeated_spans(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]
     """
     window = Window(length)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = parts_for(size, PART_BYTES, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    first = _lists(_round(texts, lambda batch: _first_spots(window, batch), parts), first=REPEATS)
+    parts = parts_for(size, PART_BYTES, texts.sparkSession.sparkContext.defaultParallelism)
+    first = _round(texts, lambda batch: _first_spots(window, batch), parts, ["first"])
     dealt = texts.repartition(parts, "rid")
-    second = _lists(_round(dealt.join(first, "rid"), lambda batch: _stretch_keys(window, batch), parts), whole=REPEATS, mixed=MIXED)
-    third = _round(dealt.join(first, "rid").join(second, "rid", "left"), lambda batch: _string_keys(window, batch), parts)
-    return dealt, second.select("rid", "whole").join(_lists(third, single=REPEATS), "rid", "full")
+    second = _round(dealt.join(first, "rid"), lambda batch: _stretch_keys(window, batch), parts, ["whole", "mixed"])
+    open_ = dealt.join(first, "rid").join(second, "rid", "left")
+    third = _round(open_, lambda batch: _string_keys(window, batch), parts, ["single"])
+    return dealt, second.select("rid", "whole").join(third, "rid", "full")
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", texts: bool = False) -> DataFrame:

@@ -70,7 +70,7 @@ def test_other_lengths(spark, length):
 def test_long_texts_and_small_blocks(spark, monkeypatch):
     """Texts far longer than a segment, and blocks so small that equal strings meet only after the shuffle."""
     monkeypatch.setattr(substrings, "SLICE_BYTES", 700)
-    monkeypatch.setattr(substrings, "DEAL_BYTES", 2000)
+    monkeypatch.setattr(substrings, "DEAL_KEYS", 20)
     rng = random.Random(6)
     shared = words(rng, 400)
     rows = [(i, words(rng, 900) + shared[i:] + words(rng, 900)) for i in range(6)] + list(enumerate(odd_texts(), 10))
