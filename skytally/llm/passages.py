@@ -19,8 +19,8 @@ SIMILARITY = 0.8
 GAP_COST = 0.1  # per word that a chain skips on either side; a seed counts K
 FLANK = 64  # windows of words are cut at multiples of this, so that many chains ask for the same one
 SLICE_BYTES = 1 << 20
-DEAL_BYTES = 32 << 20
-PART_BYTES = 48 << 20
+DEAL_SEEDS = 1 << 19  # seeds that are folded before they are sent
+PART_BYTES = 16 << 20  # of text for each partition of seeds
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -111,38 +111,60 @@ def _ask(parts: int, ids, rids, keys, places) -> Iterator[tuple]:
     return rows, found
 
 
-def _by_text(rids, places, other_ids, other_rids, other_places) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((places, rids))
-    columns = [c[order] for c in (places, other_ids, other_rids, other_places)]
-    rids = rids[order]
-    start, end = runs(rids)
-    for at in range(0, len(start), 20_000):
-        some = list(zip(start[at : at + 20_000].tolist(), end[at : at + 20_000].tolist()))
-        lists = [pa.array([c[a:b].tobytes() for a, b in some], pa.binary()) for c in columns]
-        yield pa.RecordBatch.from_arrays([pa.array(rids[start[at : at + 20_000]]), *lists], names=NAMES)
+def _dealt(parts: int, rids, places, other_ids, other_rids, other_places) -> pa.RecordBatch:
+    """Matches in one row for each part that texts are dealt to."""
+    part = (rids.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((places, rids, part))
+    columns = [c[order] for c in (rids, places, other_ids, other_rids, other_places)]
+    to, data = [], []
+    for a, b in zip(*runs(part[order])):
+        to.append(int(part[order[a]]))
+        data.append(pack(np.concatenate([c[a:b] for c in columns])))
+    return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(data, pa.binary())], names=["part", "known"])
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answer(parts: int):
     """Matches with the first text (by id) that has the seed; those known already pass through."""
-    held = []
-    for batch in batches:
-        for keys, ids, rids, places, known in zip(*(batch.column(c).to_pylist() for c in ("keys", "ids", "rids", "places", "known"))):
-            if known:
-                yield from _by_text(*unpack(known).reshape(5, -1))
-            else:
-                held.append((np.frombuffer(keys, "<u8"), unpack(ids), unpack(rids), unpack(places)))
-    if held:
-        keys, ids, rids, places = map(np.concatenate, zip(*held))
-        order = np.lexsort((places, rids, ids, keys))
-        keys, ids, rids, places = keys[order], ids[order], rids[order], places[order]
-        start, end = runs(keys)
-        top = np.repeat(start, end - start)
-        other = rids != rids[top]
-        yield from _by_text(rids[other], places[other], ids[top][other], rids[top][other], places[top][other])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = [], []
+        for batch in batches:
+            columns = (batch.column(c) for c in ("keys", "ids", "rids", "places", "known"))
+            for keys, ids, rids, places, sure in ((x.as_py() for x in row) for row in zip(*columns)):
+                if sure:
+                    known.append(unpack(sure).reshape(5, -1))
+                else:
+                    held.append((np.frombuffer(keys, "<u8"), unpack(ids), unpack(rids), unpack(places)))
+        if held:
+            keys, ids, rids, places = map(np.concatenate, zip(*held))
+            order = np.lexsort((places, rids, ids, keys))
+            keys, ids, rids, places = keys[order], ids[order], rids[order], places[order]
+            start, end = runs(keys)
+            top = np.repeat(start, end - start)
+            other = rids != rids[top]
+            known.append(np.stack([c[other] for c in (rids, places, ids[top], rids[top], places[top])]))
+        if known:
+            yield _dealt(parts, *np.concatenate(known, axis=1))
+
+    return work
+
+
+def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All matches of a text in one row."""
+    known = [unpack(x.as_py()).reshape(5, -1) for batch in batches for x in batch.column("known")]
+    if not known:
+        return
+    columns = np.concatenate(known, axis=1)
+    columns = columns[:, np.lexsort((columns[1], columns[0]))]
+    start, end = runs(columns[0])
+    for at in range(0, len(start), 2_000):
+        some = list(zip(start[at : at + 2_000].tolist(), end[at : at + 2_000].tolist()))
+        lists = [pa.array([c[a:b].tobytes() for a, b in some], pa.binary()) for c in columns[1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0][start[at : at + 2_000]]), *lists], names=NAMES)
 
 
 def matches(texts: DataFrame, parts: int) -> DataFrame:
-    """rid with lists of matches (place, text and place of the first occurrence) for seeds that are in several texts."""
+    """rid with its matches (places, texts and places of first occurrences) for seeds that are in several texts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -154,8 +176,8 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
                 own = text[places]
                 ids = part.column("id").to_numpy()[own]
                 held.append((ids, part.column("rid").to_numpy()[own], keys, places - np.searchsorted(text, own)))
-                size += len(data)
-                if size >= DEAL_BYTES:
+                size += len(keys)
+                if size >= DEAL_SEEDS:
                     yield send(held)
                     held, size = [], 0
         if held:
@@ -164,11 +186,8 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
     def send(held: list[tuple]) -> pa.RecordBatch:
         rows, known = _ask(parts, *map(np.concatenate, zip(*held)))
         rows = [(*r, None) for r in rows]
-        part = (known[0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((known[1], known[0], part))
-        for a, b in zip(*runs(part[order])):
-            some = order[a:b]
-            rows.append((int(part[some[0]]), None, None, None, None, pack(np.concatenate([c[some] for c in known]))))
+        for part, data in zip(*(c.to_pylist() for c in _dealt(parts, *known).columns)):
+            rows.append((part, None, None, None, None, data))
         kinds = [pa.int32(), *[pa.binary()] * 5]
         columns = zip(*rows) if rows else ((),) * 6
         return pa.RecordBatch.from_arrays(
@@ -176,8 +195,8 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
         )
 
     dealt = texts.mapInArrow(ask, ASKED + ", known binary").repartition(parts, "part")
-    lists = dealt.mapInArrow(_answer, MATCHES).groupBy("rid")
-    return lists.agg(*(F.collect_list(c).alias(c) for c in NAMES[1:]))
+    answered = dealt.mapInArrow(_answer(parts), "part int, known binary").repartition(parts, "part")
+    return answered.mapInArrow(_by_text, MATCHES)
 
 
 # ---- chains ------------------------------------------------------------------------------------------------------------
@@ -228,10 +247,6 @@ def chain(places: np.ndarray, others: np.ndarray) -> list[list[int]]:
     return out
 
 
-def _joined(lists: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(lists or []), "<i8")
-
-
 CHAINS = "rid long, other_id long, other_rid long, anchors binary, a0 long, a1 long, b0 long, b1 long"
 
 
@@ -240,7 +255,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for rid, *lists in zip(*(batch.column(c).to_pylist() for c in NAMES)):
-            place, ids, rids, other = map(_joined, lists)
+            place, ids, rids, other = (np.frombuffer(x, "<i8") for x in lists)
             own = rids == rid  # further places of a seed in this text take the matches of its first place
             far = {p: i for i, p in enumerate(place.tolist()) if not own[i]}
             more = [(p, far[q]) for p, q in zip(place[own].tolist(), other[own].tolist()) if q in far]
