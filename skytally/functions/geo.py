@@ -16,6 +16,7 @@ Point = tuple[str, float, float]
 GRID_DEGREES = 1.0
 GRID_COLUMNS = round(360 / GRID_DEGREES)
 BROADCAST_BYTES = 8 * 1024 * 1024
+MOST_DEGREES = 36_000  # of longitude, which wraps
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -85,7 +86,8 @@ def assign_nearest(
     points near its cell, mostly none or one. Looking the cell up is a join on one number with a
     table whose size follows from ``points``; it is broadcast when that is small, the big side
     is neither shuffled nor multiplied, and a later filter on the region stays above the join.
-    Equally near points are settled by list order. A missing coordinate gives NULL.
+    Equally near points are settled by list order. A missing coordinate gives NULL, one that is off the globe
+    (infinity and NaN too) ``other``.
 
     ``km_out`` adds the distance, NULL where the code is ``other``.
     """
@@ -94,8 +96,10 @@ def assign_nearest(
     if table.nbytes <= BROADCAST_BYTES:
         grid = F.broadcast(grid)
     latitude, longitude = F.col(lat), F.col(lon)
-    row, column = F.floor(latitude / GRID_DEGREES), F.floor(longitude / GRID_DEGREES)
-    cell = row * GRID_COLUMNS + F.pmod(column, F.lit(GRID_COLUMNS))
+    row, column = (F.floor(x / GRID_DEGREES) for x in (latitude, longitude))
+    # Off the globe there is no cell (and no point in reach); far-off numbers would overflow.
+    on_globe = latitude.between(-90, 90) & longitude.between(-MOST_DEGREES, MOST_DEGREES)
+    cell = F.when(on_globe, row * GRID_COLUMNS + F.pmod(column, F.lit(GRID_COLUMNS)))
 
     def distance(point: Column) -> Column:
         km = haversine_km(latitude, longitude, point["lat"], point["lon"])

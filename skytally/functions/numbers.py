@@ -13,17 +13,22 @@ def nan_to_null(col: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """Text to double, NULL when it is not a number.
+    """Text to double, NULL when it is not a plain decimal number.
 
-    Java also reads a trailing type letter ("3d", "2.5f") as part of a number; masking these
-    letters turns such a text, and infinity, into something that is not one.
+    Java reads more than that as a number: type letters ("3d"), hexadecimal ("0x1p3"), words for infinity.
     """
-    return nan_to_null(F.translate(text, "dDfF", "____").try_cast("double"))
+    return F.when(text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), nan_to_null(text.try_cast("double")))
 
 
 def to_exact_decimal(col: Column) -> Column:
-    """Shortest decimal text of a number as an exact decimal; NaN becomes NULL."""
-    return nan_to_null(col.cast("double")).cast("string").cast("decimal(38,18)")
+    """Shortest decimal text of a number as an exact decimal.
+
+    NULL for NaN and for what 20 digits before and 18 behind the point cannot hold: a number is kept whole or not
+    at all (see ``sources.quarantine.inexact``).
+    """
+    value = nan_to_null(col.cast("double"))
+    exact = value.cast("string").try_cast("decimal(38,18)")
+    return F.when(exact.cast("double") == value, exact)
 
 
 def metres_to_feet(col: Column) -> Column:

@@ -11,8 +11,18 @@ def bucket_epoch(seconds: Column, minutes: int) -> Column:
     return seconds - F.pmod(seconds, F.lit(minutes * 60))
 
 
+# Years 1 to 9999: what a timestamp column can hold in every engine that reads the tables.
+FIRST_EPOCH, LAST_EPOCH = -62135596800, 253402300799
+
+
+def sane_epoch(seconds: Column) -> Column:
+    """NULL for a time far off; converting it would stop the job."""
+    return F.when(seconds.between(FIRST_EPOCH, LAST_EPOCH), seconds)
+
+
 def bucket_start(seconds: Column, minutes: int) -> Column:
-    return F.timestamp_seconds(bucket_epoch(seconds, minutes))
+    """NULL for a time far off."""
+    return F.timestamp_seconds(bucket_epoch(sane_epoch(seconds), minutes))
 
 
 def parse_compact(text: Column) -> Column:
@@ -35,4 +45,5 @@ def hours_before(as_of: str, hours: float) -> Column:
 
 
 def partition_date(seconds: Column) -> Column:
-    return F.to_date(F.timestamp_seconds(seconds))
+    """NULL for a time far off, so such rows are stored apart."""
+    return F.to_date(F.timestamp_seconds(sane_epoch(seconds)))

@@ -253,6 +253,27 @@ _CHECKPOINTS = """
 
 _BODIES = {
     "flatten_states": f"SELECT {_RECORD} FROM bronze_v",
+    "read_polls": f"SELECT {_RECORD[: -len('poll_timestamp')]} poll_timestamp - poll_timestamp % 3600 AS poll_timestamp FROM bronze_v",
+    "quarantined_records": """
+        SELECT reason, count(*) AS n FROM (
+          SELECT unnest([CASE WHEN off THEN 'position' WHEN far THEN 'time' END, CASE WHEN placed THEN 'cleaned' END,
+            CASE WHEN placed AND NOT far THEN 'bucketed' END]) AS reason
+          FROM (SELECT far, NOT (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) AS off,
+              latitude IS NOT NULL AND longitude IS NOT NULL AS placed
+            FROM (SELECT longitude, CASE event_id % 50 WHEN 1 THEN CAST(1e300 AS DOUBLE) WHEN 2 THEN CAST('Infinity' AS DOUBLE)
+              WHEN 3 THEN CAST(91 AS DOUBLE) ELSE latitude END AS latitude, event_id % 50 = 4 AS far FROM records_v))
+          UNION ALL SELECT 'malformed' FROM (SELECT DISTINCT poll_timestamp // 3600 AS hour FROM records_v) WHERE hour % 10 = 0)
+        WHERE reason IS NOT NULL GROUP BY reason""",
+    "gold_events": f"SELECT {_EVENTS} FROM (SELECT * REPLACE (num_mentions"
+    " + CASE WHEN CAST(global_event_id AS BIGINT) % 2 = 0 THEN 0 ELSE 1 END AS num_mentions) FROM conflicts_v)",
+    "pipeline_summary": """
+        SELECT CAST(0 AS INTEGER) AS run, 'polls' AS layer, count(*) + count(*) FILTER (hour % 10 = 0) AS n
+          FROM (SELECT DISTINCT poll_timestamp // 3600 AS hour FROM records_v)
+        UNION ALL SELECT 0, 'records', count(*) FROM bronze_v
+        UNION ALL SELECT 0, 'states', count(*) FROM placed_bronze_v
+        UNION ALL SELECT 0, 'traffic_items', count(*) FROM silver_hourly_v
+        UNION ALL SELECT 1, 'polls', 0 UNION ALL SELECT 1, 'records', 0 UNION ALL SELECT 1, 'states', 0
+        UNION ALL SELECT 1, 'manifest traffic', 1""",
     "keyed_messages": f"SELECT {_RECORD} FROM bronze_v",
     "bronze_records": f"SELECT {_RECORD}, CAST(poll_ts AS DATE) AS dt FROM bronze_v",
     "export_events": f"SELECT {_EVENTS} FROM conflicts_v",
@@ -267,7 +288,7 @@ _BODIES = {
         SELECT coalesce(n.source, o.source) AS source, coalesce(n.shard, o.shard) AS shard,
           CAST(coalesce(n.position, o.position) AS VARCHAR) AS position
         FROM ({_CHECKPOINTS.format(condition=f"ts < TIMESTAMP '{REPLAY_AT}'")}) o
-        FULL JOIN ({_CHECKPOINTS.format(condition=f"ts >= TIMESTAMP '{REPLAY_AT}' AND event_type <> 'signup'")}) n
+        FULL JOIN ({_CHECKPOINTS.format(condition=f"ts >= TIMESTAMP '{REPLAY_AT}'")}) n
           ON n.source = o.source AND n.shard = o.shard""",
     "stored_etag": "SELECT event_type || '-' || CAST(event_id AS VARCHAR) AS source_etag FROM events"
     " WHERE user_id % 50 = 7 ORDER BY event_id DESC LIMIT 1",

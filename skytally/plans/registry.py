@@ -27,7 +27,7 @@ from skytally.operators import (
 from skytally.plans import adapters, jobs
 from skytally.schemas import COUNTS, EVENTS, RECORD, STATES, TRAFFIC
 from skytally.session import configure, work_path
-from skytally.sources import exports, records, tables
+from skytally.sources import exports, polls, quarantine, records, tables
 from skytally.streaming import gold, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,48 @@ def flatten_states(spark, sf_dir):
     return adapters.bronze(spark, sf_dir)
 
 
+def _land_polls(spark, sf_dir, path):
+    """One response file an hour, as a feed would store them, and for every tenth hour a second one that was cut off."""
+    rows = adapters.records(spark, sf_dir).withColumn("poll_timestamp", times.bucket_epoch(F.col("poll_timestamp"), HOUR))
+    polls = adapters.polls_of(rows).groupBy("time").agg(F.flatten(F.collect_list("states")).alias("states"))
+    body = F.to_json(F.struct("time", "states"), {"ignoreNullFields": "false"})
+    whole = polls.select("time", body.alias("body"))
+    cut = whole.filter(F.col("time") / 3600 % 10 == 0).select("time", F.expr("left(body, length(body) - 5)").alias("body"))
+    whole.union(cut).select("body").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query
+def read_polls(spark, sf_dir):
+    """State vectors of stored response files; those that were cut off are left out."""
+    return polls.flatten_states(polls.read_polls(spark, _land_polls(spark, sf_dir, work_path(spark, "polls"))))
+
+
+def _with_bad_rows(spark, sf_dir):
+    """Records of which some have positions or times that no table holds."""
+    n = F.col("event_id") % 50
+    lat = F.when(n == 1, F.lit(1e300)).when(n == 2, F.lit(float("inf"))).when(n == 3, F.lit(91.0)).otherwise(F.col("latitude"))
+    at = F.when(n == 4, F.lit(10**17)).otherwise(F.col("poll_timestamp"))
+    return adapters.records(spark, sf_dir).withColumns({"latitude": lat, "poll_timestamp": at})
+
+
+@query
+def quarantined_records(spark, sf_dir):
+    """What is set aside, by reason, next to the rows that go on: cleaned rows and, of those, rows in a bucket."""
+    bad = _with_bad_rows(spark, sf_dir)
+    cleaned = cleaning.clean_states(bad.select(*RECORD.fieldNames()))
+    cut = polls.malformed_polls(spark, _land_polls(spark, sf_dir, work_path(spark, "polls")))
+    parts = {
+        "malformed": cut,
+        "cleaned": cleaned,
+        "bucketed": cleaned.filter(times.bucket_start(F.col("poll_timestamp"), HOUR).isNotNull()),
+    }
+    rows = quarantine.set_aside(bad).select("reason")
+    for name, df in parts.items():
+        rows = rows.union(df.select(F.lit(name)))
+    return rows.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query
 def keyed_messages(spark, sf_dir):
     """Records to keyed JSON messages and back."""
@@ -197,7 +239,7 @@ def merge_checkpoints(spark, sf_dir):
     rows = _event_sources(spark, sf_dir)
     split = F.lit(REPLAY_AT).cast("timestamp_ntz")
     old = _checkpoints(rows, F.col("ts") < split).withColumnRenamed("checkpoints", "old")
-    new = _checkpoints(rows, (F.col("ts") >= split) & (F.col("event_type") != "signup")).withColumnRenamed("checkpoints", "new")
+    new = _checkpoints(rows, F.col("ts") >= split).withColumnRenamed("checkpoints", "new")
     merged = old.join(new, "source", "full").select("source", tables.merge_checkpoints(F.col("old"), F.col("new")).alias("m"))
     return merged.select("source", F.explode("m").alias("shard", "position"))
 
@@ -620,6 +662,30 @@ def load_serving(spark, sf_dir):
     return serving.decode_traffic(jobs.read_serving_traffic(spark, path))
 
 
+@query
+def gold_events(spark, sf_dir):
+    """Events of two overlapping exports; the later one has every second event again, with its final mentions."""
+    path = work_path(spark, "events")
+    found = adapters.conflicts(spark, sf_dir)
+    early = found.withColumn("num_mentions", F.col("num_mentions") + 1).withColumn("source_file", F.lit("a.zip"))
+    late = found.filter(F.col("global_event_id").cast("long") % 2 == 0).withColumn("source_file", F.lit("b.zip"))
+    for batch_id, rows in enumerate((early, late)):
+        tables.write_batch(rows, path, batch_id)
+    return jobs.current_events(ingest.read_silver_events(spark, path))
+
+
+@query
+def pipeline_summary(spark, sf_dir):
+    """Rows per layer of two runs in a row over stored responses and no exports, and what the manifest notes."""
+    root = work_path(spark, "pipeline")
+    _land_polls(spark, sf_dir, f"{root}/landing/polls")
+    runs = [jobs.run_pipeline(spark, f"{root}/landing", f"{root}/lake", AS_OF, HOUR) for _ in range(2)]
+    rows = [(i, layer, int(n)) for i, summary in enumerate(runs) for layer, n in summary.items()]
+    counted = spark.createDataFrame(rows, "run INT, layer STRING, n BIGINT")
+    known = tables.read_manifest(spark, f"{root}/lake/manifest").filter("last_run_status = 'success'")
+    return counted.union(known.select(F.lit(1), F.concat(F.lit("manifest "), "source_name"), F.lit(1).cast("bigint")))
+
+
 def _event_stream(spark, sf_dir):
     """The events table as a stream of its files. The pattern matches a file as well as a folder."""
     schema = adapters.table(spark, sf_dir, "events").schema

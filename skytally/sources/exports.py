@@ -17,10 +17,10 @@ from skytally.schemas import EXPORT_COLUMNS, FILES
 EXPORT_SUFFIX = ".export.CSV.zip"
 
 # What cleaning needs; the other columns need not leave the parser.
-USED_COLUMNS = """
-GLOBALEVENTID Actor1Name Actor2Name EventCode QuadClass GoldsteinScale NumMentions NumSources NumArticles
-ActionGeo_CountryCode ActionGeo_Lat ActionGeo_Long DATEADDED SOURCEURL
-""".split()
+USED_COLUMNS = [
+    "GLOBALEVENTID", "Actor1Name", "Actor2Name", "EventCode", "QuadClass", "GoldsteinScale", "NumMentions", "NumSources", "NumArticles",
+    "ActionGeo_CountryCode", "ActionGeo_Lat", "ActionGeo_Long", "DATEADDED", "SOURCEURL",
+]
 
 
 def _member_batches(member: io.BufferedReader, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:

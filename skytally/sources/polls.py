@@ -8,19 +8,30 @@ from pyspark.sql import functions as F
 from skytally.functions.numbers import nan_to_null
 from skytally.functions.text import blank_to_null
 from skytally.operators.cleaning import clean_states
-from skytally.schemas import POLL, RECORD, STATES, VECTOR_FIELDS
+from skytally.schemas import POLL, RECORD, STATES, VECTOR_FIELDS, with_columns
+from skytally.sources.quarantine import CORRUPT, parsed
 from skytally.sources.tables import has_files, newest_file
 
 
+FIELDS = with_columns(POLL, f"{CORRUPT} STRING")
+
+
 def read_polls(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(POLL).option("multiLine", True).json(path)
+    """One row per file that holds a whole response. See ``malformed_polls`` for the others."""
+    return parsed(spark.read.text(path, wholetext=True), FIELDS).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed_polls(spark: SparkSession, path: str) -> DataFrame:
+    """Files that hold no whole response, such as one that was cut off."""
+    files = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
+    return parsed(files, FIELDS, "file").filter(F.col(CORRUPT).isNotNull()).select("file", F.col(CORRUPT).alias("body"))
 
 
 def stream_polls(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(POLL).option("multiLine", True)
+    reader = spark.readStream.option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return parsed(reader.text(path), FIELDS).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame, str]:
@@ -38,10 +49,7 @@ def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame,
 
 
 def flatten_states(polls: DataFrame) -> DataFrame:
-    """One record per state vector; vectors without an identifier are dropped.
-
-    Records without a position stay: a lost position is telemetry at this level.
-    """
+    """One record per state vector that has an identifier, with or without a position."""
     vectors = polls.select(F.col("time").alias("poll_timestamp"), F.explode("states").alias("v"))
     fields = []
     for name, position, kind in VECTOR_FIELDS:

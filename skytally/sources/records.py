@@ -7,20 +7,32 @@ from pyspark.sql import functions as F
 
 from skytally.functions.times import bucket_epoch, partition_date
 from skytally.schemas import RECORD, with_columns
+from skytally.sources.quarantine import CORRUPT, parsed
 
-STORED = with_columns(RECORD, "dt DATE")
+LINES = "value STRING, dt DATE"
+FIELDS = with_columns(RECORD, f"{CORRUPT} STRING")
+
+
+def _split(lines: DataFrame) -> DataFrame:
+    """Each line parsed; ``CORRUPT`` holds a line that is not one whole object."""
+    return parsed(lines.filter(F.trim("value") != ""), FIELDS, "dt")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Blank lines are skipped and missing fields read as NULL."""
-    return spark.read.schema(STORED).json(path)
+    """Well-formed records; blank lines are skipped and missing fields read as NULL. See ``malformed_records`` for the rest."""
+    return _split(spark.read.schema(LINES).text(path)).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed_records(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_records`` leaves out."""
+    return _split(spark.read.schema(LINES).text(path)).filter(F.col(CORRUPT).isNotNull()).select("dt", F.col(CORRUPT).alias("body"))
 
 
 def stream_records(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(STORED)
+    reader = spark.readStream.schema(LINES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return _split(reader.text(path)).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def encode(records: DataFrame, out: str = "value") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from skytally.constants import BUCKET_MINUTES
-from skytally.functions.times import bucket_epoch, bucket_start
+from skytally.functions.times import bucket_epoch, bucket_start, sane_epoch
 from skytally.operators.history import KEYS, only_keys, rescore
 from skytally.operators.traffic import aggregate_traffic
 from skytally.schemas import COUNTS, TRAFFIC
@@ -39,7 +39,7 @@ def refresh_gold(
 ) -> None:
     """Bring counts and scores up to date for the buckets that ``arrived`` rows fall into."""
     seconds = F.col("poll_timestamp")
-    touched = arrived.filter(seconds.isNotNull()).select(
+    touched = arrived.filter(sane_epoch(seconds).isNotNull()).select(
         F.col("nearest_region").alias("region"), bucket_start(seconds, bucket_minutes).alias("bucket_sk")
     )
     changed = touched.distinct().persist()  # keys only: one row per region and bucket
@@ -90,7 +90,7 @@ def windowed_traffic(states: DataFrame, lateness: str, bucket_minutes: int = BUC
     """
     sightings = states.select(
         F.col("nearest_region").alias("region"),
-        bucket_epoch(F.col("poll_timestamp"), bucket_minutes).alias("start"),
+        bucket_epoch(sane_epoch(F.col("poll_timestamp")), bucket_minutes).alias("start"),
         "icao24",
     )
     return (
