@@ -4,7 +4,7 @@ import random
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
-from skytally.constants import AIRPORTS, BOX
+from skytally.constants import AIRPORTS, BOX, ZONES
 from skytally.functions import geo, numbers, scoring, text, times
 from skytally.operators.cleaning import filter_any
 
@@ -14,16 +14,15 @@ def value(spark, column, data=("x",), ddl="c STRING"):
 
 
 def test_airline_from_callsign(spark):
-    calls = ["UAE85", "QTR123", "SVA555", "ETD60K", "PIA430", "IGO057", "ZZZ999", None, "", "   ", " uae1", "XY123", "XYZ1", "T7ZAM", " AIC1"]
+    calls = [None, "AIC77", "SVA20X", "  igo3", "ETD9", "\t", "QQQ1", "PIA8 ", "uae1A", "XY9", "QTR0", ""]
     assert value(spark, text.airline_name(F.col("c")), calls) == [
-        "Emirates", "Qatar Airways", "Saudia", "Etihad Airways", "Pakistan International", "IndiGo", "Other",
-        "Unknown / private", "Unknown / private", "Unknown / private", "Emirates", "flynas", "Other",
-        "Unknown / private", "Air India",
+        "Unknown / private", "Air India", "Saudia", "IndiGo", "Etihad Airways", "Unknown / private", "Other",
+        "Pakistan International", "Emirates", "flynas", "Qatar Airways", "Unknown / private",
     ]
 
 
 def test_blank_becomes_null(spark):
-    assert value(spark, text.blank_to_null(F.col("c")), ["SIA123  ", "\t\n ", "", None]) == ["SIA123", None, None, None]
+    assert value(spark, text.blank_to_null(F.col("c")), [" \n", "KAC7 ", None, ""]) == [None, "KAC7", None, None]
 
 
 def test_colours(spark):
@@ -58,9 +57,12 @@ def test_distance(spark):
 
 
 def test_zones(spark):
-    points = spark.createDataFrame([(32.0, 53.0), (15.5, 47.5), (21.68, 39.16), (30.0, 45.0), (29.1, 38.8), (None, 1.0)], "a DOUBLE, b DOUBLE")
-    got = [r[0] for r in points.select(geo.zone_of(F.col("a"), F.col("b"))).collect()]
-    assert got == ["Iran", "Yemen", None, "Iran", "Iraq", None]
+    """The middle of each zone that no earlier zone holds, a corner, and points outside."""
+    for number, (name, south, north, west, east) in enumerate(ZONES):
+        spots = [((south + north) / 2, (west + east) / 2), (south, west), (south - 0.01, west), (None, west)]
+        rows = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "i INT, a DOUBLE, b DOUBLE").orderBy("i")
+        own = [r[0] for r in rows.select(geo.zone_of(F.col("a"), F.col("b"), ZONES[number:])).collect()]
+        assert own[:2] == [name, name] and own[2] != name and own[3] is None
 
 
 def test_box_edges_are_inside(spark):
@@ -75,8 +77,26 @@ def nearest(spark, rows, **options):
 
 
 def test_nearest_airport(spark):
-    rows = [(25.2532, 55.3657), (25.2731, 51.6081), (15.0, 55.0), (25.30, 55.90), (None, 55.0), (25.0, None)]
-    assert nearest(spark, rows) == ["DXB", "DOH", "OTHER", "DXB", None, None]
+    rows = [(lat + 0.03, lon - 0.04) for _, lat, lon in AIRPORTS] + [(-41.0, 12.0), (None, 41.0), (27.0, None)]
+    assert nearest(spark, rows) == [code for code, _, _ in AIRPORTS] + ["OTHER", None, None]
+
+
+def test_positions_off_the_globe_are_in_no_region(spark):
+    rows = [(1e300, 50.0), (math.inf, 50.0), (91.0, 50.0), (-1e17, 50.0), (25.0, 1e300), (25.0, -math.inf), (math.nan, 50.0)]
+    assert nearest(spark, rows) == ["OTHER"] * 7
+
+
+def test_far_off_times(spark):
+    days = value(spark, times.partition_date(F.col("c")), [10**17, -(10**17), 86400, None], "c BIGINT")
+    assert [d and d.isoformat() for d in days] == [None, None, "1970-01-02", None]
+    assert value(spark, times.bucket_start(F.col("c"), 5).isNull(), [10**17, 86400], "c BIGINT") == [True, False]
+
+
+def test_only_plain_numbers_and_whole_decimals(spark):
+    texts = ["0x1p3", "1_0", "Infinity", "+.5", "7.", "1e2", "--1", "٣"]
+    assert value(spark, numbers.to_double(F.col("c")), texts) == [None, None, None, 0.5, 7.0, 100.0, None, None]
+    exact = value(spark, numbers.to_exact_decimal(F.col("c")), [1e25, 1e-19, 0.1, -12.5, math.nan, None, math.inf], "c DOUBLE")
+    assert [x if x is None else float(x) for x in exact] == [None, None, 0.1, -12.5, None, None, None]
 
 
 def test_first_listed_wins_a_tie(spark):

@@ -11,35 +11,37 @@ from skytally.operators.dedup import latest_by_key, merge_latest
 from skytally.schemas import COUNTS, STATES, TRAFFIC
 
 
-def last(df, region="DXB"):
+def last(df, region="KWI"):
     return baseline.score_anomalies(df).filter(F.col("region") == region).orderBy(F.desc("bucket_sk")).first()
 
 
 def test_too_little_history(series):
-    rows = baseline.score_anomalies(series(("DXB", [10, 11, 9, 10, 12]))).collect()
-    assert {r.anomaly_status for r in rows} == {"insufficient_baseline"}
-    assert all(r.z_score is None and r.rolling_mean is None for r in rows)
-    assert sorted(r.baseline_n for r in rows) == [0, 1, 2, 3, 4]
+    """Eleven buckets behind a bucket are too few, twelve are enough."""
+    rows = baseline.score_anomalies(series(("KWI", list(range(3, 16))))).orderBy("bucket_sk").collect()
+    assert [r.baseline_n for r in rows] == list(range(13))
+    assert [r.rolling_mean for r in rows[:12]] == [None] * 12 and rows[12].rolling_mean == sum(range(3, 15)) / 12
+    assert {r.anomaly_status for r in rows[:12]} == {"insufficient_baseline"} and {r.z_score for r in rows[:12]} == {None}
 
 
 @pytest.mark.parametrize(
     "counts, status, direction",
     [
-        ([10] * 20 + [0], "critical", "drop"),
-        ([10] * 20 + [40], "critical", "spike"),
-        ([10, 11, 9, 10, 12, 9, 11, 10, 10, 11, 9, 10, 10], "normal", None),
-        ([1] * 20 + [2], "normal", None),  # the deviation floor keeps a small step harmless
+        ([24, 26] * 9 + [3], "critical", "drop"),
+        ([24, 26] * 9 + [31], "critical", "spike"),
+        ([24, 26] * 9 + [28], "serious", "spike"),
+        ([24, 26] * 9 + [25], "normal", None),
+        ([7] * 15 + [8], "normal", None),  # the deviation floor keeps a small step harmless
     ],
 )
 def test_last_bucket(series, counts, status, direction):
-    row = last(series(("DXB", counts)))
+    row = last(series(("KWI", counts)))
     assert (row.anomaly_status, row.anomaly_direction) == (status, direction)
 
 
 def test_regions_are_independent(series):
-    df = series(("DXB", [10] * 20 + [0]), ("DOH", [5] * 21))
-    assert last(df).anomaly_status == "critical"
-    assert last(df, "DOH").anomaly_status == "normal"
+    df = series(("MCT", [24, 26] * 9 + [3]), ("BAH", [3] * 19))
+    assert last(df, "MCT").anomaly_status == "critical"
+    assert last(df, "BAH").anomaly_status == "normal"
 
 
 def test_empty_input_keeps_the_schema(spark):
@@ -132,6 +134,22 @@ def test_rescore_covers_all_affected_rows(series):
         assert a == b
 
 
+def test_changes_far_apart_do_not_bring_in_what_lies_between(series):
+    before = series(("KWI", _long_series(5000)))
+    changed = _hit(before, 40, 40).union(_hit(before, 4990, 4990))
+    after = merge_latest(before, changed.withColumn("aircraft_count", F.lit(500).cast("bigint")), history.KEYS)
+    got = history.rescore(after, changed)
+    assert got.count() == 289 + 10
+    assert rows_of(got) == rows_of(history.only_keys(baseline.score_anomalies(after), got))
+
+
+def test_recent_history_of_a_long_series(series):
+    df = series(("A", _long_series(5000)), ("B", _long_series(30, 4)))
+    got = history.recent_history(df, None, 288)
+    assert [r.aircraft_count for r in got.filter("region = 'A'").collect()] == _long_series(5000)[-288:]
+    assert got.filter("region = 'B'").count() == 30
+
+
 def test_recent_history_reads_back_oldest_first(series):
     df = series(("A", [40, 42, 45]), ("B", [1]))
     regions = df.filter("region = 'A'").select("region")

@@ -13,7 +13,7 @@ from skytally.sources import exports, polls, records, tables
 
 def vector(**fields):
     """A 17-value state vector."""
-    v = ["abc123", "SIA123  ", "Singapore", 1, 2, 55.3657, 25.2532, 10000, False, 230.5, 90, -0.5, None, 7.5, None, False, 0]
+    v = ["7f00aa", "KAC771 ", "Kuwait", 3, 4, 47.98, 29.22, 8400, False, 211.25, 305, 2.5, None, 8520.5, None, True, 1]
     for position, value in fields.items():
         v[int(position[1:])] = value
     return v
@@ -27,26 +27,35 @@ def write_poll(path, time, states):
 def test_flatten_polls(spark, tmp_path):
     folder = tmp_path / "polls"
     states = [vector(), vector(_1="        "), vector(_0=None), vector(_0=""), [], None, vector(_0="nopos", _5=None, _6=None)]
-    write_poll(folder / "a.json", 1785252407, states)
+    write_poll(folder / "a.json", 1769000400, states)
     write_poll(folder / "b.json", 2, [])
     write_poll(folder / "c.json", 3, None)
     out = polls.flatten_states(polls.read_polls(spark, str(folder)))
     assert out.columns == RECORD.fieldNames() and out.schema["on_ground"].dataType.simpleString() == "boolean"
     got = {(r.icao24, r.callsign): r for r in out.collect()}
-    assert set(got) == {("abc123", "SIA123"), ("abc123", None), ("nopos", "SIA123")}
-    row = got["abc123", "SIA123"]
-    assert (row.longitude, row.latitude, row.baro_altitude, row.on_ground, row.velocity) == (55.3657, 25.2532, 10000.0, False, 230.5)
-    assert (row.true_track, row.vertical_rate, row.geo_altitude, row.poll_timestamp) == (90.0, -0.5, 7.5, 1785252407)
-    assert got["nopos", "SIA123"].latitude is None
+    assert set(got) == {("7f00aa", "KAC771"), ("7f00aa", None), ("nopos", "KAC771")}
+    row = got["7f00aa", "KAC771"]
+    assert (row.longitude, row.latitude, row.baro_altitude, row.on_ground, row.velocity) == (47.98, 29.22, 8400.0, False, 211.25)
+    assert (row.true_track, row.vertical_rate, row.geo_altitude, row.poll_timestamp) == (305.0, 2.5, 8520.5, 1769000400)
+    assert got["nopos", "KAC771"].latitude is None
+
+
+def test_a_response_that_was_cut_off_is_set_aside(spark, tmp_path):
+    folder = tmp_path / "polls"
+    write_poll(folder / "a.json", 1769000400, [vector()])
+    (folder / "b.json").write_text((folder / "a.json").read_text()[:-9])
+    assert polls.flatten_states(polls.read_polls(spark, str(folder))).count() == 1
+    assert [r.file for r in polls.malformed_polls(spark, str(folder)).collect()] == ["b.json"]
 
 
 def test_records_skip_blank_lines_and_fill_missing_fields(spark, tmp_path):
     folder = tmp_path / "dt=2026-01-01"
     folder.mkdir()
-    lines = ['{"icao24": "a", "latitude": 25.2532, "longitude": 55.3657}', "", "   ", '{"icao24": "b", "poll_timestamp": 5}']
+    lines = ['{"icao24": "a", "latitude": 25.2532, "longitude": 55.3657}', "", "   ", '{"icao24": "cut", "lat', '{"icao24": "b", "poll_timestamp": 5}']
     (folder / "x.ndjson").write_text("\n".join(lines))
     read = records.read_records(spark, str(tmp_path))
     assert rows_of(read, "icao24", "callsign", "poll_timestamp", "on_ground") == [("a", None, None, None), ("b", None, 5, None)]
+    assert [r.body for r in records.malformed_records(spark, str(tmp_path)).collect()] == ['{"icao24": "cut", "lat']
     cleaned = clean_states(read)
     assert cleaned.columns == STATES.fieldNames()
     assert rows_of(cleaned, "icao24", "airline", "nearest_region") == [("a", "Unknown / private", "DXB")]
@@ -181,7 +190,7 @@ def test_live_states_fall_back(spark, tmp_path):
     assert (rows_of(cached, "icao24", "nearest_region"), label) == ([("new", "DXB")], "cached (from 02:01 UTC)")
     write_poll(live / "now.json", 5, [vector()])
     states, label = polls.live_states(spark, str(live), str(bronze))
-    assert (rows_of(states, "icao24", "nearest_region"), label) == ([("abc123", "DXB")], "live")
+    assert (rows_of(states, "icao24", "nearest_region"), label) == ([("7f00aa", "KWI")], "live")
 
 
 def test_unprocessed_files(spark):
