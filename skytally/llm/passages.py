@@ -270,7 +270,7 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if at[-1] + K - at[0] < LEAST_WORDS - 2 * (K + REACH):
                         continue
                     window = [_down(at[0]), _up(at[-1]), _down(to[0]), _up(to[-1])]
-                    out.append((rid, int(ids[some[0]]), int(rids[some[0]]), np.stack([at, to]).tobytes(), *window))
+                    out.append((rid, int(ids[some[0]]), int(rids[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
         if out:
             kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4
             names = [c.split()[0] for c in CHAINS.split(", ")]
@@ -374,8 +374,9 @@ def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["rid", "other_id", "anchors", "a0", "b0", "words", "other_words"]
     for batch in batches:
         out = []
-        for rid, other, anchors, a0, b0, words, other_words in zip(*(batch.column(c).to_pylist() for c in names)):
-            at, to = np.frombuffer(anchors, "<i8").reshape(2, -1)
+        columns = [batch.column(c) for c in names]  # row by row: windows of long texts are large
+        for rid, other, anchors, a0, b0, words, other_words in ((c[i].as_py() for c in columns) for i in range(batch.num_rows)):
+            at, to = np.frombuffer(anchors, "<i4").reshape(2, -1)
             a, b = np.frombuffer(words, "<u2"), np.frombuffer(other_words, "<u2")
             for x0, x1, y0, y1, similarity in align(a, b, at - a0, to - b0):
                 out.append((rid, other, x0 + a0, x1 + a0, y0 + b0, y1 + b0, similarity))
