@@ -18,7 +18,7 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 from skytally.llm.common import per_worker, slices
 
 SLICE_BYTES = 4 << 20  # of text that is split and looked up at once
-MOST_CACHED = 1_000_000  # words a worker remembers
+MOST_CACHED = 600_000  # words a worker remembers
 UNKNOWN = "⁇"  # never produced: all 256 bytes are pieces
 
 

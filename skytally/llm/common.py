@@ -125,6 +125,11 @@ def per_worker(name: str, make: Callable[[], object]):
     return getattr(kept, name)
 
 
+def release_worker() -> None:
+    """Drop what tasks of other operators keep in this Python worker; they would make it again."""
+    sys.modules.pop("_skytally_worker", None)
+
+
 def pack(values: np.ndarray) -> bytes:
     """64-bit integers in few bytes where neighbours are alike: differences, byte by byte, compressed."""
     planes = np.diff(values.astype(np.int64), prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()

@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import slices
+from skytally.llm.common import release_worker, slices
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 GRAM_ROWS = 1 << 16
 LEXICON_ROWS = 1 << 15
 GRAMS = (2, 3, 4)
@@ -227,6 +227,7 @@ def lexicon_counts(labelled: DataFrame, languages: list[str], text: str, lang: s
     index = {name: k for k, name in enumerate(languages)}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         table = np.zeros((len(languages), LEXICON_ROWS), np.int64)
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
@@ -275,6 +276,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep_text: bool =
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: weight rows by languages
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         model = shared.value
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):

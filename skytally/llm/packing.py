@@ -17,8 +17,8 @@ from tokenizers import Tokenizer
 
 from skytally.llm.common import parts_for, per_worker, slices, stored
 
-SLICE_BYTES = 4 << 20
-MOST_CACHED = 1_000_000  # words a worker remembers
+SLICE_BYTES = 2 << 20
+MOST_CACHED = 400_000  # words a worker remembers
 SHARD_PIECES = 8192  # pieces one task packs together
 FULL = 0.98  # sequences filled less are opened and packed again, with those of other shards
 

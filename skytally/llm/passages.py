@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm import phrases
-from skytally.llm.common import pack, parts_for, row_key, runs, slices, stored, text_bytes, unpack
+from skytally.llm.common import pack, parts_for, release_worker, row_key, runs, slices, stored, text_bytes, unpack
 
 K = 5  # words of a seed
 REACH = 8  # of so many seeds in a row the one with the least hash is taken
@@ -19,7 +19,7 @@ SIMILARITY = 0.8
 GAP_COST = 0.1  # per word that a chain skips on either side; a seed counts K
 FLANK = 64  # windows of words are cut at multiples of this, so that many chains ask for the same one
 SLICE_BYTES = 1 << 20
-DEAL_SEEDS = 1 << 19  # seeds that are folded before they are sent
+DEAL_SEEDS = 1 << 18  # seeds that are folded before they are sent
 PART_BYTES = 16 << 20  # of text for each partition of seeds
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -167,6 +167,7 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
     """rid with its matches (places, texts and places of first occurrences) for seeds that are in several texts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):

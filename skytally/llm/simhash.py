@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import each_group, parts_for, row_key, stored
+from skytally.llm.common import each_group, parts_for, release_worker, row_key, stored
 from skytally.llm.graph import components
 
 SEED = 42
@@ -39,6 +39,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4) -> DataF
     schema = docs.select(*kept).withColumn("fp", F.lit(0).cast("long")).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             found = [fingerprint(x.as_py(), shingle) for x in batch.column(text)]
             yield pa.RecordBatch.from_arrays(
