@@ -365,9 +365,68 @@ def align(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> list[
         similarity = same / max(box[1] - box[0], box[3] - box[2])
         if box[1] - box[0] >= LEAST_WORDS and similarity >= SIMILARITY:
             out.append((*box, min(1.0, similarity)))
+        elif box[1] - box[0] >= LEAST_WORDS:
+            out += best_parts(a, b, at[first : last + 1], to[first : last + 1], box)
     return out
 
 
+def common_places(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Places of the words that the best alignment of two short runs has in common."""
+    if len(a) == len(b) and (a == b).all():
+        return [(i, i) for i in range(len(a))]
+    first, second = a.tolist(), b.tolist()
+    rows = [[0] * (len(second) + 1)]
+    for x in first:
+        before, row = rows[-1], [0]
+        for j, y in enumerate(second, 1):
+            row.append(before[j - 1] + 1 if x == y else max(row[-1], before[j]))
+        rows.append(row)
+    out, i, j = [], len(first), len(second)
+    while i and j:
+        if first[i - 1] == second[j - 1] and rows[i][j] == rows[i - 1][j - 1] + 1:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif rows[i - 1][j] >= rows[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def best_parts(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray, box: tuple[int, int, int, int]) -> list[tuple[int, int, int, int, float]]:
+    """Passages within the box of a chain that as a whole is not alike enough: of the runs between two words in common that are long and
+    alike enough the longest one, then the same on both sides of it."""
+    left = min(at[0] - box[0], to[0] - box[2])
+    same = [(at[0] - k, to[0] - k) for k in range(left, 0, -1) if a[at[0] - k] == b[to[0] - k]]
+    for i in range(len(at) - 1):
+        same += [(at[i] + x, to[i] + y) for x, y in common_places(a[at[i] : at[i + 1]], b[to[i] : to[i + 1]])]
+    end = min(box[1] - at[-1], box[3] - to[-1])
+    same += [(at[-1] + k, to[-1] + k) for k in range(end) if a[at[-1] + k] == b[to[-1] + k]]
+    x, y = (np.array(c, np.int64) for c in zip(*same))
+    order = np.arange(len(x))
+    # The longer side from word i to word j is at most (j - i + 1) / SIMILARITY: both of these must not fall from i to j.
+    rise_x, rise_y = order - SIMILARITY * x, order - SIMILARITY * y
+    out, waiting = [], [(0, len(x))]
+    while waiting:
+        low, high = waiting.pop()
+        best = (LEAST_WORDS - 1, -1, -1)
+        # Largest values from each place on: beyond the last that is large enough no run can end.
+        far_x, far_y = (np.maximum.accumulate(r[low:high][::-1]) for r in (rise_x, rise_y))
+        for i in range(low, high):
+            least_x, least_y = rise_x[i] + SIMILARITY - 1 - 1e-9, rise_y[i] + SIMILARITY - 1 - 1e-9
+            stop = high - max(int(np.searchsorted(far_x, least_x)), int(np.searchsorted(far_y, least_y)))
+            begin = int(np.searchsorted(x[:stop], x[i] + best[0]))  # longer runs only
+            fits = np.flatnonzero((rise_x[begin:stop] >= least_x) & (rise_y[begin:stop] >= least_y))
+            if len(fits):
+                j = begin + int(fits[-1])
+                best = int(x[j] + 1 - x[i]), i, j
+        if best[1] >= 0:
+            _, i, j = best
+            out.append((int(x[i]), int(x[j]) + 1, int(y[i]), int(y[j]) + 1, float((j - i + 1) / max(x[j] + 1 - x[i], y[j] + 1 - y[i]))))
+            waiting += [(low, i), (j + 1, high)]
+    return sorted(out)
+
+
 PASSAGES = "rid long, other_id long, begin_word long, end_word long, other_begin long, other_end long, similarity double"
 
 

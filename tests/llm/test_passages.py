@@ -123,3 +123,19 @@ def test_cut_keeps_the_rest(spark):
     passage, before, after = (" ".join(made(rng, n)) for n in (70, 20, 30))
     docs = spark.createDataFrame([(1, passage), (2, f"{before}\n{passage}\n\n{after}")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in passages.cut_passages(docs).collect()} == {1: passage, 2: f"{before}\n{after}"}
+
+
+def test_exact_passage_beside_a_reworked_one():
+    """60 exact words and 100 of which 60 percent agree are one chain of similarity 0.75; the exact words are a passage."""
+    rng = random.Random(11)
+    a = np.array([rng.randrange(1, 60000) for _ in range(160)], np.uint16)
+    b = a.copy()
+    for start in range(60, 160, 10):
+        b[start : start + 4] ^= np.uint16(1)
+    at = np.array([*range(0, 56, 4), *range(64, 160, 10)])
+    found = passages.align(a, b, at, at)
+    assert found and max(f[1] - f[0] for f in found) >= 60
+    for x0, x1, y0, y1, similarity in found:
+        assert x1 - x0 >= 50 and similarity >= 0.8
+        assert abs(common(a[x0:x1].tolist(), b[y0:y1].tolist()) / max(x1 - x0, y1 - y0) - similarity) < 0.03
+    assert min(f[0] for f in found) == 0
