@@ -20,7 +20,11 @@ GAP_COST = 0.1  # per word that a chain skips on either side; a seed counts K
 FLANK = 64  # windows of words are cut at multiples of this, so that many chains ask for the same one
 SLICE_BYTES = 1 << 20
 DEAL_SEEDS = 1 << 18  # seeds that are folded before they are sent
-PART_BYTES = 16 << 20  # of text for each partition of seeds
+PART_BYTES = 8 << 20  # of text for each partition of seeds
+LOOSE = int(K / GAP_COST / 2)  # so many words between seeds on both sides cost what a seed counts
+SHORT = LEAST_WORDS - 2 * (K + REACH)  # shorter stretches of seeds are not part of a passage
+PAIRED = 59  # most words from one seed of a pair to the other
+WINDOW = 127  # in place of that distance: all LEAST_WORDS words
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -89,7 +93,7 @@ NAMES = ["rid", "places", "other_ids", "other_rids", "other_places"]
 NO_ID = np.iinfo(np.int64).max  # in place of null; such rows come last
 
 
-def _ask(parts: int, ids, rids, keys, places) -> Iterator[tuple]:
+def _ask(parts: int, ids, rids, keys, places, again: bool) -> tuple[list[tuple], tuple]:
     """(rows that ask, matches known) of a block. The first text of the block that has a seed asks for it; other
     texts of the block take that one, further places in one text take its first place."""
     order = np.lexsort((places, rids, ids, keys))
@@ -99,7 +103,7 @@ def _ask(parts: int, ids, rids, keys, places) -> Iterator[tuple]:
     head = np.flatnonzero(new_text)[np.cumsum(new_text) - 1]  # first place of the seed in the text
     top = np.flatnonzero(new_key)[np.cumsum(new_key) - 1]  # first place in the block
     to = np.where(new_text, top, head)
-    linked = ~new_key
+    linked = ~new_key & (places & 1 > 0) if again else ~new_key
     part = ((keys >> np.uint64(19)) % np.uint64(parts)).astype(np.int64)
     asks = np.flatnonzero(new_key)
     asks = asks[np.lexsort((places[asks], rids[asks], part[asks]))]
@@ -108,7 +112,14 @@ def _ask(parts: int, ids, rids, keys, places) -> Iterator[tuple]:
         some = asks[a:b]
         rows.append((int(part[some[0]]), keys[some].tobytes(), pack(ids[some]), pack(rids[some]), pack(places[some])))
     found = rids[linked], places[linked], ids[to][linked], rids[to][linked], places[to][linked]
-    return rows, found
+    return rows, found if again else _with_owned(found, ids, rids, places, top[rids != rids[top]])
+
+
+def _with_owned(found, ids, rids, places, tops) -> tuple:
+    """Matches, and for each first occurrence that other texts match one with itself, at place -1."""
+    tops = np.unique(tops)
+    owned = rids[tops], places[tops], ids[tops], rids[tops], np.full(len(tops), -1)
+    return tuple(map(np.concatenate, zip(found, owned)))
 
 
 def _dealt(parts: int, rids, places, other_ids, other_rids, other_places) -> pa.RecordBatch:
@@ -123,7 +134,7 @@ def _dealt(parts: int, rids, places, other_ids, other_rids, other_places) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(data, pa.binary())], names=["part", "known"])
 
 
-def _answer(parts: int):
+def _answer(parts: int, again: bool = False):
     """Matches with the first text (by id) that has the seed; those known already pass through."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +153,9 @@ def _answer(parts: int):
             start, end = runs(keys)
             top = np.repeat(start, end - start)
             other = rids != rids[top]
-            known.append(np.stack([c[other] for c in (rids, places, ids[top], rids[top], places[top])]))
+            asks = other & (places & 1 > 0) if again else other
+            some = tuple(c[asks] for c in (rids, places, ids[top], rids[top], places[top]))
+            known.append(np.stack(some if again else _with_owned(some, ids, rids, places, top[other])))
         if known:
             yield _dealt(parts, *np.concatenate(known, axis=1))
 
@@ -185,21 +198,118 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
             yield send(held)
 
     def send(held: list[tuple]) -> pa.RecordBatch:
-        rows, known = _ask(parts, *map(np.concatenate, zip(*held)))
-        rows = [(*r, None) for r in rows]
-        for part, data in zip(*(c.to_pylist() for c in _dealt(parts, *known).columns)):
-            rows.append((part, None, None, None, None, data))
-        kinds = [pa.int32(), *[pa.binary()] * 5]
-        columns = zip(*rows) if rows else ((),) * 6
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "keys", "ids", "rids", "places", "known"]
-        )
+        return _sent(parts, held, False)
 
     dealt = texts.mapInArrow(ask, ASKED + ", known binary").repartition(parts, "part")
     answered = dealt.mapInArrow(_answer(parts), "part int, known binary").repartition(parts, "part")
     return answered.mapInArrow(_by_text, MATCHES)
 
 
+def _sent(parts: int, held: list[tuple], again: bool) -> pa.RecordBatch:
+    rows, known = _ask(parts, *map(np.concatenate, zip(*held)), again)
+    rows = [(*r, None) for r in rows]
+    for part, data in zip(*(c.to_pylist() for c in _dealt(parts, *known).columns)):
+        rows.append((part, None, None, None, None, data))
+    kinds = [pa.int32(), *[pa.binary()] * 5]
+    columns = zip(*rows) if rows else ((),) * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "keys", "ids", "rids", "places", "known"]
+    )
+
+
+# ---- the second look ---------------------------------------------------------------------------------------------------
+
+
+def _zones(words: int, spans: list[dict], done: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the stretch or 0, whether it asks) of each word of a text: a stretch asks around the K words or more that no passage has."""
+    zone, asks, covered = np.zeros(words, np.int64), np.zeros(words, bool), np.zeros(words + 1, np.int64)
+    for d in done or ():
+        covered[d["begin_word"]] += 1
+        covered[d["end_word"]] -= 1
+    covered = np.cumsum(covered)[:-1] > 0
+    for number, s in enumerate(spans, 1):
+        zone[max(0, s["a0"] - K - REACH) : s["a1"] + K + REACH] = number
+        starts, ends = runs(covered[s["a0"] : s["a1"]])
+        for a, b in zip((starts + s["a0"]).tolist(), (ends + s["a0"]).tolist()):
+            if b - a >= K and not covered[a]:
+                asks[max(0, a - FLANK) : b + FLANK] = True
+    return zone, asks & (zone > 0)
+
+
+def pairs(hashes: np.ndarray, keys: np.ndarray, places: np.ndarray, zone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first place, distance) of the pairs of seeds of a stretch, SHORT to PAIRED words apart, and of its windows of LEAST_WORDS words."""
+    some = zone[places] > 0
+    keys, places = keys[some], places[some]
+    found, step = [], 1
+    index = np.arange(len(places) - 1)
+    while len(index):
+        far = places[index + step] - places[index]
+        index, far = index[far <= PAIRED], far[far <= PAIRED]
+        good = (far >= SHORT - K) & (zone[places[index]] == zone[places[index + step]])
+        own = index[good]
+        found.append((phrases.mixed(keys[own], keys[own + step]), places[own], far[good]))
+        step += 1
+        index = index[index + step < len(places)]
+    if len(hashes) >= LEAST_WORDS:
+        whole, size = hashes, 1
+        while 2 * size <= LEAST_WORDS:
+            whole, size = phrases.mixed(whole[: len(whole) - size], whole[size:]), 2 * size
+        start = np.arange(len(hashes) - LEAST_WORDS + 1)
+        start = start[(zone[start] > 0) & (zone[start] == zone[start + LEAST_WORDS - 1])]
+        found.append((phrases.mixed(whole[start], whole[start + LEAST_WORDS - size]), start, np.full(len(start), WINDOW)))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def matches_again(texts: DataFrame, parts: int) -> DataFrame:
+    """Matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done)."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                data, bounds = text_bytes(part.column("text"))
+                hashes, text, _, _ = words_of(data, bounds)
+                begins = np.searchsorted(text, np.arange(part.num_rows + 1))
+                zones, asks, most = [], [], 0
+                for k, (spans, done) in enumerate(zip(part.column("spans").to_pylist(), part.column("done").to_pylist())):
+                    zone, asking = _zones(int(begins[k + 1] - begins[k]), spans, done)
+                    zones.append(np.where(zone > 0, zone + most, 0))
+                    asks.append(asking)
+                    most += len(spans)
+                keys, start, far = pairs(hashes, *seeds(hashes, text), np.concatenate(zones))
+                own = text[start]
+                _, same = np.unique(phrases.mixed(keys, own), return_inverse=True)  # all places of a text ask if one does
+                asking = np.bincount(same, np.concatenate(asks)[start]) > 0
+                code = ((start - begins[own]) * 128 + far) * 2 + asking[same]
+                held.append((part.column("id").to_numpy()[own], part.column("rid").to_numpy()[own], keys, code))
+                size += len(keys)
+                if size >= DEAL_SEEDS:
+                    yield _sent(parts, held, True)
+                    held, size = [], 0
+        if size:
+            yield _sent(parts, held, True)
+
+    dealt = texts.mapInArrow(ask, ASKED + ", known binary").repartition(parts, "part")
+    answered = dealt.mapInArrow(_answer(parts, True), "part int, known binary").repartition(parts, "part")
+    return answered.mapInArrow(_by_text, MATCHES)
+
+
+def _anchors(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matches of seeds from those of pairs and windows."""
+    place, far, other, other_far = place >> 8, place >> 1 & 127, other >> 8, other >> 1 & 127
+    whole = far == WINDOW
+    first = -place[whole] % K  # the same places from each of the windows that lie over each other
+    steps = [(~whole, place, other), (~whole, place + far, other + other_far)]
+    columns = [np.stack([p[w], ids[w], rids[w], o[w]]) for w, p, o in steps]
+    for k in range(0, LEAST_WORDS - K + 1, K):
+        fits = first + k <= LEAST_WORDS - K
+        w = np.flatnonzero(whole)[fits]
+        columns.append(np.stack([place[w] + first[fits] + k, ids[w], rids[w], other[w] + first[fits] + k]))
+    return tuple(np.unique(np.concatenate(columns, axis=1), axis=1))
+
+
 # ---- chains ------------------------------------------------------------------------------------------------------------
 
 
@@ -251,24 +361,43 @@ def chain(places: np.ndarray, others: np.ndarray) -> list[list[int]]:
 CHAINS = "rid long, other_id long, other_rid long, anchors binary, a0 long, a1 long, b0 long, b1 long"
 
 
-def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains long enough to be part of a passage, with the windows of words that their alignment needs."""
+def _stretches(places: np.ndarray) -> list[tuple[int, int]]:
+    """(first word, word behind) of the stretches of shared seeds that are long enough to be part of a passage."""
+    places = np.unique(places)
+    cuts = np.flatnonzero(np.diff(places) > LOOSE) + 1
+    ends = zip(places[np.concatenate([[0], cuts])], places[np.concatenate([cuts, [len(places)]]) - 1])
+    return [(int(a), int(b) + K) for a, b in ends if b + K - a >= SHORT]
+
+
+def _chains(batches: Iterator[pa.RecordBatch], again: bool = False) -> Iterator[pa.RecordBatch]:
+    """Chains long enough to be part of a passage, with the windows of words that their alignment needs; in rows without anchors the
+    stretches of seeds that other texts have as well, unless it is the second look."""
     for batch in batches:
         out = []
         for rid, *lists in zip(*(batch.column(c).to_pylist() for c in NAMES)):
             place, ids, rids, other = (np.frombuffer(x, "<i8") for x in lists)
+            if not again:
+                own, owned = rids == rid, other < 0
+                shared = np.unique(place[~own | owned])
+                repeated = own & ~owned & np.isin(other, shared)
+                shared = np.concatenate([shared, place[repeated]])
+                if len(shared):
+                    out += [(rid, None, None, None, a, b, None, None) for a, b in _stretches(shared)]
+                place, ids, rids, other = place[~owned], ids[~owned], rids[~owned], other[~owned]
             own = rids == rid  # further places of a seed in this text take the matches of its first place
             far = {p: i for i, p in enumerate(place.tolist()) if not own[i]}
             more = [(p, far[q]) for p, q in zip(place[own].tolist(), other[own].tolist()) if q in far]
             keep = np.concatenate([np.flatnonzero(~own), np.array([i for _, i in more], np.int64)])
             place = np.concatenate([place[~own], np.array([p for p, _ in more], np.int64)])
             ids, rids, other = ids[keep], rids[keep], other[keep]
+            if again:
+                place, ids, rids, other = _anchors(place, ids, rids, other)
             order = np.argsort(rids, kind="stable")
             for a, b in zip(*runs(rids[order])):
                 some = order[a:b]
                 for links in chain(place[some], other[some]):
                     at, to = place[some][links], other[some][links]
-                    if at[-1] + K - at[0] < LEAST_WORDS - 2 * (K + REACH):
+                    if at[-1] + K - at[0] < SHORT:
                         continue
                     window = [_down(at[0]), _up(at[-1]), _down(to[0]), _up(to[-1])]
                     out.append((rid, int(ids[some[0]]), int(rids[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
@@ -412,14 +541,17 @@ def best_parts(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray, box
         best = (LEAST_WORDS - 1, -1, -1)
         # Largest values from each place on: beyond the last that is large enough no run can end.
         far_x, far_y = (np.maximum.accumulate(r[low:high][::-1]) for r in (rise_x, rise_y))
-        for i in range(low, high):
-            least_x, least_y = rise_x[i] + SIMILARITY - 1 - 1e-9, rise_y[i] + SIMILARITY - 1 - 1e-9
-            stop = high - max(int(np.searchsorted(far_x, least_x)), int(np.searchsorted(far_y, least_y)))
-            begin = int(np.searchsorted(x[:stop], x[i] + best[0]))  # longer runs only
-            fits = np.flatnonzero((rise_x[begin:stop] >= least_x) & (rise_y[begin:stop] >= least_y))
+        least_x, least_y = rise_x[low:high] + SIMILARITY - 1 - 1e-9, rise_y[low:high] + SIMILARITY - 1 - 1e-9
+        stops = high - np.maximum(np.searchsorted(far_x, least_x), np.searchsorted(far_y, least_y))
+        most = x[np.maximum(stops - 1, 0)] + 1 - x[low:high]
+        for i in np.argsort(-most, kind="stable").tolist():
+            if most[i] <= best[0]:
+                break
+            begin = int(np.searchsorted(x[: stops[i]], x[low + i] + best[0]))  # longer runs only
+            fits = np.flatnonzero((rise_x[begin : stops[i]] >= least_x[i]) & (rise_y[begin : stops[i]] >= least_y[i]))
             if len(fits):
                 j = begin + int(fits[-1])
-                best = int(x[j] + 1 - x[i]), i, j
+                best = int(x[j] + 1 - x[low + i]), low + i, j
         if best[1] >= 0:
             _, i, j = best
             out.append((int(x[i]), int(x[j]) + 1, int(y[i]), int(y[j]) + 1, float((j - i + 1) / max(x[j] + 1 - x[i], y[j] + 1 - y[i]))))
@@ -452,16 +584,30 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def find(rows: DataFrame) -> DataFrame:
-    """Passages of ``rows`` (key, id, rid, text), by rid."""
+    """Passages of ``rows`` (key, id, rid, text), by rid.
+
+    A seed leads to its first text only, and those of one passage may lead to several texts of which none holds it. So stretches of shared
+    seeds of which no passage is found are looked at again: pairs of seeds and whole windows of words lead to the first text that has
+    those, among all stretches of shared seeds.
+    """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(size, PART_BYTES, rows.sparkSession.sparkContext.defaultParallelism)
     chains = stored(matches(rows.select("id", "rid", "text"), parts).mapInArrow(_chains, CHAINS), "chains")
+    found = stored(_aligned(rows, chains.filter("anchors is not null"), "windows"), "passages-seeds")
+    spans = chains.filter("anchors is null").groupBy("rid").agg(F.collect_list(F.struct("a0", "a1")).alias("spans"))
+    done = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word")).alias("done"))
+    texts = rows.select("id", "rid", "text").join(spans.join(done, "rid", "left"), "rid")
+    more = matches_again(texts, 2 * parts).mapInArrow(lambda batches: _chains(batches, again=True), CHAINS)
+    return found.union(_aligned(rows, stored(more, "chains-again"), "windows-again")).distinct()
+
+
+def _aligned(rows: DataFrame, chains: DataFrame, label: str) -> DataFrame:
     asked = chains.select("rid", F.struct(F.col("a0").alias("a"), F.col("a1").alias("b")).alias("w")).union(
         chains.select("other_rid", F.struct(F.col("b0").alias("a"), F.col("b1").alias("b")))
     )
     wanted = asked.distinct().groupBy("rid").agg(F.collect_list("w").alias("wanted"))
     texts = rows.select("rid", "text").join(wanted, "rid")
-    windows = stored(texts.mapInArrow(_windows, "rid long, a long, b long, words binary").dropDuplicates(["rid", "a", "b"]), "windows")
+    windows = stored(texts.mapInArrow(_windows, "rid long, a long, b long, words binary").dropDuplicates(["rid", "a", "b"]), label)
     own = windows.select("rid", F.col("a").alias("a0"), F.col("b").alias("a1"), "words")
     other = windows.select(
         F.col("rid").alias("other_rid"), F.col("a").alias("b0"), F.col("b").alias("b1"), F.col("words").alias("other_words")
@@ -476,7 +622,7 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. A passage has ``LEAST_WORDS`` words or more and a similarity
     of ``SIMILARITY`` or more. Every occurrence but the first is reported, against the first one of its block of
-    text and of all blocks; so none is compared with all others. Texts that are equal and have equal keys are one text. A null
+    text and of all blocks, where seeds, pairs of seeds or windows lead to it; so none is compared with all others. Texts that are equal and have equal keys are one text. A null
     key is null in the result and comes last. Null, blank and short texts have no passage; other columns are not read.
     """
     rows = _keyed(docs, key, text)

@@ -139,3 +139,20 @@ def test_exact_passage_beside_a_reworked_one():
         assert x1 - x0 >= 50 and similarity >= 0.8
         assert abs(common(a[x0:x1].tolist(), b[y0:y1].tolist()) / max(x1 - x0, y1 - y0) - similarity) < 0.03
     assert min(f[0] for f in found) == 0
+
+
+def test_seeds_that_lead_to_different_texts(spark):
+    """The halves of a passage have first texts of their own; the whole is first in the third text and again in all later ones."""
+    rng = random.Random(13)
+    passage, other = made(rng, 80), made(rng, 54)
+    rows = [(1, made(rng, 30) + passage[:40] + made(rng, 30)), (2, made(rng, 30) + passage[40:] + made(rng, 30))]
+    rows += [(i, made(rng, 30 + i) + passage + made(rng, 40)) for i in range(3, 30)]
+    rows += [(30, made(rng, 20) + other[:38] + made(rng, 20)), (31, made(rng, 20) + other[16:] + made(rng, 20))]
+    rows += [(i, made(rng, 10 + i) + other + made(rng, 10)) for i in range(32, 36)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    for parts in (1, 4):
+        found = passages.passages(docs.repartition(parts)).collect()
+        assert {r.doc_id for r in found} == {*range(4, 30), *range(33, 36)}
+        got = {(r.doc_id, r.begin_word, r.end_word) for r in found}
+        for i in range(4, 30):
+            assert any(d == i and a <= 30 + i + 1 and b >= 110 + i - 1 for d, a, b in got)
