@@ -28,10 +28,10 @@ def malformed_polls(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_polls(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return parsed(reader.text(path), FIELDS).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return parsed(reader.text(path, wholetext=True), FIELDS).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame, str]:
