@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, language, neighbours, packing, passages, quality, revisits, secrets, simhash, substrings
+from skytally.llm import (
+    bpe,
+    language,
+    neighbours,
+    packing,
+    passages,
+    quality,
+    resampling,
+    revisits,
+    secrets,
+    simhash,
+    substrings,
+)
 from skytally.llm.common import short_batches, table
 from skytally.session import configure
 
@@ -95,3 +107,9 @@ def op9_secrets(spark, sf_dir):
 def op10_passages(spark, sf_dir):
     """Passages of documents that another document has in about the same words."""
     return passages.passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_resampling(spark, sf_dir):
+    """A quarter of the documents of 20 words or more, drawn by their likeness to the benchmark."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
