@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skytally.llm import (
     bpe,
     language,
+    negatives,
     neighbours,
     packing,
     passages,
@@ -113,3 +114,14 @@ def op10_passages(spark, sf_dir):
 def op11_resampling(spark, sf_dir):
     """A quarter of the documents of 20 words or more, drawn by their likeness to the benchmark."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_negatives(spark, sf_dir):
+    """Ten hard negatives for each of five positives of every hundredth embedding; every seventh label is wrong on purpose."""
+    rows = table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", wrong), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_negatives"] = negatives.ORACLE
