@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm import (
+    boilerplate,
     bpe,
     language,
     negatives,
@@ -125,3 +126,9 @@ def op12_negatives(spark, sf_dir):
 
 
 ORACLES["op12_negatives"] = negatives.ORACLE
+
+
+@query
+def op13_article(spark, sf_dir):
+    """Main text of every page."""
+    return boilerplate.extract(table(spark, sf_dir, "pages"))
