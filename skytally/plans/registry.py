@@ -252,7 +252,7 @@ def stored_etag(spark, sf_dir):
         F.concat("event_type", F.lit("-"), "event_id").alias("source_etag"),
         F.col("event_id").alias("batch_id"),
     )
-    return tables.stored_etag(dedup.latest_by_key(log, ["source_name"], ["batch_id"]), "s7")
+    return tables.stored_etag(dedup.latest_by_key(log, ["source_name"], "batch_id"), "s7")
 
 
 @query

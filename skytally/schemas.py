@@ -85,6 +85,10 @@ EVENTS = _struct(
 
 COUNTS = _struct("region STRING, bucket_sk TIMESTAMP, aircraft_count BIGINT")
 
+LATE = _struct("region STRING, bucket_sk TIMESTAMP")
+
+SIGHTINGS = _struct("region STRING, bucket_sk TIMESTAMP, icao24 STRING")
+
 TRAFFIC = _struct(
     "region STRING, bucket_sk TIMESTAMP, aircraft_count BIGINT, rolling_mean DOUBLE,"
     " rolling_std DOUBLE, baseline_n BIGINT, z_score DOUBLE, anomaly_status STRING,"

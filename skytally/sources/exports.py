@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.functions.text import last_path_segment
+from skytally.functions.times import parse_compact
 from skytally.schemas import EXPORT_COLUMNS, FILES
 
 EXPORT_SUFFIX = ".export.CSV.zip"
@@ -89,6 +90,12 @@ def stream_exports(spark: SparkSession, path: str, max_files: int | None = None)
     return parse_exports(reader.load(path))
 
 
+def export_version(source_file: Column, batch_id: Column) -> Column:
+    """Order of exports as one number: by the moment their names begin with, then by the batch that brought them."""
+    moment = F.coalesce(F.unix_seconds(parse_compact(F.substring(source_file, 1, 14))), F.lit(0))
+    return F.shiftleft(moment, 31) + F.least(batch_id, F.lit((1 << 31) - 1))
+
+
 def _third_token(line: Column) -> Column:
     return F.get(F.split(F.trim(line), r"\s+"), F.lit(2))
 

@@ -9,8 +9,9 @@ from skytally.functions.numbers import nan_to_null
 from skytally.functions.text import blank_to_null
 from skytally.operators.cleaning import clean_states
 from skytally.schemas import POLL, RECORD, STATES, VECTOR_FIELDS, with_columns
-from skytally.sources.quarantine import CORRUPT, parsed
-from skytally.sources.tables import has_files, newest_file
+from skytally.sources.quarantine import CORRUPT, parsed, well_formed
+from skytally.sources.files import has_files
+from skytally.sources.tables import newest_file
 
 
 FIELDS = with_columns(POLL, f"{CORRUPT} STRING")
@@ -18,7 +19,7 @@ FIELDS = with_columns(POLL, f"{CORRUPT} STRING")
 
 def read_polls(spark: SparkSession, path: str) -> DataFrame:
     """One row per file that holds a whole response. See ``malformed_polls`` for the others."""
-    return parsed(spark.read.text(path, wholetext=True), FIELDS).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return well_formed(parsed(spark.read.text(path, wholetext=True), FIELDS), "malformed_polls")
 
 
 def malformed_polls(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +32,7 @@ def stream_polls(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return parsed(reader.text(path, wholetext=True), FIELDS).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return well_formed(parsed(reader.text(path, wholetext=True), FIELDS), "malformed_polls")
 
 
 def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame, str]:

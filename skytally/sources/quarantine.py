@@ -19,6 +19,13 @@ def parsed(lines: DataFrame, fields: T.StructType, *keep: str) -> DataFrame:
     return lines.select(F.from_json("value", fields, options).alias("r"), *keep).select("r.*", *keep)
 
 
+def well_formed(rows: DataFrame, name: str) -> DataFrame:
+    """Rows that parsed; a stream counts the others as ``name``, to be seen in its progress."""
+    if rows.isStreaming:
+        rows = rows.observe(name, F.count_if(F.col(CORRUPT).isNotNull()).alias(name))
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
 def reason() -> Column:
     """Why a record is set aside, NULL for a good one: a position off the globe or a time far off."""
     lat, lon, at = F.col("latitude"), F.col("longitude"), F.col("poll_timestamp")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skytally.functions.times import bucket_epoch, partition_date
 from skytally.schemas import RECORD, with_columns
-from skytally.sources.quarantine import CORRUPT, parsed
+from skytally.sources.quarantine import CORRUPT, parsed, well_formed
 
 LINES = "value STRING, dt DATE"
 FIELDS = with_columns(RECORD, f"{CORRUPT} STRING")
@@ -20,7 +20,7 @@ def _split(lines: DataFrame) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Well-formed records; blank lines are skipped and missing fields read as NULL. See ``malformed_records`` for the rest."""
-    return _split(spark.read.schema(LINES).text(path)).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return well_formed(_split(spark.read.schema(LINES).text(path)), "malformed_records")
 
 
 def malformed_records(spark: SparkSession, path: str) -> DataFrame:
@@ -32,7 +32,7 @@ def stream_records(spark: SparkSession, path: str, max_files: int | None = None)
     reader = spark.readStream.schema(LINES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _split(reader.text(path)).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return well_formed(_split(reader.text(path)), "malformed_records")
 
 
 def encode(records: DataFrame, out: str = "value") -> DataFrame:

@@ -39,7 +39,7 @@ def read_current(
 ) -> DataFrame:
     """Newest row per key. Filters on key columns still reach the scan."""
     log = read_log(spark, path, schema, partitions)
-    return latest_by_key(log, keys, ["batch_id"]).select(*schema.fieldNames())
+    return latest_by_key(log, keys, "batch_id").select(*schema.fieldNames())
 
 
 def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str]) -> None:
@@ -47,17 +47,7 @@ def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, k
     so that later batches can continue there."""
     log = read_log(spark, path, schema)
     last = log.agg(F.max("batch_id")).first()[0] or 0
-    write_batch(latest_by_key(log, keys, ["batch_id"]).select(*schema.fieldNames()), target, last)
-
-
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds any file; an absent folder holds none."""
-    try:
-        return not list_files(spark, path).isEmpty()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return False
-        raise
+    write_batch(latest_by_key(log, keys, "batch_id").select(*schema.fieldNames()), target, last)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -7,9 +7,13 @@ files writes nothing and a failed run leaves no half batch behind.
 
 from __future__ import annotations
 
+from collections import Counter
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from skytally.functions.times import partition_date
 from skytally.operators.cleaning import clean_events, clean_states
@@ -21,11 +25,32 @@ SILVER_STATES = with_columns(STATES, "dt DATE")
 SILVER_EVENTS = with_columns(EVENTS, "source_file STRING")
 
 
+class Drained(NamedTuple):
+    rows: int
+    observed: Counter  # sums of what the stream observes, by name
+
+
+def drain_observed(writer: DataStreamWriter) -> Drained:
+    """Run a stream until nothing new is left; the rows it read, and what it observed.
+
+    A query remembers its last micro-batches only, so they are looked at while it runs.
+    """
+    query = writer.trigger(availableNow=True).start()
+    seen: dict[int, StreamingQueryProgress] = {}
+    running = True
+    while running:
+        running = not query.awaitTermination(1)
+        seen.update((p.batchId, p) for p in query.recentProgress if p.numInputRows or p.batchId not in seen)
+    observed: Counter = Counter()
+    for progress in seen.values():
+        for metrics in (progress.observedMetrics or {}).values():
+            observed.update({k: v or 0 for k, v in metrics.asDict().items()})
+    return Drained(sum(p.numInputRows for p in seen.values()), observed)
+
+
 def drain(writer: DataStreamWriter) -> int:
     """Run a stream until nothing new is left; the number of rows it read."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return drain_observed(writer).rows
 
 
 def _dated_sink(df: DataFrame, kind: str, path: str, checkpoint: str) -> DataStreamWriter:

@@ -1,5 +1,8 @@
 import json
+import random
+import time
 
+import pandas as pd
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -20,6 +23,7 @@ class Lake:
     def __init__(self, spark, root):
         self.spark, self.root = spark, root
         self.bronze, self.silver, self.gold = (str(root / layer) for layer in ("bronze", "silver", "gold"))
+        self.score_anomalies = baseline.score_anomalies
         self.rows = []
 
     def arrive(self, name, rows):
@@ -30,19 +34,24 @@ class Lake:
         (folder / f"{name}.ndjson").write_text("\n".join(json.dumps(dict(zip(keys, r))) for r in rows))
         self.rows += rows
 
-    def drain(self, max_files=1):
+    def drain(self, max_files=1, horizon_hours=gold.HORIZON_HOURS):
         stream = records.stream_records(self.spark, self.bronze, max_files)
         silver_rows = ingest.drain(ingest.records_to_silver(stream, self.silver, str(self.root / "m1")))
         states = ingest.stream_silver_states(self.spark, self.silver, max_files)
-        gold_rows = ingest.drain(gold.silver_to_gold(states, self.silver, self.gold, str(self.root / "m2")))
+        counted = gold.count_buckets(states, self.silver, self.gold, str(self.root / "m2"), horizon_hours=horizon_hours)
+        gold_rows = ingest.drain(counted)
+        self.score()
         return silver_rows, gold_rows
 
+    def score(self):
+        ingest.drain(gold.score_buckets(self.spark, self.gold, str(self.root / "m3")))
+
     def expected(self):
         schema = "icao24 STRING, latitude DOUBLE, longitude DOUBLE, poll_timestamp BIGINT"
         df = self.spark.createDataFrame(self.rows, schema)
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in RECORD.fields if f.name not in df.columns]
         states = clean_states(df.select("*", *missing).select(*RECORD.fieldNames()))
-        return baseline.score_anomalies(traffic.aggregate_traffic(states))
+        return self.score_anomalies(traffic.aggregate_traffic(states))
 
     def check(self):
         def rounded(df):
@@ -82,8 +91,106 @@ def test_gold_follows_batches_late_rows_and_replays(spark, lake):
     lake.check()
     # Replaying a batch by hand leaves the same table.
     silver = ingest.read_silver_states(spark, lake.silver)
-    last = max(int(p.name.split("=")[1]) for p in (lake.root / "gold" / "traffic").iterdir() if "=" in p.name)
-    gold.refresh_gold(spark, silver.filter(F.col("icao24").startswith("x")), last + 1, lake.silver, lake.gold)
+    last = max(int(p.name.split("=")[1]) for p in (lake.root / "gold" / "changes").iterdir() if "=" in p.name)
+    for batch_id in (last, last + 1, last + 1):
+        gold.count_batch(spark, silver.filter(F.col("icao24").startswith("x")), batch_id, lake.silver, lake.gold)
+    lake.score()
+    lake.check()
+
+
+def test_rows_behind_the_horizon_are_counted_from_silver(spark, lake):
+    """Sightings are kept for an hour; the first file spans many, the last comes a day late."""
+    lake.arrive("a", sightings(range(0, 600, 5), lambda m: 3 + m % 7))
+    lake.arrive("b", sightings(range(600, 630, 5), lambda m: 4))
+    lake.drain(horizon_hours=1)
+    lake.check()
+    assert len(gold.sightings_table(spark, lake.gold).parts()) <= 3
+    lake.arrive("c", [("late", *DXB, START + 60 * 7), ("a0", *DXB, START + 60 * 7), ("early", *SEA, START - 3600)])
+    lake.drain(horizon_hours=1)
+    lake.check()
+
+
+def test_work_of_a_batch_does_not_grow(spark, lake):
+    """Folders and state after many batches are those of the last hours and of the days, not of the batches."""
+    lake.arrive("a", sightings(range(0, 60, 5), lambda m: 3))
+    lake.drain()
+    silver = ingest.read_silver_states(spark, lake.silver)
+    folders, versions = [], []
+    for batch_id in range(1, 13):
+        moved = silver.withColumn("poll_timestamp", F.col("poll_timestamp") + batch_id * 1800)
+        gold.count_batch(spark, moved, batch_id, lake.silver, lake.gold, horizon_hours=2)
+        folders.append(sum(1 for p in (lake.root / "gold" / "sightings" / "data").rglob("v=*")))
+        versions.append(sum(1 for p in (lake.root / "gold" / "sightings" / "versions").glob("*.json")))
+    assert max(folders[6:]) <= max(folders[4:7]) and max(versions) <= 2
+    assert len(gold.sightings_table(spark, lake.gold).parts()) <= 4
+
+
+class Handle:
+    """State of one key in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_ring_asks_for_what_it_does_not_hold():
+    """Against the whole series: what a batch changes is either scored with complete baselines or named as late."""
+    rng = random.Random(3)
+    for size in (3, 10):
+        ring, handle, series = gold.Ring(size), Handle(), {}
+        ring.init(handle)
+        for step in range(60):
+            batch = {}
+            for _ in range(rng.randint(1, 4)):
+                at = max(0, step * 2 - (rng.randint(0, 60) if rng.random() < 0.3 else rng.randint(0, 3)))
+                batch[at] = series.get(at, 0) + rng.randint(0, 2)
+            changed = {at for at, n in batch.items() if n > series.get(at, -1)}
+            series.update({at: batch[at] for at in changed})
+            frame = pd.DataFrame({"at": list(batch), "aircraft_count": list(batch.values())})
+            (out,) = ring.handleInputRows(("R",), iter([frame]), None)
+            rows = list(out.itertuples(index=False))
+            order = sorted(series)
+            late = {r.at for r in rows if r.late}
+            inside = [r for r in rows if not r.late]
+            assert all(series[r.at] == r.aircraft_count for r in rows) and late <= set(batch)
+            moved = set()
+            for at in changed | late:  # whether a count is new is not known behind the ring
+                moved.update(order[order.index(at) : order.index(at) + size + 1])
+            shown = [r.at for r in inside]
+            assert shown == sorted(set(shown))
+            for r in inside:
+                if r.affected:
+                    before = order[max(0, order.index(r.at) - size) : order.index(r.at)]
+                    place = shown.index(r.at)
+                    assert shown[max(0, place - size) : place] == before
+            covered = {r.at for r in inside if r.affected}
+            for at in late:
+                covered.update(order[order.index(at) : order.index(at) + size + 1])
+            assert covered == moved
+            assert len(handle.value[1]) <= 2 * size
+
+
+def test_changes_behind_the_ring_are_scored_from_the_table(spark, lake, monkeypatch):
+    ring = gold.Ring(15)
+    monkeypatch.setattr(gold, "Ring", lambda: ring)
+    monkeypatch.setattr(gold, "score_anomalies", lambda df: baseline.score_anomalies(df, 15))
+    monkeypatch.setattr(gold, "rescore", lambda counts, changed: history.rescore(counts, changed, 15))
+    lake.score_anomalies = lambda df: baseline.score_anomalies(df, 15)
+    lake.arrive("a", sightings(range(0, 300, 5), lambda m: 3 + m % 7, [DXB, SEA]))
+    lake.drain()
+    lake.arrive("b", sightings([2, 150, 299], lambda m: 30, [DXB]) + sightings([305], lambda m: 2, [SEA]))
+    lake.drain()
     lake.check()
 
 
@@ -101,10 +208,29 @@ def test_windowed_counts(spark, lake):
     counts = gold.windowed_traffic(ingest.stream_silver_states(spark, lake.silver, 1), "2 hours")
     path = str(lake.root / "counts")
     ingest.drain(gold.upsert_counts(counts, path, str(lake.root / "m3")))
-    got = gold.read_current(spark, path, gold.COUNTS, gold.KEYS)
+    got = tables.read_current(spark, path, gold.COUNTS, gold.KEYS)
     assert rows_of(got) == rows_of(lake.expected().select(*got.columns))
 
 
+def test_what_the_watermark_refuses_is_counted_again(spark, lake):
+    lake.arrive("a", sightings(range(0, 60, 5), lambda m: 3))
+    lake.arrive("b", sightings(range(400, 460, 5), lambda m: 4))
+    lake.arrive("c", sightings(range(2, 42, 5), lambda m: 6, [DXB]) + [("first", *SEA, START - 900)])
+    lake.arrive("d", sightings(range(440, 480, 5), lambda m: 5) + [("again", *DXB, START)])
+    stream = records.stream_records(spark, lake.bronze, 1)
+    ingest.drain(ingest.records_to_silver(stream, lake.silver, str(lake.root / "m1")))
+    path = str(lake.root / "counts")
+    for max_files in (1, 2):  # the side output may cut its batches in another way
+        counts = gold.windowed_traffic(ingest.stream_silver_states(spark, lake.silver, 1), "30 minutes")
+        ingest.drain(gold.upsert_counts(counts, f"{path}{max_files}", str(lake.root / f"m3{max_files}")))
+        states = ingest.stream_silver_states(spark, lake.silver, max_files)
+        ingest.drain(gold.late_buckets(states, f"{path}{max_files}-side", str(lake.root / f"m4{max_files}"), 0.5))
+        kept = tables.read_current(spark, f"{path}{max_files}", gold.COUNTS, gold.KEYS)
+        expected = rows_of(lake.expected().select(*kept.columns))
+        assert rows_of(kept) != expected  # some rows were refused
+        assert rows_of(gold.recounted(spark, kept, f"{path}{max_files}-side", lake.silver), *kept.columns) == expected
+
+
 def test_windowed_state_is_bounded(spark, lake):
     """The watermark evicts what can no longer change, and drops what comes later than allowed."""
     for number in range(6):
@@ -147,23 +273,48 @@ def test_pipeline(spark, tmp_path):
     assert manifest == {"traffic", "events"}
 
 
-def test_compacted_gold_continues(spark, tmp_path):
-    landing, lake = tmp_path / "landing", str(tmp_path / "lake")
+def test_many_runs_leave_few_folders(spark, tmp_path):
+    landing, lake = tmp_path / "landing", tmp_path / "lake"
     for i in range(14):
         write_poll(landing / "polls" / f"{i:02}.json", START + 300 * i, [vector(_0=f"p{n}") for n in range(10)])
-    jobs.run_pipeline(spark, str(landing), lake, "2026-01-01 01:00:00", max_files=7)
-    before = rows_of(gold.read_traffic(spark, f"{lake}/gold"))
-    jobs.compact_gold(spark, lake, "gold", "gold-2")
-    assert rows_of(gold.read_traffic(spark, f"{lake}/gold-2")) == before
+    jobs.run_pipeline(spark, str(landing), str(lake), "2026-01-01 01:00:00", max_files=5)
+    write_poll(landing / "polls" / "98.json", START + 300 * 13, [vector(_0="p99")])
+    (landing / "polls" / "cut.json").write_text('{"time": 1, "states": [["a')
+    jobs.run_pipeline(spark, str(landing), str(lake), "2026-01-01 01:05:00")
     write_poll(landing / "polls" / "99.json", START + 300 * 14, [vector(_0="p0")])
-    summary = jobs.run_pipeline(spark, str(landing), lake, "2026-01-01 01:10:00", gold_name="gold-2")
+    summary = jobs.run_pipeline(spark, str(landing), str(lake), "2026-01-01 01:10:00")
     assert summary == {"polls": 1, "records": 1, "states": 1, "traffic_items": 1}
-    newest = gold.read_traffic(spark, f"{lake}/gold-2").orderBy(F.desc("bucket_sk")).first()
+    newest = gold.read_traffic(spark, str(lake / "gold")).orderBy(F.desc("bucket_sk")).first()
     assert (newest.baseline_n, newest.anomaly_status, newest.anomaly_direction) == (14, "critical", "drop")
+    assert [r.anomaly_status for r in gold.read_alerts(spark, str(lake / "gold")).collect()] == ["critical"]
+    for log in ("gold/changes", "gold/scored", "manifest/source=traffic"):
+        assert len([p for p in (lake / log).iterdir() if p.name.startswith("batch_id=")]) == 1
+    for table in ("gold/traffic", "gold/alerts", "serving/traffic"):
+        assert len(list((lake / table / "data").rglob("v=*"))) <= 2
+
+
+def test_malformed_polls_are_counted(spark, tmp_path):
+    landing, lake = tmp_path / "landing", str(tmp_path / "lake")
+    write_poll(landing / "polls" / "a.json", START, [vector()])
+    (landing / "polls" / "b.json").write_text('{"time": 1,\n "states": [["a"')
+    summary = jobs.run_pipeline(spark, str(landing), lake, "2026-01-01 01:00:00")
+    assert summary == {"polls": 2, "records": 1, "states": 1, "malformed_polls": 1, "traffic_items": 1}
+
+
+def test_drain_counts_every_micro_batch(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"{i}.txt").write_text("a\nb\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path))
+        writer = stream.writeStream.foreachBatch(lambda df, i: time.sleep(1.2 if df.count() else 0))
+        assert ingest.drain(writer.option("checkpointLocation", str(tmp_path / "m"))) == 12
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
 
 
 def test_filters_reach_the_stored_table(spark, tmp_path, series):
-    tables.write_batch(baseline.score_anomalies(series(("DXB", [1, 2, 3]))), f"{tmp_path}/traffic", 0)
+    gold.traffic_table(spark, str(tmp_path)).merge(baseline.score_anomalies(series(("DXB", [1, 2, 3]))), 0)
     found = history.region_history(gold.read_traffic(spark, str(tmp_path)), "DXB", "2026-01-01 01:00:00", 24)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(region,DXB)" in plan and "GreaterThanOrEqual(bucket_sk" in plan
