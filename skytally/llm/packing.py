@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from skytally.llm.common import parts_for, per_worker, slices, stored
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 MOST_CACHED = 1_000_000  # words a worker remembers
 SHARD_PIECES = 8192  # pieces one task packs together
 FULL = 0.98  # sequences filled less are opened and packed again, with those of other shards
@@ -36,7 +36,8 @@ class Words:
     """Token ids of texts, looked up by word: neither the normaliser nor the pre-tokeniser of the file
     looks across a space or a line feed, so a text's ids are those of its words in a row."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MOST_CACHED):
+        self.most = most
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         vocabulary = self.tokenizer.get_vocab()
@@ -74,21 +75,23 @@ class Words:
         split = [self.split(t) for t in texts]
         new = self.learn(list(set().union(*split).difference(self.cache)))
         known = self.cache
-        if len(known) + len(new) > MOST_CACHED:
+        if len(known) + len(new) > self.most:
             known = ChainMap(new, known)
         else:
             known.update(new)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
-def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", most_cached: int = MOST_CACHED
+) -> DataFrame:
     """key, piece, start, length, ids_crc32: the token runs to be packed, cut where a document exceeds ``capacity``."""
     docs = docs.select(key, text)
     kind = docs.schema[key].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_worker(f"words {path}", lambda: Words(path))
+        words = per_worker(f"words {path} {most_cached}", lambda: Words(path, most_cached))
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
                 row, piece, start, length, crc = [], [], [], [], []
@@ -180,12 +183,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, key: str = "doc_id", text: str = "text", most_cached: int = MOST_CACHED
 ) -> DataFrame:
     """key, piece, start, length, ids_crc32, sequence_id, offset: one row per piece of a document.
 
     A document is its token ids with ``end_id`` behind them; null or empty text is ``end_id`` alone. Repeated rows are
     packed each for itself, ties in length go by place in the table, no rows give no rows, and other
-    columns are not read.
+    columns are not read. ``most_cached`` words are remembered by each worker: fewer take less memory and more time.
     """
-    return pack(pieces(docs, path, end_id, capacity, key, text), capacity)
+    return pack(pieces(docs, path, end_id, capacity, key, text, most_cached), capacity)

@@ -134,10 +134,34 @@ def _dealt(parts: int, rids, places, other_ids, other_rids, other_places) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(data, pa.binary())], names=["part", "known"])
 
 
+def _each_part(work):
+    """``work`` on the rows of one part after the other, which come sorted: a partition may hold several parts, a task only one at a time."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        current = None
+        for batch in batches:
+            parts = batch.column("part").to_numpy()
+            for a, b in zip(*runs(parts)):
+                if held and parts[a] != current:
+                    yield from work(held)
+                    held = []
+                current = parts[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from work(held)
+
+    return each
+
+
+def _by_part(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, "part").sortWithinPartitions("part")
+
+
 def _answer(parts: int, again: bool = False):
     """Matches with the first text (by id) that has the seed; those known already pass through."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = [], []
         for batch in batches:
             columns = (batch.column(c) for c in ("keys", "ids", "rids", "places", "known"))
@@ -148,6 +172,7 @@ def _answer(parts: int, again: bool = False):
                     held.append((np.frombuffer(keys, "<u8"), unpack(ids), unpack(rids), unpack(places)))
         if held:
             keys, ids, rids, places = map(np.concatenate, zip(*held))
+            held.clear()
             order = np.lexsort((places, rids, ids, keys))
             keys, ids, rids, places = keys[order], ids[order], rids[order], places[order]
             start, end = runs(keys)
@@ -159,15 +184,14 @@ def _answer(parts: int, again: bool = False):
         if known:
             yield _dealt(parts, *np.concatenate(known, axis=1))
 
-    return work
+    return _each_part(work)
 
 
-def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All matches of a text in one row."""
     known = [unpack(x.as_py()).reshape(5, -1) for batch in batches for x in batch.column("known")]
-    if not known:
-        return
     columns = np.concatenate(known, axis=1)
+    known.clear()
     columns = columns[:, np.lexsort((columns[1], columns[0]))]
     start, end = runs(columns[0])
     for at in range(0, len(start), 2_000):
@@ -176,6 +200,9 @@ def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(columns[0][start[at : at + 2_000]]), *lists], names=NAMES)
 
 
+_by_text = _each_part(_texts)
+
+
 def matches(texts: DataFrame, parts: int) -> DataFrame:
     """rid with its matches (places, texts and places of first occurrences) for seeds that are in several texts."""
 
@@ -200,8 +227,8 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
     def send(held: list[tuple]) -> pa.RecordBatch:
         return _sent(parts, held, False)
 
-    dealt = texts.mapInArrow(ask, ASKED + ", known binary").repartition(parts, "part")
-    answered = dealt.mapInArrow(_answer(parts), "part int, known binary").repartition(parts, "part")
+    dealt = _by_part(texts.mapInArrow(ask, ASKED + ", known binary"), parts)
+    answered = _by_part(dealt.mapInArrow(_answer(parts), "part int, known binary"), parts)
     return answered.mapInArrow(_by_text, MATCHES)
 
 
@@ -266,6 +293,7 @@ def matches_again(texts: DataFrame, parts: int) -> DataFrame:
     """Matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done)."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
@@ -291,8 +319,8 @@ def matches_again(texts: DataFrame, parts: int) -> DataFrame:
         if size:
             yield _sent(parts, held, True)
 
-    dealt = texts.mapInArrow(ask, ASKED + ", known binary").repartition(parts, "part")
-    answered = dealt.mapInArrow(_answer(parts, True), "part int, known binary").repartition(parts, "part")
+    dealt = _by_part(texts.mapInArrow(ask, ASKED + ", known binary"), parts)
+    answered = _by_part(dealt.mapInArrow(_answer(parts, True), "part int, known binary"), parts)
     return answered.mapInArrow(_by_text, MATCHES)
 
 
@@ -597,7 +625,7 @@ def find(rows: DataFrame) -> DataFrame:
     spans = chains.filter("anchors is null").groupBy("rid").agg(F.collect_list(F.struct("a0", "a1")).alias("spans"))
     done = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word")).alias("done"))
     texts = rows.select("id", "rid", "text").join(spans.join(done, "rid", "left"), "rid")
-    more = matches_again(texts, 2 * parts).mapInArrow(lambda batches: _chains(batches, again=True), CHAINS)
+    more = matches_again(texts, 4 * parts).mapInArrow(lambda batches: _chains(batches, again=True), CHAINS)
     return found.union(_aligned(rows, stored(more, "chains-again"), "windows-again")).distinct()
 
 
