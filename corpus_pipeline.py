@@ -17,8 +17,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group whose fingerprints of five-word shingles differ in four bits or fewer."""
-    return simhash.keep_first(docs, shingle=5, distance=4)
+    """The first document of each group whose fingerprints of four-word shingles differ in four bits or fewer."""
+    return simhash.keep_first(docs, shingle=4, distance=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +32,9 @@ def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As pieces of sequences of 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+    """As pieces of sequences of 4096 tokens. Workers have other stages behind them, so they remember fewer words than alone."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, path, end_id=1, capacity=4096, most_cached=200_000)
 
 
 STAGES = [
