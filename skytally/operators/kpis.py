@@ -92,6 +92,12 @@ def zone_counts(states: DataFrame) -> DataFrame:
     return count_by(with_zone(states), "zone")
 
 
+def zone_total(states: DataFrame) -> DataFrame:
+    """Aircraft inside any zone, and their share of all."""
+    inside = F.count_if(F.col("zone").isNotNull())
+    return with_zone(states).agg(inside.alias("aircraft"), (inside / F.count("*")).alias("share"))
+
+
 def altitude_speed(states: DataFrame) -> DataFrame:
     """Mean altitude in feet and speed in knots, missing values left out; no row without altitudes."""
     means = states.agg(F.avg("baro_altitude").alias("metres"), F.avg("velocity").alias("speed"))

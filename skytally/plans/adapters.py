@@ -76,12 +76,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 POSITIONS = {name: position for name, position, _ in VECTOR_FIELDS}
 
 
-def polls_of(rows: DataFrame) -> DataFrame:
+def polls_of(rows: DataFrame, *keep: str) -> DataFrame:
     """Poll responses: each record as a 17-value vector, next to a missing vector."""
     texts = {position: F.col(name).cast("string") for name, position in POSITIONS.items()}
     vector = F.array(*[texts.get(i, F.lit(None).cast("string")) for i in range(17)])
     missing = F.lit(None).cast("array<string>")
-    return rows.select(F.col("poll_timestamp").alias("time"), F.array(vector, missing).alias("states"))
+    return rows.select(F.col("poll_timestamp").alias("time"), F.array(vector, missing).alias("states"), *keep)
 
 
 def bronze_of(rows: DataFrame) -> DataFrame:

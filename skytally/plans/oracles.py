@@ -95,6 +95,8 @@ def _hourly(source: str) -> str:
 BLOCKS = {
     "airports": "SELECT * FROM (" + _values([(i, *a) for i, a in enumerate(AIRPORTS)]) + ") t(ord, code, ap_lat, ap_lon)",
     "records_v": f"SELECT {_columns(STATE_EXPRESSIONS)}, {EPOCH['check']} AS poll_timestamp, date_trunc('second', ts) AS poll_ts FROM events",
+    "responses_v": "SELECT DISTINCT hour, event_id % CAST(ceil(n / 500) AS BIGINT) AS response"
+    " FROM (SELECT event_id, poll_timestamp // 3600 AS hour, count(*) OVER (PARTITION BY poll_timestamp // 3600) AS n FROM records_v)",
     "bronze_v": "SELECT * REPLACE (nullif(trim(callsign), '') AS callsign) FROM records_v WHERE icao24 IS NOT NULL",
     "placed_v": "SELECT * FROM records_v WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
     "placed_bronze_v": "SELECT * FROM bronze_v WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
@@ -254,6 +256,7 @@ _CHECKPOINTS = """
 _BODIES = {
     "flatten_states": f"SELECT {_RECORD} FROM bronze_v",
     "read_polls": f"SELECT {_RECORD[: -len('poll_timestamp')]} poll_timestamp - poll_timestamp % 3600 AS poll_timestamp FROM bronze_v",
+    "scan_polls": f"SELECT {_RECORD[: -len('poll_timestamp')]} poll_timestamp - poll_timestamp % 3600 AS poll_timestamp FROM bronze_v",
     "quarantined_records": """
         SELECT reason, count(*) AS n FROM (
           SELECT unnest([CASE WHEN off THEN 'position' WHEN far THEN 'time' END, CASE WHEN placed THEN 'cleaned' END,
@@ -262,13 +265,13 @@ _BODIES = {
               latitude IS NOT NULL AND longitude IS NOT NULL AS placed
             FROM (SELECT longitude, CASE event_id % 50 WHEN 1 THEN CAST(1e300 AS DOUBLE) WHEN 2 THEN CAST('Infinity' AS DOUBLE)
               WHEN 3 THEN CAST(91 AS DOUBLE) ELSE latitude END AS latitude, event_id % 50 = 4 AS far FROM records_v))
-          UNION ALL SELECT 'malformed' FROM (SELECT DISTINCT poll_timestamp // 3600 AS hour FROM records_v) WHERE hour % 10 = 0)
+          UNION ALL SELECT 'malformed' FROM responses_v WHERE hour % 10 = 0)
         WHERE reason IS NOT NULL GROUP BY reason""",
     "gold_events": f"SELECT {_EVENTS} FROM (SELECT * REPLACE (num_mentions"
     " + CASE WHEN CAST(global_event_id AS BIGINT) % 2 = 0 THEN 0 ELSE 1 END AS num_mentions) FROM conflicts_v)",
     "pipeline_summary": """
-        SELECT CAST(0 AS INTEGER) AS run, 'polls' AS layer, count(*) + count(*) FILTER (hour % 10 = 0) AS n
-          FROM (SELECT DISTINCT poll_timestamp // 3600 AS hour FROM records_v)
+        SELECT CAST(0 AS INTEGER) AS run, 'polls' AS layer, count(*) + count(*) FILTER (hour % 10 = 0) AS n FROM responses_v
+        UNION ALL SELECT 0, 'malformed_polls', count(*) FROM responses_v WHERE hour % 10 = 0
         UNION ALL SELECT 0, 'records', count(*) FROM bronze_v
         UNION ALL SELECT 0, 'states', count(*) FROM placed_bronze_v
         UNION ALL SELECT 0, 'traffic_items', count(*) FROM silver_hourly_v
@@ -277,6 +280,9 @@ _BODIES = {
     "keyed_messages": f"SELECT {_RECORD} FROM bronze_v",
     "bronze_records": f"SELECT {_RECORD}, CAST(poll_ts AS DATE) AS dt FROM bronze_v",
     "export_events": f"SELECT {_EVENTS} FROM conflicts_v",
+    "stored_exports": f"SELECT {_EVENTS} FROM conflicts_v",
+    "newest_file_states": f"SELECT {_STATES}, 'cached' AS freshness FROM silver_v"
+    " WHERE poll_timestamp // 3600 = (SELECT max(poll_timestamp // 3600) FROM bronze_v)",
     "latest_snapshot": f"SELECT {_STATES} FROM silver_v WHERE date_trunc('hour', poll_ts) = (SELECT max(date_trunc('hour', poll_ts)) FROM silver_v)",
     "region_history": f"SELECT {_HISTORY} FROM detail_v",
     "events_by_region_since": f"SELECT {_EVENTS} FROM detail_events_v",
@@ -375,6 +381,7 @@ _BODIES = {
     "alert_board": f"SELECT region, anomaly_status, {_SEVERITY} AS severity,"
     f" {_case('anomaly_status', STATUS_COLOURS, _literal(OTHER_COLOUR))} AS colour, {_case('anomaly_status', STATUS_ICONS, _literal('•'))} AS icon FROM current_v",
     "zone_counts": _count("zone"),
+    "zone_total": "SELECT count(zone) AS aircraft, round(count(zone) / count(*), 6) AS share FROM silver_v",
     "altitude_speed": "SELECT round(avg(baro_altitude) * 3.28084, 6) AS altitude_ft, round(avg(velocity) * 1.94384, 6) AS speed_kt FROM silver_v",
     "altitude_bands": """
         SELECT position, band, (SELECT count(*) FROM silver_v WHERE baro_altitude > low AND baro_altitude <= high) AS aircraft
@@ -420,6 +427,10 @@ _BODIES = {
     "stream_traffic_by_bucket": "SELECT nearest_region AS region, time_bucket(INTERVAL '5 minutes', poll_ts) AS bucket_sk,"
     " count(DISTINCT icao24) AS aircraft_count FROM near_v GROUP BY 1, 2",
     "stream_anomaly_score": f"SELECT {_TRAFFIC} FROM scored_v",
+    "stream_late_scores": f"SELECT {_TRAFFIC} FROM scored_v",
+    "stream_late_traffic": "SELECT nearest_region AS region, time_bucket(INTERVAL '5 minutes', poll_ts) AS bucket_sk,"
+    " count(DISTINCT icao24) AS aircraft_count FROM near_v GROUP BY 1, 2",
+    "stream_event_correlation": _correlation("'drop'", 60),
 }
 
 ORACLES = {name: _sql(body) for name, body in _BODIES.items()}

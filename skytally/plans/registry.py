@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,8 @@ from skytally.plans import adapters, jobs
 from skytally.schemas import COUNTS, EVENTS, RECORD, STATES, TRAFFIC
 from skytally.session import configure, work_path
 from skytally.sources import exports, polls, quarantine, records, tables
+from skytally.sources.keyed import KeyedTable
+from skytally.streaming import correlation as stream_correlation
 from skytally.streaming import gold, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +76,16 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baseline.score_anomalies(hourly(spark, sf_dir))
 
 
+def stored_gold(spark: SparkSession, sf_dir: str, root: str | None = None) -> KeyedTable:
+    """The scored series as the jobs store it, by day and in a day by region; what the dashboard reads."""
+    table = gold.traffic_table(spark, root or work_path(spark, "gold"))
+    table.merge(scored(spark, sf_dir), 0)
+    return table
+
+
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current status of the named airports (the space between them is not on the board)."""
-    return history.latest_status(scored(spark, sf_dir).filter(F.col("region") != DETAIL_REGION))
+    return history.latest_status(stored_gold(spark, sf_dir).read().filter(F.col("region") != DETAIL_REGION))
 
 
 def since(hours: int = HOURS) -> Column:
@@ -99,12 +109,18 @@ def flatten_states(spark, sf_dir):
     return adapters.bronze(spark, sf_dir)
 
 
+RESPONSE_VECTORS = 500  # about so many vectors in a response
+
+
 def _land_polls(spark, sf_dir, path):
-    """One response file an hour, as a feed would store them, and for every tenth hour a second one that was cut off."""
+    """Response files as a feed would store them: for each hour as many as its records need, on several lines, and for every tenth hour
+    each a second time, cut off."""
     rows = adapters.records(spark, sf_dir).withColumn("poll_timestamp", times.bucket_epoch(F.col("poll_timestamp"), HOUR))
-    polls = adapters.polls_of(rows).groupBy("time").agg(F.flatten(F.collect_list("states")).alias("states"))
+    sizes = rows.groupBy("poll_timestamp").agg(F.ceil(F.count("*") / RESPONSE_VECTORS).alias("responses"))
+    dealt = rows.join(sizes, "poll_timestamp").withColumn("response", F.col("event_id") % F.col("responses"))
+    polls = adapters.polls_of(dealt, "response").groupBy("time", "response").agg(F.flatten(F.collect_list("states")).alias("states"))
     body = F.to_json(F.struct("time", "states"), {"ignoreNullFields": "false"})
-    whole = polls.select("time", body.alias("body"))
+    whole = polls.select("time", F.replace(body, F.lit('"states":'), F.lit('\n"states":\n')).alias("body"))
     cut = whole.filter(F.col("time") / 3600 % 10 == 0).select("time", F.expr("left(body, length(body) - 5)").alias("body"))
     whole.union(cut).select("body").write.option("maxRecordsPerFile", 1).text(path)
     return path
@@ -116,6 +132,12 @@ def read_polls(spark, sf_dir):
     return polls.flatten_states(polls.read_polls(spark, _land_polls(spark, sf_dir, work_path(spark, "polls"))))
 
 
+@query
+def scan_polls(spark, sf_dir):
+    """The same read piece by piece, as responses of any size can be."""
+    return polls.scan_states(spark, _land_polls(spark, sf_dir, work_path(spark, "polls")))
+
+
 def _with_bad_rows(spark, sf_dir):
     """Records of which some have positions or times that no table holds."""
     n = F.col("event_id") % 50
@@ -162,6 +184,14 @@ def export_events(spark, sf_dir):
     return cleaning.clean_events(exports.parse_exports(lines.mapInArrow(_zip_batches, "path STRING, content BINARY")))
 
 
+@query
+def stored_exports(spark, sf_dir):
+    """Events stored as zip files, found again in their folder, unzipped, parsed and cleaned."""
+    path = work_path(spark, "exports")
+    exports.write_exports(adapters.export_lines(spark, sf_dir), path, 2_000)
+    return cleaning.clean_events(exports.read_exports(spark, path))
+
+
 def _zip_batches(batches):
     """One small zip per incoming batch (Spark bounds the rows of a batch)."""
     for number, batch in enumerate(batches):
@@ -178,9 +208,31 @@ def latest_snapshot(spark, sf_dir):
     return tables.newest(polled, "poll").select(*STATES.fieldNames())
 
 
+@query
+def newest_file_states(spark, sf_dir):
+    """What is shown when there is no live poll: the states of the file written last, of a week stored hour by hour at its end."""
+    path = work_path(spark, "bronze")
+    polled = adapters.bronze(spark, sf_dir).withColumn("hour", times.bucket_epoch(F.col("poll_timestamp"), HOUR))
+    last = polled.agg(F.max("hour")).scalar()
+    records.write_records(polled.filter(F.col("hour") < last).drop("hour"), path)
+    records.write_records(polled.filter(F.col("hour") == last).drop("hour").coalesce(1), path)
+    states, freshness = polls.live_states(spark, f"{path}-live", path)
+    return states.withColumn("freshness", F.lit(freshness.split(" ")[0]))
+
+
+def _history(spark, sf_dir, hours=HOURS):
+    """Recent history of one region from the stored gold table: its days, and in these its row groups."""
+    table = stored_gold(spark, sf_dir)
+    return history.region_history(table.read(first=_days_before(hours)), DETAIL_REGION, AS_OF, hours)
+
+
+def _days_before(hours: int) -> str:
+    return str((datetime.fromisoformat(AS_OF) - timedelta(hours=hours)).date())
+
+
 @query
 def region_history(spark, sf_dir):
-    return history.region_history(scored(spark, sf_dir), DETAIL_REGION, AS_OF, HOURS)
+    return _history(spark, sf_dir)
 
 
 @query
@@ -190,7 +242,11 @@ def events_by_region_since(spark, sf_dir):
 
 @query
 def alerts_by_status(spark, sf_dir):
-    return history.alerts_by_status(scored(spark, sf_dir), "warning")
+    """From the stored index of alerts, which holds no other rows."""
+    root = work_path(spark, "gold")
+    days = stored_gold(spark, sf_dir, root).parts()
+    gold.index_alerts(spark, root, days, 0)
+    return history.alerts_by_status(gold.read_alerts(spark, root), "warning")
 
 
 def _listing(spark, sf_dir):
@@ -414,22 +470,22 @@ def incremental_score(spark, sf_dir):
 
 @query
 def upsert_traffic(spark, sf_dir):
-    """Two overlapping batches stored in a keyed table and read back."""
-    path = work_path(spark, "counts")
+    """Two overlapping batches merged into a table by day and read back; the second rewrites its own days only."""
+    table = gold.counts_table(spark, work_path(spark, "counts"))
     for batch_id, counts in enumerate(_versions(spark, sf_dir)):
-        tables.write_batch(counts, path, batch_id)
-    return tables.read_current(spark, path, COUNTS, history.KEYS)
+        table.merge(counts, batch_id)
+    return table.read()
 
 
 @query
 def upsert_events(spark, sf_dir):
     """Overlapping pulls of events: the later pull replaces what it repeats."""
-    path = work_path(spark, "events")
+    table = jobs.events_table(spark, work_path(spark, "gold"))
     pulled = adapters.conflicts(spark, sf_dir)
-    repeated = pulled.filter(F.col("quad_class") == 4)
-    tables.write_batch(pulled, path, 0)
-    tables.write_batch(repeated.withColumn("num_mentions", F.col("num_mentions") + 1000), path, 1)
-    return tables.read_current(spark, path, EVENTS, ["global_event_id"])
+    repeated = pulled.filter(F.col("quad_class") == 4).withColumn("num_mentions", F.col("num_mentions") + 1000)
+    for batch_id, rows in enumerate((pulled, repeated)):
+        table.merge(rows.withColumn("version", F.lit(batch_id)), batch_id)
+    return table.read().select(*EVENTS.fieldNames())
 
 
 @query
@@ -475,7 +531,7 @@ def decode_history(spark, sf_dir):
 
 @query
 def baseline_series(spark, sf_dir):
-    return history.baseline_series(history.region_history(scored(spark, sf_dir), DETAIL_REGION, AS_OF, 10 * HOURS))
+    return history.baseline_series(_history(spark, sf_dir, 10 * HOURS))
 
 
 @query
@@ -547,6 +603,11 @@ def zone_counts(spark, sf_dir):
     return kpis.zone_counts(adapters.silver(spark, sf_dir))
 
 
+@query
+def zone_total(spark, sf_dir):
+    return kpis.zone_total(adapters.silver(spark, sf_dir))
+
+
 @query
 def altitude_speed(spark, sf_dir):
     return kpis.altitude_speed(adapters.silver(spark, sf_dir))
@@ -589,14 +650,14 @@ def top_events(spark, sf_dir):
 
 @query
 def trend_overlay(spark, sf_dir):
-    series = history.region_history(scored(spark, sf_dir), DETAIL_REGION, AS_OF, HOURS)
+    series = _history(spark, sf_dir)
     found = events.events_by_region_since(adapters.conflicts(spark, sf_dir), DETAIL_REGION, since())
     return events.trend_overlay(series, found).select("global_event_id", "marker_size", "marker_colour", "y")
 
 
 @query
 def region_detail(spark, sf_dir):
-    return kpis.region_detail(history.region_history(scored(spark, sf_dir), DETAIL_REGION, AS_OF, HOURS))
+    return kpis.region_detail(_history(spark, sf_dir))
 
 
 @query
@@ -722,5 +783,55 @@ def stream_anomaly_score(spark, sf_dir):
     root = work_path(spark, "stream")
     silver = _silver_stream(_record_stream(spark, sf_dir), root)
     states = ingest.stream_silver_states(spark, silver)
-    ingest.drain(gold.silver_to_gold(states, silver, f"{root}/gold", f"{root}/marks/gold", HOUR))
-    return gold.read_traffic(spark, f"{root}/gold").select(*TRAFFIC.fieldNames())
+    ingest.drain(gold.count_buckets(states, silver, f"{root}/gold", f"{root}/marks/counts", HOUR))
+    ingest.drain(gold.score_buckets(spark, f"{root}/gold", f"{root}/marks/scores"))
+    return gold.read_traffic(spark, f"{root}/gold")
+
+
+def _late_silver(spark, sf_dir, root):
+    """Silver files of which the second half is late: every seventh row comes after all others; how many files make six micro-batches."""
+    events, silver = adapters.table(spark, sf_dir, "events"), f"{root}/silver"
+    for number, part in enumerate((events.filter("event_id % 7 != 0"), events.filter("event_id % 7 = 0"))):
+        part.write.parquet(f"{root}/arrived/part={number}")
+        arrived = spark.readStream.schema(events.schema).parquet(f"{root}/arrived")
+        rows = adapters.records_of(arrived).select(*RECORD.fieldNames())
+        ingest.drain(ingest.records_to_silver(rows, silver, f"{root}/marks/silver"))
+    return silver, max(1, len(ingest.read_silver_states(spark, silver).inputFiles()) // 6)
+
+
+@query
+def stream_late_scores(spark, sf_dir):
+    """The scored series after six micro-batches, the last ones with rows for every day before."""
+    root = work_path(spark, "stream")
+    silver, max_files = _late_silver(spark, sf_dir, root)
+    states = ingest.stream_silver_states(spark, silver, max_files)
+    ingest.drain(gold.count_buckets(states, silver, f"{root}/gold", f"{root}/marks/counts", HOUR))
+    changes = len(gold.read_changes(spark, f"{root}/gold").inputFiles())
+    ingest.drain(gold.score_buckets(spark, f"{root}/gold", f"{root}/marks/scores", max(1, changes // 6)))
+    return gold.read_traffic(spark, f"{root}/gold")
+
+
+@query
+def stream_late_traffic(spark, sf_dir):
+    """Windowed counts that refuse rows a day late, with what they refused counted again."""
+    root = work_path(spark, "stream")
+    silver, max_files = _late_silver(spark, sf_dir, root)
+    counts = gold.windowed_traffic(ingest.stream_silver_states(spark, silver, max_files), "24 hours")
+    ingest.drain(gold.upsert_counts(counts, f"{root}/counts", f"{root}/marks/counts"))
+    side = gold.late_buckets(ingest.stream_silver_states(spark, silver, max_files), f"{root}/side", f"{root}/marks/side", 24)
+    ingest.drain(side)
+    kept = tables.read_current(spark, f"{root}/counts", COUNTS, history.KEYS)
+    return gold.recounted(spark, kept, f"{root}/side", silver)
+
+
+@query
+def stream_event_correlation(spark, sf_dir):
+    """Drops and events matched as two streams, then folded per drop."""
+    root = work_path(spark, "stream")
+    scored(spark, sf_dir).filter("anomaly_direction = 'drop'").write.parquet(f"{root}/drops")
+    adapters.conflicts(spark, sf_dir).write.parquet(f"{root}/events")
+    drops = spark.readStream.schema(TRAFFIC).parquet(f"{root}/drops")
+    found = spark.readStream.schema(EVENTS).parquet(f"{root}/events")
+    pairs = stream_correlation.match_events(drops, found, 60, "60 days")
+    ingest.drain(stream_correlation.store_pairs(pairs, f"{root}/pairs", f"{root}/marks"))
+    return stream_correlation.correlated(spark, spark.read.schema(TRAFFIC).parquet(f"{root}/drops"), f"{root}/pairs")

@@ -85,6 +85,8 @@ EVENTS = _struct(
 
 COUNTS = _struct("region STRING, bucket_sk TIMESTAMP, aircraft_count BIGINT")
 
+PAIRS = _struct("region STRING, bucket_sk TIMESTAMP, global_event_id STRING, mentions DOUBLE, goldstein_scale DOUBLE")
+
 LATE = _struct("region STRING, bucket_sk TIMESTAMP")
 
 SIGHTINGS = _struct("region STRING, bucket_sk TIMESTAMP, icao24 STRING")

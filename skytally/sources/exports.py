@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import io
+import itertools
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyarrow import csv
+from pyarrow import csv, fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from skytally.functions.text import last_path_segment
 from skytally.functions.times import parse_compact
@@ -82,6 +86,74 @@ def read_exports(spark: SparkSession, path: str, columns: Sequence[str] = USED_C
     return parse_exports(files.load(path), columns)
 
 
+class ExportZips(DataSource):
+    """Sink ``export_zips``: lines of events as zip files of at most ``lines`` each under ``path``, as exports are stored.
+
+    Each task streams its lines into archives in a folder of its own; they are moved in place once all tasks are done, so a task that is
+    lost and run again leaves no second copy.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "export_zips"
+
+    def schema(self) -> str:
+        return "line STRING"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return _ZipWriter(self.options["path"], int(self.options.get("lines", 100_000)))
+
+
+class _Written(WriterCommitMessage):
+    def __init__(self, files: list[str]):
+        self.files = files
+
+
+class _ZipWriter(DataSourceArrowWriter):
+    def __init__(self, path: str, lines: int):
+        self.path, self.lines, self.job = path, lines, uuid.uuid4().hex
+
+    def _place(self) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(self.path if "://" in self.path or ":/" in self.path else f"file://{self.path}")
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        store, folder = self._place()
+        task = TaskContext.get()
+        number, attempt = task.partitionId(), task.taskAttemptId()
+        staging = f"{folder}/_staging-{self.job}"
+        store.create_dir(staging, recursive=True)
+        lines = (line for batch in batches for line in batch.column(0).to_pylist() if line is not None)
+        files: list[str] = []
+        for first in lines:
+            files.append(f"{staging}/{attempt}-{number:05d}-{len(files):05d}{EXPORT_SUFFIX}")
+            name = files[-1].rsplit("/", 1)[-1].split("-", 1)[1].removesuffix(".zip")
+            with store.open_output_stream(files[-1]) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                with archive.open(zipfile.ZipInfo(name), "w", force_zip64=True) as member:
+                    member.write(first.encode())
+                    for line in itertools.islice(lines, self.lines - 1):
+                        member.write(b"\n" + line.encode())
+        return _Written(files)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        store, folder = self._place()
+        for message in messages:
+            for file in message.files if message else []:
+                store.move(file, f"{folder}/{self.job[:8]}-{file.rsplit('/', 1)[-1].split('-', 1)[1]}")
+        self.abort(messages)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        store, folder = self._place()
+        staging = f"{folder}/_staging-{self.job}"
+        if store.get_file_info(staging).type != fs.FileType.NotFound:
+            store.delete_dir(staging)
+
+
+def write_exports(lines: DataFrame, path: str, lines_a_file: int = 100_000) -> None:
+    """Store lines (column ``line``) as zipped exports under ``path``."""
+    lines.sparkSession.dataSource.register(ExportZips)
+    lines.select("line").write.format("export_zips").option("lines", lines_a_file).mode("append").save(path)
+
+
 def stream_exports(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """New zips only: the stream's checkpoint remembers every file it has seen."""
     reader = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", "*.zip")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.functions.numbers import nan_to_null
@@ -17,7 +17,7 @@ from skytally.sources.tables import newest_file
 FIELDS = with_columns(POLL, f"{CORRUPT} STRING")
 
 
-def read_polls(spark: SparkSession, path: str) -> DataFrame:
+def read_polls(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file that holds a whole response. See ``malformed_polls`` for the others."""
     return well_formed(parsed(spark.read.text(path, wholetext=True), FIELDS), "malformed_polls")
 
@@ -35,6 +35,44 @@ def stream_polls(spark: SparkSession, path: str, max_files: int | None = None) -
     return well_formed(parsed(reader.text(path, wholetext=True), FIELDS), "malformed_polls")
 
 
+def _vector_parts(value: Column) -> tuple[Column, Column, Column]:
+    """(text before the last bracket, text behind it, whether the piece holds a vector) of a piece of a response up to a closing bracket."""
+    inner = F.substring_index(value, "[", -1)
+    outer = F.expr("left(value, length(value) - length(substring_index(value, '[', -1)))")
+    return outer, inner, value.contains("[") & (F.trim(inner) != "")
+
+
+def scan_states(spark: SparkSession, path: str) -> DataFrame:
+    """``flatten_states(read_polls(...))`` for responses of any size: no task holds more than a piece of one.
+
+    The files are read up to each closing bracket, so every vector is a row of its own and a large file is read by several tasks. A
+    response counts if its pieces are those of one whole response: an opening, vectors or nulls, and an end. Files whose
+    vectors hold brackets of their own, in a text or a list, cannot be told apart this way and are read as a whole.
+    """
+    pieces = spark.read.text(path, lineSep="]").select("value", F.col("_metadata.file_path").alias("file"))
+    outer, inner, is_vector = _vector_parts(F.col("value"))
+    outside = F.when(is_vector, outer).otherwise(F.col("value"))
+    opening = r'^\s*\{[^\[\]{}]*"states"\s*:\s*\[\s*(null\s*,\s*)*'
+    fits = F.when(is_vector, outside.rlike(rf"({opening}\[|^(\s*,\s*null)*\s*,\s*\[)$")).otherwise(
+        outside.rlike(rf'({opening}(null)?\s*$|^(\s*,\s*null)*\s*$|^\s*(,\s*"[^\[\]{{}}]*)?\}}\s*$|^\s*\{{[^\[\]{{}}]*\}}\s*$)')
+    )
+    vector = F.from_json(F.concat(F.lit("["), inner, F.lit("]")), "array<string>")
+    good = fits & (~is_vector | vector.isNotNull())
+    time = F.regexp_extract(outside, r'"time"\s*:\s*(-?\d+)', 1).try_cast("bigint")
+    files = pieces.groupBy("file").agg(
+        F.max(time).alias("time"),
+        F.bool_and(F.coalesce(good, F.lit(False))).alias("plain"),
+        F.count_if(outside.rlike(r"^\s*\{")).alias("openings"),
+        F.count_if(~is_vector & outside.rlike(r"\}\s*$")).alias("ends"),
+    )
+    files = files.persist()  # one row a file
+    split = files.filter("plain and openings = 1 and ends = 1").select("file", "time")
+    vectors = pieces.filter(is_vector).select("file", vector.alias("v"))
+    found = _fields(vectors.join(split, "file").withColumnRenamed("time", "poll_timestamp"))
+    others = [r["file"] for r in files.filter("not plain").select("file").collect()]
+    return found.union(flatten_states(read_polls(spark, others))) if others else found
+
+
 def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame, str]:
     """Cleaned states to show now, and how fresh they are.
 
@@ -51,7 +89,10 @@ def live_states(spark: SparkSession, live: str, bronze: str) -> tuple[DataFrame,
 
 def flatten_states(polls: DataFrame) -> DataFrame:
     """One record per state vector that has an identifier, with or without a position."""
-    vectors = polls.select(F.col("time").alias("poll_timestamp"), F.explode("states").alias("v"))
+    return _fields(polls.select(F.col("time").alias("poll_timestamp"), F.explode("states").alias("v")))
+
+
+def _fields(vectors: DataFrame) -> DataFrame:
     fields = []
     for name, position, kind in VECTOR_FIELDS:
         value = F.get("v", F.lit(position))

@@ -8,6 +8,7 @@ row of each key. No write ever touches a path it reads from.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from skytally.operators.dedup import latest_by_key
 from skytally.schemas import MANIFEST, with_columns
+from skytally.sources import files
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
@@ -50,9 +52,9 @@ def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, k
     write_batch(latest_by_key(log, keys, "batch_id").select(*schema.fieldNames()), target, last)
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """Path, size and age of every file below ``path``; contents are not read."""
-    files = (
+    listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
@@ -60,7 +62,7 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .select("path", F.col("modificationTime").alias("modified_at"), F.col("length").alias("bytes"))
     )
     dt = F.regexp_extract("path", r"/dt=(\d{4}-\d{2}-\d{2})/", 1)
-    return files.withColumn("dt", F.nullif(dt, F.lit("")).cast("date"))
+    return listing.withColumn("dt", F.nullif(dt, F.lit("")).cast("date"))
 
 
 def newest(df: DataFrame, by: str) -> DataFrame:
@@ -68,10 +70,12 @@ def newest(df: DataFrame, by: str) -> DataFrame:
     return df.filter(F.col(by) == df.agg(F.max(by)).scalar())
 
 
-def newest_file(spark: SparkSession, path: str, glob: str = "*") -> Row | None:
+def newest_file(spark: SparkSession, path: str, glob: str = "*", folders: int | None = None) -> Row | None:
     """Listing row of the most recently written file (``written`` is its UTC time of day); only
-    the listing is read."""
-    listing = list_files(spark, path, glob).withColumn("written", F.date_format("modified_at", "HH:mm"))
+    the listing is read, of the last ``folders`` dated folders if given."""
+    dated = [name for name in files.names(spark, path) if name.startswith("dt=")] if folders else []
+    listing = list_files(spark, [f"{path}/{name}" for name in dated[-folders:]] if dated else path, glob)
+    listing = listing.withColumn("written", F.date_format("modified_at", "HH:mm"))
     return listing.orderBy(F.desc("modified_at"), F.desc("path")).first()
 
 
@@ -80,17 +84,33 @@ def read_newest_file(spark: SparkSession, path: str, schema: T.StructType, glob:
     return spark.read.schema(schema).json(newest_file(spark, path, glob).path)
 
 
-def unprocessed(files: DataFrame, manifest: DataFrame, key: str = "file_name", force: bool = False) -> DataFrame:
+def unprocessed(listing: DataFrame, manifest: DataFrame, key: str = "file_name", force: bool = False) -> DataFrame:
     """Files the manifest does not know yet; ``force`` takes them all."""
-    return files if force else files.join(manifest.select(key), key, "left_anti")
+    return listing if force else listing.join(manifest.select(key), key, "left_anti")
 
 
 def expired_partitions(listing: DataFrame, as_of: str | Column, days: int) -> DataFrame:
-    """``dt`` partitions older than ``days`` before ``as_of``. Deleting them is up to the caller."""
+    """``dt`` partitions older than ``days`` before ``as_of``. Deleting them is up to the caller (``drop_expired``)."""
     moment = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     return listing.filter(F.col("dt") < F.date_sub(moment, days)).select("dt").distinct()
 
 
+def drop_expired(spark: SparkSession, path: str, as_of: str, days: int, dry_run: bool = True) -> list[str]:
+    """The ``dt=`` folders of ``path`` older than ``days`` before ``as_of``; they are removed only if ``dry_run`` is false."""
+    limit = date.fromisoformat(as_of[:10]) - timedelta(days=days)
+    old = [name for name in files.names(spark, path) if _dated(name) and _dated(name) < limit]
+    for name in [] if dry_run else old:
+        files.remove(spark, f"{path}/{name}")
+    return old
+
+
+def _dated(name: str) -> date | None:
+    try:
+        return date.fromisoformat(name[3:]) if name.startswith("dt=") else None
+    except ValueError:
+        return None
+
+
 # ---- manifest: what each source delivered last ------------------------------------------------
 
 

@@ -52,6 +52,10 @@ def traffic_table(spark: SparkSession, gold: str) -> KeyedTable:
     return KeyedTable(spark, f"{gold}/traffic", TRAFFIC, KEYS, _day, cluster=KEYS)
 
 
+def counts_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, COUNTS, KEYS, _day, cluster=KEYS)
+
+
 def alerts_table(spark: SparkSession, gold: str) -> KeyedTable:
     """The alerts alone by day, in a day by status: a small index of the traffic table."""
     return KeyedTable(spark, f"{gold}/alerts", TRAFFIC, KEYS, _day, cluster=["anomaly_status", "bucket_sk"])
@@ -74,6 +78,18 @@ def read_traffic(spark: SparkSession, gold: str) -> DataFrame:
     return traffic_table(spark, gold).read()
 
 
+def index_alerts(spark: SparkSession, gold: str, days: Iterable[str], batch_id: int) -> None:
+    """Bring the alerts of some days in line with the traffic table."""
+    days = list(days)
+    if days:
+        current = traffic_table(spark, gold).read(min(days), max(days)).filter(_day().isin(days))
+        alerts_table(spark, gold).replace(current.filter(F.col("anomaly_status").isin(ALERT_STATUSES)), days, batch_id)
+
+
+def read_changes(spark: SparkSession, gold: str) -> DataFrame:
+    return read_log(spark, f"{gold}/changes", COUNTS)
+
+
 def read_alerts(spark: SparkSession, gold: str) -> DataFrame:
     return alerts_table(spark, gold).read()
 
@@ -235,12 +251,7 @@ def score_batch(spark: SparkSession, rings: DataFrame, batch_id: int, gold: str)
         log = f"{gold}/scored/batch_id={batch_id}"
         scored.write.mode("overwrite").parquet(log)
         scored = spark.read.schema(TRAFFIC).parquet(log)
-        days = table.merge(scored, batch_id)
-        if days:
-            alerts = alerts_table(spark, gold)
-            is_alert = F.col("anomaly_status").isin(ALERT_STATUSES)
-            current = table.read(min(days), max(days)).filter(_day().isin(list(days)) & is_alert)
-            alerts.replace(current, days, batch_id)
+        index_alerts(spark, gold, table.merge(scored, batch_id), batch_id)
     finally:
         rings.unpersist()
 
