@@ -341,6 +341,12 @@ def _anchors(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.nda
 # ---- chains ------------------------------------------------------------------------------------------------------------
 
 
+def _straight(at: np.ndarray, to: np.ndarray) -> bool:
+    """Whether sorted matches lie on one diagonal and so close that each link pays: then they are one chain, each following the one before."""
+    steps = np.diff(at)
+    return len(at) == 1 or bool((steps > 0).all() and (steps < LOOSE).all() and (np.diff(to) == steps).all())
+
+
 def chain(places: np.ndarray, others: np.ndarray) -> list[list[int]]:
     """Collinear chains of matches, best first, each match in one at most.
 
@@ -349,6 +355,8 @@ def chain(places: np.ndarray, others: np.ndarray) -> list[list[int]]:
     which a Fenwick tree over the other side holds.
     """
     order = np.lexsort((others, places))
+    if len(order) and _straight(places[order], others[order]):
+        return [order.tolist()]
     at, to = places[order].tolist(), others[order].tolist()
     ranks = np.unique(others)
     rank = (np.searchsorted(ranks, others[order]) + 1).tolist()
@@ -473,15 +481,16 @@ def same_words(a: np.ndarray, b: np.ndarray) -> int:
         return len(a)
     if not len(a) or not len(b):
         return 0
-    row = [0] * (len(b) + 1)
-    second = b.tolist()
-    for x in a.tolist():
-        left = diagonal = 0
-        for j, y in enumerate(second, 1):
-            up = row[j]
-            left = diagonal + 1 if x == y else max(left, up)
-            row[j], diagonal = left, up
-    return row[-1]
+    # A row of the table of common lengths as one number, a bit for each place where it does not grow.
+    places: dict[int, int] = {}
+    for i, x in enumerate(a.tolist()):
+        places[x] = places.get(x, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    row = every
+    for y in b.tolist():
+        same = row & places.get(y, 0)
+        row = ((row + same) | (row - same)) & every
+    return len(a) - row.bit_count()
 
 
 def _extended(a: np.ndarray, b: np.ndarray) -> int:

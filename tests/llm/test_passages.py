@@ -156,3 +156,29 @@ def test_seeds_that_lead_to_different_texts(spark):
         got = {(r.doc_id, r.begin_word, r.end_word) for r in found}
         for i in range(4, 30):
             assert any(d == i and a <= 30 + i + 1 and b >= 110 + i - 1 for d, a, b in got)
+
+
+def test_common_words_equal_the_table():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a, b = (rng.integers(0, 4, rng.integers(0, 80)).astype(np.uint16) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a.tolist():
+            before = row[:]
+            for j, y in enumerate(b.tolist(), 1):
+                row[j] = before[j - 1] + 1 if x == y else max(row[j - 1], before[j])
+        assert passages.same_words(a, b) == row[-1]
+
+
+def test_matches_on_a_diagonal_are_one_chain(monkeypatch):
+    rng = np.random.default_rng(9)
+    for _ in range(100):
+        at = np.cumsum(rng.integers(1, 30, rng.integers(1, 40)))
+        to = at + 7
+        if rng.random() < 0.3:
+            to = np.sort(at + rng.integers(0, 3, len(at)))
+        mixed = rng.permutation(len(at))
+        quick = passages.chain(at[mixed], to[mixed])
+        with monkeypatch.context() as m:
+            m.setattr(passages, "_straight", lambda *_: False)
+            assert quick == passages.chain(at[mixed], to[mixed])
