@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import sys
 import types
@@ -126,8 +128,15 @@ def per_worker(name: str, make: Callable[[], object]):
 
 
 def release_worker() -> None:
-    """Drop what tasks of other operators keep in this Python worker; they would make it again."""
+    """Drop what tasks of other operators keep in this Python worker; they would make it again. What that frees goes back to the machine,
+    where the executor's heap needs it."""
     sys.modules.pop("_skytally_worker", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than that of Linux
+        return
 
 
 def pack(values: np.ndarray) -> bytes:
