@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -108,9 +108,14 @@ class Model:
 
 def forward_backward(scores: np.ndarray, moves: np.ndarray, start: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Marginals of one chain that is cut where ``begins``: it is folded to segments, whose products are chained first."""
+    return _both_ways(scores, moves, start, begins)[0]
+
+
+def _both_ways(scores: np.ndarray, moves: np.ndarray, start: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(marginals, weight of each word and all behind it by language; the scale of a row of these is open)."""
     count, kinds = scores.shape
     if count == 0:
-        return np.zeros((0, kinds))
+        return np.zeros((0, kinds)), np.zeros((0, kinds))
     segments = -(-count // SEGMENT)
     length = -(-count // segments)
     step, first = np.exp(moves - moves.max()), np.exp(start - start.max())
@@ -146,14 +151,25 @@ def forward_backward(scores: np.ndarray, moves: np.ndarray, start: np.ndarray, b
         now[cut[t]] = first
         now = even(now * local[t], t)
         found[t] = now
-    now = tails
+    now, ahead = tails, np.empty((length, segments, kinds))
     for t in range(length - 1, -1, -1):
         found[t] *= now
-        now = (now * local[t]) @ step.T
+        ahead[t] = now * local[t]
+        now = ahead[t] @ step.T
         now[cut[t]] = 1.0
         now = even(now, t)
-    found = found.swapaxes(0, 1).reshape(-1, kinds)[:count]
-    return found / found.sum(axis=1, keepdims=True)
+    found, ahead = (x.swapaxes(0, 1).reshape(-1, kinds)[:count] for x in (found, ahead))
+    return found / found.sum(axis=1, keepdims=True), ahead
+
+
+def expected_moves(found: np.ndarray, ahead: np.ndarray, moves: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """How often each move is expected between neighbouring words of a text: a word's marginal, times the chance of the next one's
+    language given its own."""
+    inner = ~begins[1:]
+    step = np.exp(moves - moves.max())
+    behind = ahead[1:][inner]
+    behind = behind / behind.max(axis=1, keepdims=True)
+    return step * ((found[:-1][inner] / (behind @ step.T)).T @ behind)
 
 
 def train(texts: list[str], langs: list[str], languages: list[str], counts: np.ndarray) -> Model:
@@ -184,7 +200,7 @@ def train(texts: list[str], langs: list[str], languages: list[str], counts: np.n
         words, truth = Words(lines), np.array(truth)
         begins = np.diff(words.text, prepend=-1) > 0
         scores = model.scores(words)
-        found = forward_backward(scores, model.moves, model.start, begins)
+        found, ahead = _both_ways(scores, model.moves, model.start, begins)
         apart = found.copy()
         apart[np.arange(len(truth)), truth] -= 1
         slope = np.zeros_like(model.grams)
@@ -194,12 +210,10 @@ def train(texts: list[str], langs: list[str], languages: list[str], counts: np.n
                 slope[:, k] += np.bincount(row, weights=apart[own, k], minlength=GRAM_ROWS + 1)[: GRAM_ROWS + 1]
         slope[-1] = 0
         inner = ~begins[1:]
-        pairs = np.exp(model.moves) * (found[:-1][inner][:, :, None] * found[1:][inner][:, None, :]).mean(0)
-        pairs /= pairs.sum()  # expected moves, by the words' own probabilities
         seen = np.zeros((kinds, kinds))
-        np.add.at(seen, (truth[:-1][inner], truth[1:][inner]), 1 / max(inner.sum(), 1))
+        np.add.at(seen, (truth[:-1][inner], truth[1:][inner]), 1)
         slopes = [
-            slope, float((apart * lexicon[words.lexicon_rows()]).sum()), (pairs - seen) * inner.sum(), apart[begins].sum(0),
+            slope, float((apart * lexicon[words.lexicon_rows()]).sum()), expected_moves(found, ahead, model.moves, begins) - seen, apart[begins].sum(0),
         ]
         steps = []
         for i, s in enumerate(slopes):
@@ -250,7 +264,7 @@ def lexicon_counts(labelled: DataFrame, languages: list[str], text: str, lang: s
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model of the languages of ``labelled``: lexicon from all its rows, weights from ``SAMPLE_DOCS`` of them."""
-    labelled = labelled.filter(F.col(lang).isNotNull()).select(text, lang)
+    labelled = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(text, lang)
     sizes = {r[0]: r[1] for r in labelled.groupBy(lang).agg(F.count("*")).collect()}
     languages = sorted(sizes)
     if not languages:
@@ -260,8 +274,10 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     weight = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, float(sizes[k]))]), F.col(lang))
     drawn = F.pmod(F.xxhash64(text), F.lit(1 << 40)).cast("double") * weight
     ranked = labelled.select(text, lang, drawn.alias("drawn"))
-    bound = ranked.select("drawn").orderBy("drawn").limit(SAMPLE_DOCS).agg(F.max("drawn")).first()[0]
-    sample = ranked.filter(F.col("drawn") <= bound).limit(2 * SAMPLE_DOCS).orderBy("drawn", lang).collect()
+    # Copies have one hash and are one draw.
+    bound = ranked.select("drawn").distinct().orderBy("drawn").limit(SAMPLE_DOCS).agg(F.max("drawn")).first()[0]
+    drawn_once = ranked.filter(F.col("drawn") <= bound).dropDuplicates(["drawn", lang])
+    sample = drawn_once.orderBy("drawn", lang).limit(SAMPLE_DOCS).collect()
     return train([r[0] or "" for r in sample], [r[1] for r in sample], languages, counts)
 
 
@@ -273,11 +289,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep_text: bool =
     """
     kept = [c for c in docs.columns if keep_text or c != text]
     empty = docs.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: weight rows by languages
+    # Of fixed size: weight rows by languages. As plain arrays, which a worker can load without this package.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(model)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_worker()
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             for part in slices(batch, text, SLICE_BYTES):
                 found, score = [UNDETERMINED] * part.num_rows, np.zeros(part.num_rows)

@@ -36,6 +36,56 @@ def test_folded_chain(kinds, monkeypatch):
     assert np.allclose(found, want, atol=1e-9)
 
 
+def likelihood(scores, moves, start, texts, truth):
+    """Logarithm of the probability of the true labels, text by text."""
+    total = 0.0
+    for i in np.unique(texts):
+        s, y = scores[texts == i], truth[texts == i]
+        total += start[y[0]] + s[np.arange(len(y)), y].sum() + moves[y[:-1], y[1:]].sum()
+        a = start + s[0]
+        for row in s[1:]:
+            a = np.logaddexp.reduce(a[:, None] + moves, axis=0) + row
+        total -= np.logaddexp.reduce(a)
+    return total
+
+
+@pytest.mark.parametrize("segment", [4, 64])
+def test_expected_moves_are_the_slope_of_the_likelihood(monkeypatch, segment):
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    rng = np.random.default_rng(5)
+    texts = np.repeat([0, 1, 2], [1, 25, 14])
+    scores, moves, start = rng.normal(0, 2, (40, 3)), rng.normal(0, 1, (3, 3)), rng.normal(0, 1, 3)
+    truth, begins = rng.integers(0, 3, 40), np.diff(texts, prepend=-1) > 0
+    expected = language.expected_moves(*language._both_ways(scores, moves, start, begins), moves, begins)
+    seen = np.zeros((3, 3))
+    np.add.at(seen, (truth[:-1][~begins[1:]], truth[1:][~begins[1:]]), 1)
+    for i in range(3):
+        for j in range(3):
+            up, down = moves.copy(), moves.copy()
+            up[i, j] += 1e-5
+            down[i, j] -= 1e-5
+            slope = (likelihood(scores, up, start, texts, truth) - likelihood(scores, down, start, texts, truth)) / 2e-5
+            assert abs((seen - expected)[i, j] - slope) < 1e-5
+
+
+def test_null_texts_and_copies_do_not_crowd_out_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 60)
+    rows = [(None, "en")] * 300 + [("the same text for ever and ever", "en")] * 300
+    rows += [(f"der die und das nicht auch {i} wird werden", "de") for i in range(60)]
+    rows += [(f"the of and that with this {i} have will", "en") for i in range(60)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ["de", "en"] and np.abs(model.grams).max() > 0 and np.abs(model.moves).max() > 0
+    assert [lang for _, lang in language.label_words("der die und the of and", model)] == ["de"] * 3 + ["en"] * 3
+
+
+def test_workers_need_no_package_for_the_model():
+    import pickle
+
+    model = language.Model(["a"], np.zeros((2, 1)), np.zeros((1, 1)), 0.5, np.zeros((1, 1)), np.zeros(1))
+    plain = pickle.dumps(tuple(getattr(model, f.name) for f in language.fields(model)))
+    assert b"skytally" not in plain
+
+
 def test_words():
     texts = ["", "Hello wörld 12", "...", "a", "É-b\0c", "x" * 300]
     words = language.Words(texts)
