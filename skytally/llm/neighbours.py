@@ -16,7 +16,7 @@ TABLES, HASHES, WIDTH, PROBES = 5, 8, 2.5, 96
 SEED = 5
 HOT = 4096  # rows of a bucket that stay together; more are dealt to several tasks, and its probes go to each
 HELD = 2_000_000  # results a task holds before it prunes them
-SPARE = 4  # more than asked for are scored exactly, as the first sorting is by faster arithmetic
+ROUGH = 1e-9  # by so much of the greatest score the faster arithmetic of the first sorting may be off
 
 
 class Tables:
@@ -135,20 +135,26 @@ def _search(most: int):
             return None
         vectors = _matrix(rows.column("vector").combine_chunks())
         classes = rows.column("vec_class").to_numpy()
-        ids = [x for x, p in zip(rows.column("ids").to_pylist(), probe) if not p]
+        own = [np.array(x, np.int64) for x, p in zip(rows.column("ids").to_pylist(), probe) if not p]
+        sizes = np.array([len(x) for x in own])
         index, askers = vectors[~probe], np.flatnonzero(probe)
         out = []
         for at in range(0, len(askers), 256):
             some = askers[at : at + 256]
             rough = vectors[some] @ index.T
-            n = min(most + SPARE, len(index))
-            top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-            exact = np.einsum("qd,qnd->qn", vectors[some], index[top])
-            for q, places, scores in zip(classes[some].tolist(), top.tolist(), exact):
-                many = [len(ids[p]) for p in places]
-                flat = [i for p in places for i in ids[p]]
-                out.append((np.full(len(flat), q), np.array(flat), np.repeat(scores, many)))
-        return tuple(map(np.concatenate, zip(*out)))
+            n = min(most, len(index))
+            least = -np.partition(-rough, n - 1, axis=1)[:, n - 1 : n]
+            # Every row that reaches the last place is scored exactly, as ties are settled by id.
+            close = ROUGH * np.maximum(np.abs(rough).max(axis=1, keepdims=True), np.abs(least))
+            floor = least - close
+            asker, place = np.nonzero(~(rough < np.where(np.isfinite(floor), floor, -np.inf)))
+            for a in range(0, len(asker), 1 << 15):
+                q, p = asker[a : a + (1 << 15)], place[a : a + (1 << 15)]
+                scores = np.einsum("nd,nd->n", vectors[some[q]], index[p])
+                flat = np.concatenate([own[k] for k in p.tolist()])
+                many = sizes[p]
+                out.append(_best(np.repeat(classes[some[q]], many), flat, np.repeat(scores, many), most))
+        return _best(*map(np.concatenate, zip(*out)), most)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -194,7 +200,8 @@ def nearest(
     """query_id, rank, vec_id and score: up to ``count`` rows of largest inner product for each row that ``is_query`` (a Column) picks.
 
     Candidates are the rows that share a probed bucket of some table; they are ranked by the inner product of the given vectors in
-    double precision, ties by smaller id, the row itself left out. Equal vectors are one class, which holds the ``count`` + 1
+    double precision, ties by smaller id, the row itself left out. A query whose buckets hold fewer than ``count`` others is compared with
+    all rows, block by block. Equal vectors are one class, which holds the ``count`` + 1
     least of its ids: no query can need more of them, so a vector that a third of all rows share costs as much as one row.
     A null key, and a vector that is null, zero, or holds null or non-finite components, take no part; neither do vectors of another
     than the commonest dimension. Repeated rows are one row. Other columns are not read.
@@ -206,7 +213,8 @@ def nearest(
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & finite & F.exists("v", lambda c: c != 0))
     rows = rows.withColumn("asks", F.coalesce("asks", F.lit(False)))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
+    most_of = F.array_max(F.transform("v", F.abs))  # taken out of the squares, which could pass the greatest double
+    norm = most_of * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + (c / most_of) * (c / most_of)))
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(norm).alias("norm")).orderBy(F.desc("n"), "d").first()
     if sizes is None:
         return rows.limit(0).select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
@@ -238,7 +246,22 @@ def nearest(
     dealt = joined.select(*NAMES, F.explode(subs).alias("sub"))
     parts = parts_for(sizes["n"] * tables, 20_000, spark.sparkContext.defaultParallelism)
     dealt = dealt.repartition(parts, "bucket", "sub").sortWithinPartitions("bucket", "sub")
-    found = dealt.mapInArrow(_search(most), "vec_class long, vec_id long, score double")
+    result = "vec_class long, vec_id long, score double"
+    found = stored(dealt.mapInArrow(_search(most), result).dropDuplicates(["vec_class", "vec_id"]), "found")
+    # Too little found: every block of rows is a bucket, and these queries probe them all.
+    total = min(most, sizes["n"])
+    reached = found.groupBy("vec_class").agg(F.count("*").alias("n")).filter(F.col("n") >= total)
+    short = stored(asked.join(reached, "vec_class", "left_anti").select("vec_class"), "short")
+    if not short.isEmpty():
+        blocks = parts_for(sizes["n"], HOT)
+        spread = lean.select(F.pmod(F.xxhash64("vec_class"), F.lit(blocks)).alias("bucket"), F.lit(False).alias("probe"), "vec_class", "vector", "ids")
+        probing = lean.join(short, "vec_class").select(
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("bucket"), F.lit(True).alias("probe"), "vec_class", "vector",
+            F.lit(None).cast("array<long>").alias("ids"),
+        )
+        dealt = spread.union(probing).withColumn("sub", F.lit(0))
+        dealt = dealt.repartition(parts_for(blocks, 4), "bucket").sortWithinPartitions("bucket", "sub")
+        found = found.join(short, "vec_class", "left_anti").union(dealt.mapInArrow(_search(most), result))
     by_class = Window.partitionBy("vec_class").orderBy(F.desc("score"), "vec_id")
     best = found.dropDuplicates(["vec_class", "vec_id"]).withColumn("r", F.row_number().over(by_class)).filter(F.col("r") <= most)
     lists = best.groupBy("vec_class").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("list"))

@@ -78,3 +78,34 @@ def test_copies_ties_and_odd_rows(spark, monkeypatch):
     few = neighbours.nearest(df.filter("vec_id < 5"), F.col("vec_id") % 20 == 0, probes=3000).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4]
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def nearest(df, **options):
+    found = neighbours.nearest(df, F.col("vec_id") % 20 == 0, **options).collect()
+    return {q: [r.vec_id for r in sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)] for q in {r.query_id for r in found}}
+
+
+def test_ties_in_a_bucket_are_settled_by_id(spark):
+    """Four hundred different vectors with one score for the query; the smallest ids are due."""
+    rng = np.random.default_rng(2)
+    rows = [(0, [1.0] + [0.0] * 7)]
+    rows += [(1000 + i, [0.5, *(rng.integers(0, 2, 7) / 64 + i / 4096).tolist()]) for i in rng.permutation(400).tolist()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert nearest(df.filter("vec_id = 0 or vec_id >= 1000"))[0] == list(range(1000, 1020))
+
+
+def test_queries_that_find_too_little_are_compared_with_all(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "HOT", 16)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {q: [i for i, _ in best] for q, best in plain(rows).items()}
+    assert nearest(df, probes=1, width=0.05) == want
+    few = {q: [i for i, _ in best] for q, best in plain(rows[:9]).items()}
+    assert nearest(df.filter("vec_id < 9"), probes=1, width=0.05) == few
+
+
+def test_great_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e10, 0.0]), (2, [-1e150, 3.0]), (3, [2e10, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert nearest(df) == {0: [3, 1, 2]}
