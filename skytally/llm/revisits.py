@@ -77,9 +77,11 @@ def resolve(records: DataFrame) -> DataFrame:
         "record_id", canonical_url(F.col("url")).alias("page"), F.col("at").cast("long").alias("at"),
         F.coalesce(F.col("kind") == "revisit", F.lit(False)).alias("is_revisit"), _lowered("headers").alias("headers"), "digest",
     )
-    rows = stored(rows.filter(F.col("record_id").isNotNull()).withColumn("order", F.xxhash64("page", "at", "is_revisit", "digest")), "records")
+    # Sorted entries can be compared and hashed, a map cannot: rows given twice become one, then the least of an id stands.
+    rows = rows.filter(F.col("record_id").isNotNull()).withColumn("headers", F.array_sort(F.map_entries("headers"))).distinct()
+    rows = stored(rows.withColumn("order", F.xxhash64("page", "at", "is_revisit", "digest", "headers")), "records")
     one = rows.groupBy("record_id").agg(F.min("order").alias("order"))
-    rows = rows.join(one, ["record_id", "order"], "left_semi").drop("order")
+    rows = rows.join(one, ["record_id", "order"], "left_semi").drop("order").withColumn("headers", F.map_from_entries("headers"))
     usable = rows.filter(F.col("page").isNotNull() & F.col("at").isNotNull()).select("record_id", "page", "at", "is_revisit")
     pairs = latest_earlier(usable)
     revisits = rows.filter("is_revisit").select(F.col("record_id").alias("revisit_id"), "page", F.col("headers").alias("now"))

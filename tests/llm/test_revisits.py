@@ -50,7 +50,9 @@ def test_headers_and_odd_rows(spark):
         (9, "u" * 100_000, 5, "revisit", {}, None, "x"),
     ]
     df = spark.createDataFrame(rows, SCHEMA)
-    found = {r.revisit_id: r for r in revisits.resolve(df).collect()}
+    every = revisits.resolve(df).collect()
+    found = {r.revisit_id: r for r in every}
+    assert len(found) == len(every)
     assert {i: (r.original_id, r.outcome) for i, r in found.items()} == {
         2: (1, "resolved"), 3: (None, "no_earlier_response"), 4: (1, "no_validator"), 5: (None, "no_earlier_response"),
         6: (None, "no_earlier_response"), 8: (7, "validator_mismatch"), 9: (None, "no_earlier_response"),
@@ -58,3 +60,11 @@ def test_headers_and_odd_rows(spark):
     assert found[2].page == "example.org/a?a=1&b=2" and found[2].digest == "d1" and found[4].headers is None
     assert found[2].headers == {"etag": '"1"', "content-type": "text/html", "content-length": "9", "x": "new", "age": "3"}
     assert revisits.resolve(df.limit(0)).count() == 0
+
+
+def test_records_given_twice_are_one(spark):
+    """A response and a revisit, each twice, once with other headers: one row with one outcome."""
+    rows = [(1, "http://a/", 10, "response", {"ETag": "1", "B": "2"}, "d", "x")] * 2 + [(2, "http://a/", 20, "revisit", {"ETag": "1"}, None, "x")] * 2
+    rows += [(1, "http://a/", 10, "response", {"ETag": "9"}, "d", "x"), (2, "http://a/", 20, "revisit", {"ETag": "7"}, None, "x")]
+    found = revisits.resolve(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r.revisit_id, r.original_id) for r in found] == [(2, 1)]
