@@ -289,6 +289,25 @@ def pairs(hashes: np.ndarray, keys: np.ndarray, places: np.ndarray, zone: np.nda
     return tuple(map(np.concatenate, zip(*found)))
 
 
+def _mark_copied(copied: np.ndarray, first: int, done: list[dict] | None) -> None:
+    """For each word the word behind the longest exact copy of an earlier text around it. Near the ends of a passage other seeds may
+    be taken, so these do not count."""
+    for d in done or ():
+        a, b = first + d["begin_word"] + K + REACH, first + d["end_word"] - K - REACH
+        if d["similarity"] >= 1 and a < b:
+            np.maximum(copied[a:b], b, out=copied[a:b])
+
+
+def _asking(keys: np.ndarray, text: np.ndarray, asks: np.ndarray) -> np.ndarray:
+    """Whether a key asks: all places of it in a text do if one does."""
+    out = np.zeros(len(keys), bool)
+    some = np.flatnonzero(np.isin(text, np.unique(text[asks])))
+    if len(some):
+        _, same = np.unique(phrases.mixed(keys[some], text[some]), return_inverse=True)
+        out[some] = (np.bincount(same, asks[some]) > 0)[same]
+    return out
+
+
 def matches_again(texts: DataFrame, parts: int) -> DataFrame:
     """Matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done)."""
 
@@ -301,16 +320,21 @@ def matches_again(texts: DataFrame, parts: int) -> DataFrame:
                 hashes, text, _, _ = words_of(data, bounds)
                 begins = np.searchsorted(text, np.arange(part.num_rows + 1))
                 zones, asks, most = [], [], 0
+                copied = np.zeros(len(hashes) + 1, np.int64)
                 for k, (spans, done) in enumerate(zip(part.column("spans").to_pylist(), part.column("done").to_pylist())):
                     zone, asking = _zones(int(begins[k + 1] - begins[k]), spans, done)
                     zones.append(np.where(zone > 0, zone + most, 0))
                     asks.append(asking)
                     most += len(spans)
+                    _mark_copied(copied, int(begins[k]), done)
                 keys, start, far = pairs(hashes, *seeds(hashes, text), np.concatenate(zones))
+                asking = _asking(keys, text[start], np.concatenate(asks)[start])
+                # What an earlier text has word for word can belong to that one only, and it sends it.
+                behind = start + np.where(far == WINDOW, LEAST_WORDS, far + K)
+                needed = asking | (copied[start] < behind)
+                keys, start, far, asking = keys[needed], start[needed], far[needed], asking[needed]
                 own = text[start]
-                _, same = np.unique(phrases.mixed(keys, own), return_inverse=True)  # all places of a text ask if one does
-                asking = np.bincount(same, np.concatenate(asks)[start]) > 0
-                code = ((start - begins[own]) * 128 + far) * 2 + asking[same]
+                code = ((start - begins[own]) * 128 + far) * 2 + asking
                 held.append((part.column("id").to_numpy()[own], part.column("rid").to_numpy()[own], keys, code))
                 size += len(keys)
                 if size >= DEAL_SEEDS:
@@ -632,7 +656,7 @@ def find(rows: DataFrame) -> DataFrame:
     chains = stored(matches(rows.select("id", "rid", "text"), parts).mapInArrow(_chains, CHAINS), "chains")
     found = stored(_aligned(rows, chains.filter("anchors is not null"), "windows"), "passages-seeds")
     spans = chains.filter("anchors is null").groupBy("rid").agg(F.collect_list(F.struct("a0", "a1")).alias("spans"))
-    done = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word")).alias("done"))
+    done = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word", "similarity")).alias("done"))
     texts = rows.select("id", "rid", "text").join(spans.join(done, "rid", "left"), "rid")
     more = matches_again(texts, 4 * parts).mapInArrow(lambda batches: _chains(batches, again=True), CHAINS)
     return found.union(_aligned(rows, stored(more, "chains-again"), "windows-again")).distinct()
