@@ -20,8 +20,8 @@ from skytally.schemas import MANIFEST, with_columns
 from skytally.sources import files
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType, partitions: str = "") -> DataFrame:

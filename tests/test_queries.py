@@ -69,3 +69,13 @@ def test_only_needed_columns_are_read(spark):
 def test_distinct_counts_are_folded_before_the_shuffle(spark):
     plan = _plan(QUERIES["traffic_by_bucket"](spark, SMALL))
     assert "partial_count(distinct" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["region_history", "baseline_series", "region_detail", "alerts_by_status", "status_counts", "alert_count", "alert_board", "airport_halos"]
+)
+def test_dashboard_reads_the_stored_table_once(spark, name):
+    df = QUERIES[name](spark, SMALL)
+    assert _scans(df) == 1
+    if name in ("region_history", "baseline_series", "region_detail"):
+        assert "EqualTo(region,OTHER)" in _plan(df) and "GreaterThanOrEqual(bucket_sk" in _plan(df)
