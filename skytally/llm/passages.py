@@ -359,7 +359,20 @@ def _anchors(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.nda
         fits = first + k <= LEAST_WORDS - K
         w = np.flatnonzero(whole)[fits]
         columns.append(np.stack([place[w] + first[fits] + k, ids[w], rids[w], other[w] + first[fits] + k]))
-    return tuple(np.unique(np.concatenate(columns, axis=1), axis=1))
+    return _distinct(*np.concatenate(columns, axis=1))
+
+
+def _distinct(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each match once; ``ids`` follow from ``rids``. One number for a match sorts much faster than a row of four."""
+    if not len(place):
+        return place, ids, rids, other
+    code = np.unique(rids, return_inverse=True)[1].astype(np.int64)
+    span, width = int(place.max()) + 1, int(other.max()) + 1
+    if (int(code.max()) + 1) * span * width >= 1 << 62:
+        first = np.unique(np.stack([code, place, other]), axis=1, return_index=True)[1]
+    else:
+        first = np.unique((code * span + place) * width + other, return_index=True)[1]
+    return place[first], ids[first], rids[first], other[first]
 
 
 # ---- chains ------------------------------------------------------------------------------------------------------------
@@ -445,7 +458,8 @@ def _chains(batches: Iterator[pa.RecordBatch], again: bool = False) -> Iterator[
                     out += [(rid, None, None, None, a, b, None, None) for a, b in _stretches(shared)]
                 place, ids, rids, other = place[~owned], ids[~owned], rids[~owned], other[~owned]
             own = rids == rid  # further places of a seed in this text take the matches of its first place
-            far = {p: i for i, p in enumerate(place.tolist()) if not own[i]}
+            firsts = np.flatnonzero(~own & np.isin(place, other[own]))
+            far = dict(zip(place[firsts].tolist(), firsts.tolist()))
             more = [(p, far[q]) for p, q in zip(place[own].tolist(), other[own].tolist()) if q in far]
             keep = np.concatenate([np.flatnonzero(~own), np.array([i for _, i in more], np.int64)])
             place = np.concatenate([place[~own], np.array([p for p, _ in more], np.int64)])
