@@ -23,7 +23,7 @@ def _version(df: DataFrame, order: str) -> Column:
     return (above * F.lit(1 << 62).cast("decimal(19,0)") + contents).cast("decimal(38,0)")
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` (a column of whole numbers, NULL before all) of each key; column order is kept.
 
     First the greatest version of each key alone, an aggregate of one number that folds by hash before the shuffle, so copies of
@@ -31,6 +31,8 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     sorted. Rows of equal ``order`` are settled by a hash of their contents, so the result does not depend on row placement, and
     rows equal in everything become one. A NULL key is a key.
     """
+    if not isinstance(order, str):
+        (order,) = order
     if not isinstance(df.schema[order].dataType, WHOLE):
         raise TypeError(f"{order} must hold whole numbers")
     marked = df.withColumn("__version", _version(df, order))
