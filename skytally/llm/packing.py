@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from skytally.llm.common import parts_for, per_worker, slices, stored
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 MOST_CACHED = 1_000_000  # words a worker remembers
 SHARD_PIECES = 8192  # pieces one task packs together
 FULL = 0.98  # sequences filled less are opened and packed again, with those of other shards
@@ -83,7 +83,8 @@ class Words:
 
 
 def pieces(
-    docs: DataFrame, path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", most_cached: int = MOST_CACHED
+    docs: DataFrame, path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", most_cached: int = MOST_CACHED,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """key, piece, start, length, ids_crc32: the token runs to be packed, cut where a document exceeds ``capacity``."""
     docs = docs.select(key, text)
@@ -93,7 +94,7 @@ def pieces(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = per_worker(f"words {path} {most_cached}", lambda: Words(path, most_cached))
         for batch in batches:
-            for part in slices(batch, text, SLICE_BYTES):
+            for part in slices(batch, text, slice_bytes):
                 row, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(words.encode([x or "" for x in part.column(text).to_pylist()])):
                     ids += end
@@ -183,12 +184,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, key: str = "doc_id", text: str = "text", most_cached: int = MOST_CACHED
+    docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, key: str = "doc_id", text: str = "text", most_cached: int = MOST_CACHED,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """key, piece, start, length, ids_crc32, sequence_id, offset: one row per piece of a document.
 
     A document is its token ids with ``end_id`` behind them; null or empty text is ``end_id`` alone. Repeated rows are
     packed each for itself, ties in length go by place in the table, no rows give no rows, and other
-    columns are not read. ``most_cached`` words are remembered by each worker: fewer take less memory and more time.
+    columns are not read. ``most_cached`` words are remembered by each worker and ``slice_bytes`` of text encoded at a
+    time: less takes less memory and more time.
     """
-    return pack(pieces(docs, path, end_id, capacity, key, text, most_cached), capacity)
+    return pack(pieces(docs, path, end_id, capacity, key, text, most_cached, slice_bytes), capacity)
