@@ -34,7 +34,7 @@ def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As pieces of sequences of 4096 tokens. Workers have other stages behind them, so they remember fewer words than alone."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(docs, path, end_id=1, capacity=4096, most_cached=200_000)
+    return packing.pack_documents(docs, path, end_id=1, capacity=4096, most_cached=200_000, slice_bytes=1 << 20)
 
 
 STAGES = [
