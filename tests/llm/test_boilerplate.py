@@ -164,3 +164,30 @@ def test_odd_rows(spark):
     twice = spark.createDataFrame([rows[0], rows[0]], SCHEMA)
     assert boilerplate.extract(twice).count() == 2
     assert boilerplate.extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_figures_do_not_depend_on_the_chunks(spark, monkeypatch):
+    """Half of a place's strings are on two pages or three, which chunks part; a site of few pages has a copy with a place of its own."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        text, own = article(rng, 1)[0], article(rng, 1)[0]
+        shared = f"offer number {i // 3} of this house is open until the last day of month {i // 3}"
+        rows.append((f"http://big.example/{i}", f"<div class=text>{text}</div><div class=offer>{shared}</div><div class=end>the same end</div>{own}"))
+    for i in range(3):
+        extra = "<div class=end>the same end</div>" * (i == 2)
+        rows.append((f"http://tiny.example/{i}", f"<div class=text>{' '.join(WORDS[:40])}</div><div class=offer>none {i}</div>{extra}"))
+    frame = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "page_id long, url string, html string")
+    pages = frame.select(F.xxhash64(boilerplate.host_of(F.col("url"))).alias("host"), "html")
+    results = []
+    for chunk, small, bucket in ((boilerplate.CHUNK_CHARS, boilerplate.SMALL, 8), (3_000, boilerplate.SMALL, 8), (1_000, 0, 2)):
+        monkeypatch.setattr(boilerplate, "CHUNK_CHARS", chunk)
+        monkeypatch.setattr(boilerplate, "SMALL", small)
+        monkeypatch.setattr(boilerplate, "BUCKET_CHUNKS", bucket)
+        found = boilerplate.extract(frame).select("page_id", "text", "n_repeated").collect()
+        places = {r["host"]: sorted(r["places"]) for r in boilerplate.repeated_places(pages).collect()}
+        results.append((sorted(map(tuple, found)), places))
+    assert results[0] == results[1] == results[2]
+    texts_found = {r[0]: r[1] for r in results[0][0]}
+    assert not any("offer number" in texts_found[i] or "same end" in texts_found[i] for i in range(60))
+    assert not any("same end" in texts_found[i] for i in (60, 61, 62)) and not any("none" in texts_found[i] for i in (60, 61, 62))
