@@ -77,7 +77,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_gold(spark: SparkSession, sf_dir: str, root: str | None = None) -> KeyedTable:
-    """The scored series as the jobs store it, by day and in a day by region; what the dashboard reads."""
+    """The scored series as the jobs store it, by month and in a month by region; what the dashboard reads."""
     table = gold.traffic_table(spark, root or work_path(spark, "gold"))
     table.merge(scored(spark, sf_dir), 0)
     return table
@@ -221,13 +221,13 @@ def newest_file_states(spark, sf_dir):
 
 
 def _history(spark, sf_dir, hours=HOURS):
-    """Recent history of one region from the stored gold table: its days, and in these its row groups."""
+    """Recent history of one region from the stored gold table: its months, and in these its row groups."""
     table = stored_gold(spark, sf_dir)
-    return history.region_history(table.read(first=_days_before(hours)), DETAIL_REGION, AS_OF, hours)
+    return history.region_history(table.read(first=_month_before(hours)), DETAIL_REGION, AS_OF, hours)
 
 
-def _days_before(hours: int) -> str:
-    return str((datetime.fromisoformat(AS_OF) - timedelta(hours=hours)).date())
+def _month_before(hours: int) -> str:
+    return f"{datetime.fromisoformat(AS_OF) - timedelta(hours=hours):%Y-%m}"
 
 
 @query
@@ -244,8 +244,8 @@ def events_by_region_since(spark, sf_dir):
 def alerts_by_status(spark, sf_dir):
     """From the stored index of alerts, which holds no other rows."""
     root = work_path(spark, "gold")
-    days = stored_gold(spark, sf_dir, root).parts()
-    gold.index_alerts(spark, root, days, 0)
+    months = stored_gold(spark, sf_dir, root).parts()
+    gold.index_alerts(spark, root, months, 0)
     return history.alerts_by_status(gold.read_alerts(spark, root), "warning")
 
 

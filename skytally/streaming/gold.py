@@ -43,13 +43,18 @@ def _day():
     return F.date_format("bucket_sk", "yyyy-MM-dd")
 
 
+def _month():
+    return F.date_format("bucket_sk", "yyyy-MM")
+
+
 def _hour():
     return F.date_format("bucket_sk", "yyyy-MM-dd-HH")
 
 
 def traffic_table(spark: SparkSession, gold: str) -> KeyedTable:
-    """The scored series by day, in a day by region and time: a filter on both reads the row groups it needs."""
-    return KeyedTable(spark, f"{gold}/traffic", TRAFFIC, KEYS, _day, cluster=KEYS)
+    """The scored series by month, in a month by region and time: a filter on both reads the row groups it needs. A day would be a file of a few
+    thousand rows, and late rows for many days cost a file each."""
+    return KeyedTable(spark, f"{gold}/traffic", TRAFFIC, KEYS, _month, "month", cluster=KEYS)
 
 
 def counts_table(spark: SparkSession, path: str) -> KeyedTable:
@@ -57,8 +62,8 @@ def counts_table(spark: SparkSession, path: str) -> KeyedTable:
 
 
 def alerts_table(spark: SparkSession, gold: str) -> KeyedTable:
-    """The alerts alone by day, in a day by status: a small index of the traffic table."""
-    return KeyedTable(spark, f"{gold}/alerts", TRAFFIC, KEYS, _day, cluster=["anomaly_status", "bucket_sk"])
+    """The alerts alone by month, in a month by status: a small index of the traffic table."""
+    return KeyedTable(spark, f"{gold}/alerts", TRAFFIC, KEYS, _month, "month", cluster=["anomaly_status", "bucket_sk"])
 
 
 def _moment(seconds: int) -> datetime:
@@ -78,12 +83,12 @@ def read_traffic(spark: SparkSession, gold: str) -> DataFrame:
     return traffic_table(spark, gold).read()
 
 
-def index_alerts(spark: SparkSession, gold: str, days: Iterable[str], batch_id: int) -> None:
-    """Bring the alerts of some days in line with the traffic table."""
-    days = list(days)
-    if days:
-        current = traffic_table(spark, gold).read(min(days), max(days)).filter(_day().isin(days))
-        alerts_table(spark, gold).replace(current.filter(F.col("anomaly_status").isin(ALERT_STATUSES)), days, batch_id)
+def index_alerts(spark: SparkSession, gold: str, months: Iterable[str], batch_id: int) -> None:
+    """Bring the alerts of some months in line with the traffic table."""
+    months = list(months)
+    if months:
+        current = traffic_table(spark, gold).read(min(months), max(months)).filter(_month().isin(months))
+        alerts_table(spark, gold).replace(current.filter(F.col("anomaly_status").isin(ALERT_STATUSES)), months, batch_id)
 
 
 def read_changes(spark: SparkSession, gold: str) -> DataFrame:

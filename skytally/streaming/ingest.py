@@ -54,8 +54,10 @@ def drain(writer: DataStreamWriter) -> int:
 
 
 def _dated_sink(df: DataFrame, kind: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """Rows are dealt by day first: else each task of a micro-batch writes a file for each day it has seen."""
     return (
-        df.writeStream.format(kind)
+        df.hint("rebalance", "dt")
+        .writeStream.format(kind)
         .outputMode("append")
         .partitionBy("dt")
         .option("path", path)

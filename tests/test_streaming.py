@@ -334,3 +334,15 @@ def test_retention_lists_old_bronze(spark, tmp_path):
         (tmp_path / f"dt={day}" / "x.ndjson").write_text("{}")
     listing = tables.list_files(spark, str(tmp_path))
     assert [str(r.dt) for r in tables.expired_partitions(listing, "2026-03-01", 30).collect()] == ["2026-01-01"]
+
+
+def test_late_rows_for_many_days_write_few_files(spark, lake):
+    """Four files with rows for each of 40 days, read as one micro-batch: a file a day in silver, a file a month in the scored series."""
+    for k in range(4):
+        lake.arrive(f"f{k}", [(f"a{k}", *DXB, START + 86400 * day + k) for day in range(40)])
+    lake.drain(max_files=4)
+    lake.check()
+    assert len(ingest.read_silver_states(spark, lake.silver).inputFiles()) == 40
+    days = {r.bucket_sk.date() for r in gold.read_traffic(spark, lake.gold).collect()}
+    months = {f"{day:%Y-%m}" for day in days}
+    assert len(days) == 40 and len(gold.read_traffic(spark, lake.gold).inputFiles()) == len(months) == len(gold.traffic_table(spark, lake.gold).parts())
