@@ -141,8 +141,8 @@ def release_worker() -> None:
 
 def pack(values: np.ndarray) -> bytes:
     """64-bit integers in few bytes where neighbours are alike: differences, byte by byte, compressed."""
-    planes = np.diff(values.astype(np.int64), prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
-    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    planes = np.diff(values.astype(np.int64), prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:

@@ -88,15 +88,39 @@ def seeds(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 # ---- shared seeds ----------------------------------------------------------------------------------------------------
 
 ASKED = "part int, keys binary, ids binary, rids binary, places binary"
-MATCHES = "rid long, places binary, other_ids binary, other_rids binary, other_places binary"
-NAMES = ["rid", "places", "other_ids", "other_rids", "other_places"]
 NO_ID = np.iinfo(np.int64).max  # in place of null; such rows come last
 
 
+def _by_key(keys, ids, rids, places) -> np.ndarray:
+    """Order by key, then text and place. Most keys are there once, so few rows are sorted by more than that."""
+    order = np.argsort(keys)
+    changed = keys[order[1:]] != keys[order[:-1]]
+    tied = np.zeros(len(order), bool)
+    tied[1:] |= ~changed
+    tied[:-1] |= ~changed
+    some = np.flatnonzero(tied)
+    if len(some):
+        rows, group = order[some], np.concatenate([[0], np.cumsum(changed)])[some]
+        order[some] = rows[np.lexsort((places[rows], rids[rows], ids[rows], group))]
+    return order
+
+
+def _by_place(part, rids, places) -> np.ndarray:
+    """Stable order by part, text and place. One number for all three sorts much faster than three columns."""
+    if not len(rids):
+        return np.zeros(0, np.int64)
+    texts, number = np.unique(rids, return_inverse=True)
+    width = int(places.max()) + 1
+    rows = len(rids)
+    if places.min() < 0 or (int(part.max()) + 1) * len(texts) * width * rows >= 1 << 62:
+        return np.lexsort((places, rids, part))
+    return np.sort(((part * len(texts) + number) * width + places) * rows + np.arange(rows)) % rows
+
+
 def _ask(parts: int, ids, rids, keys, places, again: bool) -> tuple[list[tuple], tuple]:
     """(rows that ask, matches known) of a block. The first text of the block that has a seed asks for it; other
     texts of the block take that one, further places in one text take its first place."""
-    order = np.lexsort((places, rids, ids, keys))
+    order = _by_key(keys, ids, rids, places)
     ids, rids, keys, places = ids[order], rids[order], keys[order], places[order]
     new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
     new_text = new_key | np.concatenate([[True], rids[1:] != rids[:-1]])
@@ -106,7 +130,7 @@ def _ask(parts: int, ids, rids, keys, places, again: bool) -> tuple[list[tuple],
     linked = ~new_key & (places & 1 > 0) if again else ~new_key
     part = ((keys >> np.uint64(19)) % np.uint64(parts)).astype(np.int64)
     asks = np.flatnonzero(new_key)
-    asks = asks[np.lexsort((places[asks], rids[asks], part[asks]))]
+    asks = asks[_by_place(part[asks], rids[asks], places[asks])]
     rows = []
     for a, b in zip(*runs(part[asks])):
         some = asks[a:b]
@@ -125,7 +149,7 @@ def _with_owned(found, ids, rids, places, tops) -> tuple:
 def _dealt(parts: int, rids, places, other_ids, other_rids, other_places) -> pa.RecordBatch:
     """Matches in one row for each part that texts are dealt to."""
     part = (rids.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((places, rids, part))
+    order = _by_place(part, rids, places)
     columns = [c[order] for c in (rids, places, other_ids, other_rids, other_places)]
     to, data = [], []
     for a, b in zip(*runs(part[order])):
@@ -173,7 +197,7 @@ def _answer(parts: int, again: bool = False):
         if held:
             keys, ids, rids, places = map(np.concatenate, zip(*held))
             held.clear()
-            order = np.lexsort((places, rids, ids, keys))
+            order = _by_key(keys, ids, rids, places)
             keys, ids, rids, places = keys[order], ids[order], rids[order], places[order]
             start, end = runs(keys)
             top = np.repeat(start, end - start)
@@ -187,24 +211,27 @@ def _answer(parts: int, again: bool = False):
     return _each_part(work)
 
 
-def _texts(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All matches of a text in one row."""
+def _texts(batches: list[pa.RecordBatch]) -> Iterator[tuple]:
+    """(rid, places, other ids, other rids, other places) of each text, sorted by place."""
     known = [unpack(x.as_py()).reshape(5, -1) for batch in batches for x in batch.column("known")]
     columns = np.concatenate(known, axis=1)
     known.clear()
-    columns = columns[:, np.lexsort((columns[1], columns[0]))]
-    start, end = runs(columns[0])
-    for at in range(0, len(start), 2_000):
-        some = list(zip(start[at : at + 2_000].tolist(), end[at : at + 2_000].tolist()))
-        lists = [pa.array([c[a:b].tobytes() for a, b in some], pa.binary()) for c in columns[1:]]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0][start[at : at + 2_000]]), *lists], names=NAMES)
+    columns = columns[:, _by_place(np.zeros(columns.shape[1], np.int64), columns[0], columns[1])]
+    for a, b in zip(*(x.tolist() for x in runs(columns[0]))):
+        yield int(columns[0][a]), *columns[1:, a:b]
+
 
+def _chained(again: bool):
+    """The chains of the texts of each part, from all matches of a text."""
 
-_by_text = _each_part(_texts)
+    def work(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _chains(_texts(batches), again)
+
+    return _each_part(work)
 
 
 def matches(texts: DataFrame, parts: int) -> DataFrame:
-    """rid with its matches (places, texts and places of first occurrences) for seeds that are in several texts."""
+    """Chains of the matches (places, texts and places of first occurrences) of seeds that are in several texts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_worker()
@@ -229,7 +256,7 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
 
     dealt = _by_part(texts.mapInArrow(ask, ASKED + ", known binary"), parts)
     answered = _by_part(dealt.mapInArrow(_answer(parts), "part int, known binary"), parts)
-    return answered.mapInArrow(_by_text, MATCHES)
+    return answered.mapInArrow(_chained(False), CHAINS)
 
 
 def _sent(parts: int, held: list[tuple], again: bool) -> pa.RecordBatch:
@@ -309,7 +336,7 @@ def _asking(keys: np.ndarray, text: np.ndarray, asks: np.ndarray) -> np.ndarray:
 
 
 def matches_again(texts: DataFrame, parts: int) -> DataFrame:
-    """Matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done)."""
+    """Chains of the matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done)."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_worker()
@@ -345,7 +372,7 @@ def matches_again(texts: DataFrame, parts: int) -> DataFrame:
 
     dealt = _by_part(texts.mapInArrow(ask, ASKED + ", known binary"), parts)
     answered = _by_part(dealt.mapInArrow(_answer(parts, True), "part int, known binary"), parts)
-    return answered.mapInArrow(_by_text, MATCHES)
+    return answered.mapInArrow(_chained(True), CHAINS)
 
 
 def _anchors(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -436,49 +463,78 @@ CHAINS = "rid long, other_id long, other_rid long, anchors binary, a0 long, a1 l
 
 def _stretches(places: np.ndarray) -> list[tuple[int, int]]:
     """(first word, word behind) of the stretches of shared seeds that are long enough to be part of a passage."""
+    if places.max() + K - places.min() < SHORT:
+        return []
     places = np.unique(places)
     cuts = np.flatnonzero(np.diff(places) > LOOSE) + 1
     ends = zip(places[np.concatenate([[0], cuts])], places[np.concatenate([cuts, [len(places)]]) - 1])
     return [(int(a), int(b) + K) for a, b in ends if b + K - a >= SHORT]
 
 
-def _chains(batches: Iterator[pa.RecordBatch], again: bool = False) -> Iterator[pa.RecordBatch]:
+def _last_at(places: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the last of the sorted places that equals it, whether there is one) for each place wanted."""
+    if not len(places):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    index = np.maximum(np.searchsorted(places, wanted, side="right") - 1, 0)
+    return index, places[index] == wanted
+
+
+def _chains(texts: Iterator[tuple], again: bool = False) -> Iterator[pa.RecordBatch]:
     """Chains long enough to be part of a passage, with the windows of words that their alignment needs; in rows without anchors the
     stretches of seeds that other texts have as well, unless it is the second look."""
-    for batch in batches:
-        out = []
-        for rid, *lists in zip(*(batch.column(c).to_pylist() for c in NAMES)):
-            place, ids, rids, other = (np.frombuffer(x, "<i8") for x in lists)
-            if not again:
-                own, owned = rids == rid, other < 0
-                shared = np.unique(place[~own | owned])
-                repeated = own & ~owned & np.isin(other, shared)
-                shared = np.concatenate([shared, place[repeated]])
-                if len(shared):
-                    out += [(rid, None, None, None, a, b, None, None) for a, b in _stretches(shared)]
-                place, ids, rids, other = place[~owned], ids[~owned], rids[~owned], other[~owned]
-            own = rids == rid  # further places of a seed in this text take the matches of its first place
-            firsts = np.flatnonzero(~own & np.isin(place, other[own]))
-            far = dict(zip(place[firsts].tolist(), firsts.tolist()))
-            more = [(p, far[q]) for p, q in zip(place[own].tolist(), other[own].tolist()) if q in far]
-            keep = np.concatenate([np.flatnonzero(~own), np.array([i for _, i in more], np.int64)])
-            place = np.concatenate([place[~own], np.array([p for p, _ in more], np.int64)])
-            ids, rids, other = ids[keep], rids[keep], other[keep]
-            if again:
-                place, ids, rids, other = _anchors(place, ids, rids, other)
-            order = np.argsort(rids, kind="stable")
-            for a, b in zip(*runs(rids[order])):
-                some = order[a:b]
-                for links in chain(place[some], other[some]):
-                    at, to = place[some][links], other[some][links]
-                    if at[-1] + K - at[0] < SHORT:
-                        continue
-                    window = [_down(at[0]), _up(at[-1]), _down(to[0]), _up(to[-1])]
-                    out.append((rid, int(ids[some[0]]), int(rids[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
-        if out:
-            kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4
-            names = [c.split()[0] for c in CHAINS.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+    out = []
+    for rid, place, ids, rids, other in texts:
+        own = rids == rid  # further places of a seed in this text take the matches of its first place
+        theirs, mine = np.flatnonzero(~own), np.flatnonzero(own)
+        if not again and len(mine):
+            owned = other[mine] < 0
+            shared = place[~own | (other < 0)]
+            mine = mine[~owned]
+            repeated = mine[_last_at(shared, other[mine])[1]]
+            shared = np.concatenate([shared, place[repeated]])
+        elif not again:
+            shared = place
+        if not again and len(shared):
+            out += [(rid, None, None, None, a, b, None, None) for a, b in _stretches(shared)]
+        if len(theirs):
+            out += _of_text(rid, place, ids, rids, other, theirs, mine, again)
+        if len(out) >= 2_000:
+            yield _chain_rows(out)
+            out = []
+    if out:
+        yield _chain_rows(out)
+
+
+def _of_text(rid: int, place, ids, rids, other, theirs, mine, again: bool) -> list[tuple]:
+    """The chains of a text to each other one, from the matches with others (``theirs``) and with itself (``mine``)."""
+    out = []
+    if len(mine):
+        index, there = _last_at(place[theirs], other[mine])
+        place = np.concatenate([place[theirs], place[mine[there]]])
+        theirs = np.concatenate([theirs, theirs[index[there]]])
+    else:
+        place = place[theirs]
+    ids, rids, other = ids[theirs], rids[theirs], other[theirs]
+    if again:
+        place, ids, rids, other = _anchors(place, ids, rids, other)
+    order = np.argsort(rids, kind="stable")
+    start, end = runs(rids[order])
+    long = np.maximum.reduceat(place[order], start) + K - np.minimum.reduceat(place[order], start) >= SHORT
+    for a, b in zip(start[long].tolist(), end[long].tolist()):
+        some = order[a:b]
+        for links in chain(place[some], other[some]):
+            at, to = place[some[links]], other[some[links]]
+            if at[-1] + K - at[0] < SHORT:
+                continue
+            window = [_down(at[0]), _up(at[-1]), _down(to[0]), _up(to[-1])]
+            out.append((rid, int(ids[some[0]]), int(rids[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
+    return out
+
+
+def _chain_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4
+    names = [c.split()[0] for c in CHAINS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
 def _down(place: int) -> int:
@@ -515,19 +571,24 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def same_words(a: np.ndarray, b: np.ndarray) -> int:
     """Words that the best alignment of two short runs has in common."""
-    if len(a) == len(b) and (a == b).all():
+    return _same_words(a.tolist(), b.tolist())
+
+
+def _same_words(a: list[int], b: list[int]) -> int:
+    if a == b:
         return len(a)
     if not len(a) or not len(b):
         return 0
     # A row of the table of common lengths as one number, a bit for each place where it does not grow.
     places: dict[int, int] = {}
-    for i, x in enumerate(a.tolist()):
+    for i, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << i
     every = (1 << len(a)) - 1
     row = every
-    for y in b.tolist():
-        same = row & places.get(y, 0)
-        row = ((row + same) | (row - same)) & every
+    for y in b:
+        if y in places:
+            same = row & places[y]
+            row = ((row + same) | (row - same)) & every
     return len(a) - row.bit_count()
 
 
@@ -550,9 +611,10 @@ def align(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> list[
     """
     out, begin, same = [], 0, 0
     pieces = []
+    places_a, places_b, words_a, words_b = at.tolist(), to.tolist(), a.tolist(), b.tolist()
     for i in range(len(at) - 1):
-        gap_a, gap_b = a[at[i] : at[i + 1]], b[to[i] : to[i + 1]]
-        common = same_words(gap_a, gap_b)
+        gap_a, gap_b = words_a[places_a[i] : places_a[i + 1]], words_b[places_b[i] : places_b[i + 1]]
+        common = _same_words(gap_a, gap_b)
         wide = max(len(gap_a), len(gap_b))
         if wide > 2 * K and 2 * common < wide:
             pieces.append((begin, i, same))
@@ -574,11 +636,10 @@ def align(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> list[
     return out
 
 
-def common_places(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+def common_places(first: list[int], second: list[int]) -> list[tuple[int, int]]:
     """Places of the words that the best alignment of two short runs has in common."""
-    if len(a) == len(b) and (a == b).all():
-        return [(i, i) for i in range(len(a))]
-    first, second = a.tolist(), b.tolist()
+    if first == second:
+        return [(i, i) for i in range(len(first))]
     rows = [[0] * (len(second) + 1)]
     for x in first:
         before, row = rows[-1], [0]
@@ -600,6 +661,7 @@ def common_places(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 def best_parts(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray, box: tuple[int, int, int, int]) -> list[tuple[int, int, int, int, float]]:
     """Passages within the box of a chain that as a whole is not alike enough: of the runs between two words in common that are long and
     alike enough the longest one, then the same on both sides of it."""
+    a, b, at, to = a.tolist(), b.tolist(), at.tolist(), to.tolist()
     left = min(at[0] - box[0], to[0] - box[2])
     same = [(at[0] - k, to[0] - k) for k in range(left, 0, -1) if a[at[0] - k] == b[to[0] - k]]
     for i in range(len(at) - 1):
@@ -658,6 +720,17 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select("key", F.coalesce(F.col("key").cast("long"), F.lit(int(NO_ID))).alias("id"), row_key("key", "text").alias("rid"), "text")
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """``stored``; what the write has shuffled goes at its end, not when the driver happens to collect its garbage."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def find(rows: DataFrame) -> DataFrame:
     """Passages of ``rows`` (key, id, rid, text), by rid.
 
@@ -667,22 +740,33 @@ def find(rows: DataFrame) -> DataFrame:
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(size, PART_BYTES, rows.sparkSession.sparkContext.defaultParallelism)
-    chains = stored(matches(rows.select("id", "rid", "text"), parts).mapInArrow(_chains, CHAINS), "chains")
-    found = stored(_aligned(rows, chains.filter("anchors is not null"), "windows"), "passages-seeds")
-    spans = chains.filter("anchors is null").groupBy("rid").agg(F.collect_list(F.struct("a0", "a1")).alias("spans"))
+    chains = _kept(matches(rows.select("id", "rid", "text"), parts), "chains")
+    linked = chains.filter("anchors is not null")
+    spans = chains.filter("anchors is null").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("a0", "a1"))).alias("spans"))
+    needed = spans.join(_wanted(linked), "rid", "full")
+    # Texts are dealt by their key once; all that follows needs only some of them.
+    texts = _kept(rows.select("id", "rid", "text").join(needed, "rid"), "texts")
+    found = _kept(_aligned(texts.filter("wanted is not null"), linked, "windows"), "passages-seeds")
     done = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word", "similarity")).alias("done"))
-    texts = rows.select("id", "rid", "text").join(spans.join(done, "rid", "left"), "rid")
-    more = matches_again(texts, 4 * parts).mapInArrow(lambda batches: _chains(batches, again=True), CHAINS)
-    return found.union(_aligned(rows, stored(more, "chains-again"), "windows-again")).distinct()
+    looked = texts.filter("spans is not null").select("id", "rid", "text", "spans")
+    more = _kept(matches_again(looked.join(done, "rid", "left"), 4 * parts), "chains-again")
+    # Both texts of such a chain have stretches of shared seeds.
+    others = looked.select("rid", "text").join(_wanted(more), "rid")
+    return found.union(_aligned(others, more, "windows-again")).distinct()
 
 
-def _aligned(rows: DataFrame, chains: DataFrame, label: str) -> DataFrame:
+def _wanted(chains: DataFrame) -> DataFrame:
+    """rid with the windows of words (wanted) that the alignment of the chains needs."""
     asked = chains.select("rid", F.struct(F.col("a0").alias("a"), F.col("a1").alias("b")).alias("w")).union(
         chains.select("other_rid", F.struct(F.col("b0").alias("a"), F.col("b1").alias("b")))
     )
-    wanted = asked.distinct().groupBy("rid").agg(F.collect_list("w").alias("wanted"))
-    texts = rows.select("rid", "text").join(wanted, "rid")
-    windows = stored(texts.mapInArrow(_windows, "rid long, a long, b long, words binary").dropDuplicates(["rid", "a", "b"]), label)
+    return asked.distinct().groupBy("rid").agg(F.collect_list("w").alias("wanted"))
+
+
+def _aligned(texts: DataFrame, chains: DataFrame, label: str) -> DataFrame:
+    """Passages of the chains, by the texts (rid, text, wanted) that they need."""
+    short = texts.select("rid", "text", "wanted").mapInArrow(_windows, "rid long, a long, b long, words binary")
+    windows = _kept(short.dropDuplicates(["rid", "a", "b"]), label)
     own = windows.select("rid", F.col("a").alias("a0"), F.col("b").alias("a1"), "words")
     other = windows.select(
         F.col("rid").alias("other_rid"), F.col("a").alias("b0"), F.col("b").alias("b1"), F.col("words").alias("other_words")
@@ -701,7 +785,7 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     key is null in the result and comes last. Null, blank and short texts have no passage; other columns are not read.
     """
     rows = _keyed(docs, key, text)
-    found = stored(find(rows), "passages")
+    found = _kept(find(rows), "passages")
     keys = rows.select("rid", "key").distinct()
     other = F.when(F.col("other_id") == int(NO_ID), None).otherwise(F.col("other_id"))
     return found.join(keys, "rid").select(
@@ -713,7 +797,7 @@ def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """``docs`` without the repeated passages; a text of which no word is left goes. Texts without passages stay as they are."""
     columns = docs.columns
     marked = docs.withColumns({"__rid": row_key(key, F.coalesce(F.col(text), F.lit("")))})
-    found = stored(find(_keyed(docs, key, text)), "passages")
+    found = _kept(find(_keyed(docs, key, text)), "passages")
     spans = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word")).alias("__spans"))
     joined = marked.join(spans.withColumnRenamed("rid", "__rid"), "__rid", "left")
     hit = joined.filter(F.col("__spans").isNotNull()).select(*columns, "__spans")

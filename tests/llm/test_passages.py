@@ -1,4 +1,5 @@
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -182,3 +183,39 @@ def test_matches_on_a_diagonal_are_one_chain(monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(passages, "_straight", lambda *_: False)
             assert quick == passages.chain(at[mixed], to[mixed])
+
+
+def shuffled_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_what_steps_have_shuffled_goes_with_them(spark):
+    rng = random.Random(11)
+    words = [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(12)]
+    words[7][40:140] = words[2][60:160]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+    before = shuffled_files(spark)
+    found = passages.passages(docs)
+    for _ in range(40):
+        left = {f.split("_")[1] for f in shuffled_files(spark) - before}
+        if len(left) <= 1:  # of the sum of sizes
+            break
+        time.sleep(0.25)
+    assert len(left) <= 1
+    assert [(r.doc_id, r.other) for r in found.collect()] == [(7, 2)]
+
+
+def test_orders_and_lookups_are_those_of_plain_versions():
+    rng = np.random.default_rng(5)
+    for spread in (3, 50, 10**6):
+        keys, ids, rids, places = (rng.integers(0, spread, 500) for _ in range(4))
+        rids = rids - spread // 2
+        columns = np.stack([keys, ids, rids, places])
+        assert (columns[:, passages._by_key(*columns)] == columns[:, np.lexsort((places, rids, ids, keys))]).all()
+        part = keys % 7
+        assert (passages._by_place(part, rids, places) == np.lexsort((places, rids, part))).all()
+        known, wanted = np.sort(places), rng.integers(0, spread, 100)
+        last = {p: i for i, p in enumerate(known.tolist())}
+        index, there = passages._last_at(known, wanted)
+        assert [i if t else None for i, t in zip(index.tolist(), there.tolist())] == [last.get(w) for w in wanted.tolist()]
