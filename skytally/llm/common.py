@@ -7,6 +7,7 @@ import gc
 import math
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ SPACES = " \t\n\x0b\x0c\r"
 ROWS_A_BATCH = 500
 
 
+MARK_BITS = 27  # binary digits of the number of bits that ``parted`` sends at most: 16 MB
+
+
 def short_batches(spark: SparkSession) -> SparkSession:
     """Fewer rows in each Arrow batch, unless the session has a number of its own."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -44,6 +48,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_buckets(df: DataFrame, label: str, buckets: int, key: str) -> DataFrame:
+    """``stored`` as a bucketed table: a join by ``key`` does not move its rows. Rows that are dealt by ``key`` already, into as many partitions, give
+    one file a bucket. The catalog keeps no trace of the table."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, f"llm-{label}")
+    name = f"skytally_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(name)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+def parted(rows: DataFrame, some: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose 64-bit ``key`` is surely not in the stored table ``some``, the others), so that only the others need to be joined with it.
+
+    Every key of ``some`` sets one of sixteen bits for each; the bits are sent to all tasks, ``MARK_BITS`` of them at most (beyond that more rows are
+    among the others, and the result of a join with them is the same)."""
+    bits = 1 << min(MARK_BITS, max(15, (16 * some.count()).bit_length()))
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    block, bit = F.shiftright(place, 15).cast("int"), place.bitwiseAND(32767)
+    marks = some.select(block.alias("__block"), bit.alias("__bit")).groupBy("__block").agg(F.bitmap_construct_agg("__bit").alias("__marks"))
+    looked = rows.withColumns({"__block": block, "__bit": bit}).join(F.broadcast(marks), "__block", "left")
+    byte = "cast(conv(hex(substring(__marks, cast(__bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    marked = F.coalesce(F.expr(f"shiftright({byte}, cast(__bit % 8 as int)) & 1"), F.lit(0))
+    looked = looked.withColumn("__marked", marked).drop("__block", "__bit", "__marks")
+    return looked.filter("__marked = 0").drop("__marked"), looked.filter("__marked = 1").drop("__marked")
+
+
 def parts_for(rows: float, per_part: int, least: int = 1) -> int:
     """Number of partitions that holds ``per_part`` rows in each."""
     return max(least, math.ceil(rows / per_part))
@@ -141,8 +172,10 @@ def release_worker() -> None:
 
 def pack(values: np.ndarray) -> bytes:
     """64-bit integers in few bytes where neighbours are alike: differences, byte by byte, compressed."""
-    planes = np.diff(values.astype(np.int64), prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T
-    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+    steps = values.astype("<i8")
+    steps[1:] -= values[:-1].astype("<i8")
+    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:

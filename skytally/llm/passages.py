@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm import phrases
-from skytally.llm.common import pack, parts_for, release_worker, row_key, runs, slices, stored, text_bytes, unpack
+from skytally.llm.common import pack, parts_for, release_worker, runs, slices, stored, stored_buckets, text_bytes, unpack
 
 K = 5  # words of a seed
 REACH = 8  # of so many seeds in a row the one with the least hash is taken
@@ -21,6 +21,7 @@ FLANK = 64  # windows of words are cut at multiples of this, so that many chains
 SLICE_BYTES = 1 << 20
 DEAL_SEEDS = 1 << 18  # seeds that are folded before they are sent
 PART_BYTES = 8 << 20  # of text for each partition of seeds
+KEY_PARTS = 2  # partitions of the second look's keys for each of those
 LOOSE = int(K / GAP_COST / 2)  # so many words between seeds on both sides cost what a seed counts
 SHORT = LEAST_WORDS - 2 * (K + REACH)  # shorter stretches of seeds are not part of a passage
 PAIRED = 59  # most words from one seed of a pair to the other
@@ -87,12 +88,13 @@ def seeds(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 # ---- shared seeds ----------------------------------------------------------------------------------------------------
 
-ASKED = "part int, keys binary, ids binary, rids binary, places binary"
+# Texts are numbered in the order of their ids, so one number tells which text it is and which of two comes first.
+ASKED = "part int, keys binary, at binary, known binary"
 NO_ID = np.iinfo(np.int64).max  # in place of null; such rows come last
 
 
-def _by_key(keys, ids, rids, places) -> np.ndarray:
-    """Order by key, then text and place. Most keys are there once, so few rows are sorted by more than that."""
+def _by_key(keys, *texts_places) -> np.ndarray:
+    """Order by key, then text and place (the further columns). Most keys are there once, so few rows are sorted by more than that."""
     order = np.argsort(keys)
     changed = keys[order[1:]] != keys[order[:-1]]
     tied = np.zeros(len(order), bool)
@@ -101,7 +103,7 @@ def _by_key(keys, ids, rids, places) -> np.ndarray:
     some = np.flatnonzero(tied)
     if len(some):
         rows, group = order[some], np.concatenate([[0], np.cumsum(changed)])[some]
-        order[some] = rows[np.lexsort((places[rows], rids[rows], ids[rows], group))]
+        order[some] = rows[np.lexsort((*(c[rows] for c in reversed(texts_places)), group))]
     return order
 
 
@@ -117,45 +119,43 @@ def _by_place(part, rids, places) -> np.ndarray:
     return np.sort(((part * len(texts) + number) * width + places) * rows + np.arange(rows)) % rows
 
 
-def _ask(parts: int, ids, rids, keys, places, again: bool) -> tuple[list[tuple], tuple]:
+def _ask(parts: int, nos, keys, places, again: bool) -> tuple[list[tuple], tuple]:
     """(rows that ask, matches known) of a block. The first text of the block that has a seed asks for it; other
     texts of the block take that one, further places in one text take its first place."""
-    order = _by_key(keys, ids, rids, places)
-    ids, rids, keys, places = ids[order], rids[order], keys[order], places[order]
+    order = _by_key(keys, nos, places)
+    nos, keys, places = nos[order], keys[order], places[order]
     new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
-    new_text = new_key | np.concatenate([[True], rids[1:] != rids[:-1]])
+    new_text = new_key | np.concatenate([[True], nos[1:] != nos[:-1]])
     head = np.flatnonzero(new_text)[np.cumsum(new_text) - 1]  # first place of the seed in the text
     top = np.flatnonzero(new_key)[np.cumsum(new_key) - 1]  # first place in the block
     to = np.where(new_text, top, head)
     linked = ~new_key & (places & 1 > 0) if again else ~new_key
     part = ((keys >> np.uint64(19)) % np.uint64(parts)).astype(np.int64)
     asks = np.flatnonzero(new_key)
-    asks = asks[_by_place(part[asks], rids[asks], places[asks])]
+    asks = asks[_by_place(part[asks], nos[asks], places[asks])]
     rows = []
     for a, b in zip(*runs(part[asks])):
         some = asks[a:b]
-        rows.append((int(part[some[0]]), keys[some].tobytes(), pack(ids[some]), pack(rids[some]), pack(places[some])))
-    found = rids[linked], places[linked], ids[to][linked], rids[to][linked], places[to][linked]
-    return rows, found if again else _with_owned(found, ids, rids, places, top[rids != rids[top]])
+        rows.append((int(part[some[0]]), keys[some].tobytes(), pack(np.concatenate([nos[some], places[some]]))))
+    found = nos[linked], places[linked], nos[to][linked], places[to][linked]
+    return rows, found if again else _with_owned(found, nos, places, top[nos != nos[top]])
 
 
-def _with_owned(found, ids, rids, places, tops) -> tuple:
+def _with_owned(found, nos, places, tops) -> tuple:
     """Matches, and for each first occurrence that other texts match one with itself, at place -1."""
     tops = np.unique(tops)
-    owned = rids[tops], places[tops], ids[tops], rids[tops], np.full(len(tops), -1)
+    owned = nos[tops], places[tops], nos[tops], np.full(len(tops), -1)
     return tuple(map(np.concatenate, zip(found, owned)))
 
 
-def _dealt(parts: int, rids, places, other_ids, other_rids, other_places) -> pa.RecordBatch:
+def _dealt(parts: int, nos, places, other_nos, other_places) -> pa.RecordBatch:
     """Matches in one row for each part that texts are dealt to."""
-    part = (rids.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-    order = _by_place(part, rids, places)
-    columns = [c[order] for c in (rids, places, other_ids, other_rids, other_places)]
-    to, data = [], []
-    for a, b in zip(*runs(part[order])):
-        to.append(int(part[order[a]]))
-        data.append(pack(np.concatenate([c[a:b] for c in columns])))
-    return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(data, pa.binary())], names=["part", "known"])
+    part = nos % parts
+    order = _by_place(part, nos, places)
+    columns = np.stack([nos, places, other_nos, other_places])[:, order]
+    start, end = runs(part[order])
+    data = [pack(columns[:, a:b].ravel()) for a, b in zip(start.tolist(), end.tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(part[order][start], pa.int32()), pa.array(data, pa.binary())], names=["part", "known"])
 
 
 def _each_part(work):
@@ -183,28 +183,27 @@ def _by_part(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def _answer(parts: int, again: bool = False):
-    """Matches with the first text (by id) that has the seed; those known already pass through."""
+    """Matches with the first text that has the seed, and those known already, dealt to ``parts`` parts of texts."""
 
     def work(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = [], []
         for batch in batches:
-            columns = (batch.column(c) for c in ("keys", "ids", "rids", "places", "known"))
-            for keys, ids, rids, places, sure in ((x.as_py() for x in row) for row in zip(*columns)):
+            for keys, at, sure in ((x.as_py() for x in row) for row in zip(*(batch.column(c) for c in ("keys", "at", "known")))):
                 if sure:
-                    known.append(unpack(sure).reshape(5, -1))
+                    known.append(unpack(sure).reshape(4, -1))
                 else:
-                    held.append((np.frombuffer(keys, "<u8"), unpack(ids), unpack(rids), unpack(places)))
+                    held.append((np.frombuffer(keys, "<u8"), *unpack(at).reshape(2, -1)))
         if held:
-            keys, ids, rids, places = map(np.concatenate, zip(*held))
+            keys, nos, places = map(np.concatenate, zip(*held))
             held.clear()
-            order = _by_key(keys, ids, rids, places)
-            keys, ids, rids, places = keys[order], ids[order], rids[order], places[order]
+            order = _by_key(keys, nos, places)
+            keys, nos, places = keys[order], nos[order], places[order]
             start, end = runs(keys)
             top = np.repeat(start, end - start)
-            other = rids != rids[top]
+            other = nos != nos[top]
             asks = other & (places & 1 > 0) if again else other
-            some = tuple(c[asks] for c in (rids, places, ids[top], rids[top], places[top]))
-            known.append(np.stack(some if again else _with_owned(some, ids, rids, places, top[other])))
+            some = tuple(c[asks] for c in (nos, places, nos[top], places[top]))
+            known.append(np.stack(some if again else _with_owned(some, nos, places, top[other])))
         if known:
             yield _dealt(parts, *np.concatenate(known, axis=1))
 
@@ -212,8 +211,8 @@ def _answer(parts: int, again: bool = False):
 
 
 def _texts(batches: list[pa.RecordBatch]) -> Iterator[tuple]:
-    """(rid, places, other ids, other rids, other places) of each text, sorted by place."""
-    known = [unpack(x.as_py()).reshape(5, -1) for batch in batches for x in batch.column("known")]
+    """(number, places, other numbers, other places) of each text, sorted by place."""
+    known = [unpack(x.as_py()).reshape(4, -1) for batch in batches for x in batch.column("known")]
     columns = np.concatenate(known, axis=1)
     known.clear()
     columns = columns[:, _by_place(np.zeros(columns.shape[1], np.int64), columns[0], columns[1])]
@@ -242,8 +241,7 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
                 hashes, text, _, _ = words_of(data, bounds)
                 keys, places = seeds(hashes, text)
                 own = text[places]
-                ids = part.column("id").to_numpy()[own]
-                held.append((ids, part.column("rid").to_numpy()[own], keys, places - np.searchsorted(text, own)))
+                held.append((part.column("no").to_numpy()[own], keys, places - np.searchsorted(text, own)))
                 size += len(keys)
                 if size >= DEAL_SEEDS:
                     yield send(held)
@@ -254,21 +252,21 @@ def matches(texts: DataFrame, parts: int) -> DataFrame:
     def send(held: list[tuple]) -> pa.RecordBatch:
         return _sent(parts, held, False)
 
-    dealt = _by_part(texts.mapInArrow(ask, ASKED + ", known binary"), parts)
+    dealt = _by_part(texts.mapInArrow(ask, ASKED), parts)
     answered = _by_part(dealt.mapInArrow(_answer(parts), "part int, known binary"), parts)
     return answered.mapInArrow(_chained(False), CHAINS)
 
 
 def _sent(parts: int, held: list[tuple], again: bool) -> pa.RecordBatch:
+    """What a block asks, by part, and in one row more the matches known; any part may deal these."""
     rows, known = _ask(parts, *map(np.concatenate, zip(*held)), again)
     rows = [(*r, None) for r in rows]
-    for part, data in zip(*(c.to_pylist() for c in _dealt(parts, *known).columns)):
-        rows.append((part, None, None, None, None, data))
-    kinds = [pa.int32(), *[pa.binary()] * 5]
-    columns = zip(*rows) if rows else ((),) * 6
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "keys", "ids", "rids", "places", "known"]
-    )
+    if rows and len(known[0]):
+        order = _by_place(np.zeros(len(known[0]), np.int64), known[0], known[1])
+        rows.append((rows[0][1][0] % parts, None, None, pack(np.stack(known)[:, order].ravel())))
+    kinds = [pa.int32(), *[pa.binary()] * 3]
+    columns = zip(*rows) if rows else ((),) * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "keys", "at", "known"])
 
 
 # ---- the second look ---------------------------------------------------------------------------------------------------
@@ -336,7 +334,11 @@ def _asking(keys: np.ndarray, text: np.ndarray, asks: np.ndarray) -> np.ndarray:
 
 
 def matches_again(texts: DataFrame, parts: int) -> DataFrame:
-    """Chains of the matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done)."""
+    """Chains of the matches of pairs of seeds and of whole windows, for ``texts`` with their stretches of shared seeds (spans) and passages (done).
+
+    There are more keys than in the first look, dealt to ``KEY_PARTS`` times the parts, but few matches: those go to ``parts`` parts.
+    """
+    key_parts = KEY_PARTS * parts
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_worker()
@@ -362,44 +364,44 @@ def matches_again(texts: DataFrame, parts: int) -> DataFrame:
                 keys, start, far, asking = keys[needed], start[needed], far[needed], asking[needed]
                 own = text[start]
                 code = ((start - begins[own]) * 128 + far) * 2 + asking
-                held.append((part.column("id").to_numpy()[own], part.column("rid").to_numpy()[own], keys, code))
+                held.append((part.column("no").to_numpy()[own], keys, code))
                 size += len(keys)
                 if size >= DEAL_SEEDS:
-                    yield _sent(parts, held, True)
+                    yield _sent(key_parts, held, True)
                     held, size = [], 0
         if size:
-            yield _sent(parts, held, True)
+            yield _sent(key_parts, held, True)
 
-    dealt = _by_part(texts.mapInArrow(ask, ASKED + ", known binary"), parts)
+    dealt = _by_part(texts.mapInArrow(ask, ASKED), key_parts)
     answered = _by_part(dealt.mapInArrow(_answer(parts, True), "part int, known binary"), parts)
     return answered.mapInArrow(_chained(True), CHAINS)
 
 
-def _anchors(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(place: np.ndarray, nos: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Matches of seeds from those of pairs and windows."""
     place, far, other, other_far = place >> 8, place >> 1 & 127, other >> 8, other >> 1 & 127
     whole = far == WINDOW
     first = -place[whole] % K  # the same places from each of the windows that lie over each other
     steps = [(~whole, place, other), (~whole, place + far, other + other_far)]
-    columns = [np.stack([p[w], ids[w], rids[w], o[w]]) for w, p, o in steps]
+    columns = [np.stack([p[w], nos[w], o[w]]) for w, p, o in steps]
     for k in range(0, LEAST_WORDS - K + 1, K):
         fits = first + k <= LEAST_WORDS - K
         w = np.flatnonzero(whole)[fits]
-        columns.append(np.stack([place[w] + first[fits] + k, ids[w], rids[w], other[w] + first[fits] + k]))
+        columns.append(np.stack([place[w] + first[fits] + k, nos[w], other[w] + first[fits] + k]))
     return _distinct(*np.concatenate(columns, axis=1))
 
 
-def _distinct(place: np.ndarray, ids: np.ndarray, rids: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each match once; ``ids`` follow from ``rids``. One number for a match sorts much faster than a row of four."""
+def _distinct(place: np.ndarray, nos: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each match once. One number for a match sorts much faster than a row of three."""
     if not len(place):
-        return place, ids, rids, other
-    code = np.unique(rids, return_inverse=True)[1].astype(np.int64)
+        return place, nos, other
+    code = np.unique(nos, return_inverse=True)[1].astype(np.int64)
     span, width = int(place.max()) + 1, int(other.max()) + 1
     if (int(code.max()) + 1) * span * width >= 1 << 62:
         first = np.unique(np.stack([code, place, other]), axis=1, return_index=True)[1]
     else:
         first = np.unique((code * span + place) * width + other, return_index=True)[1]
-    return place[first], ids[first], rids[first], other[first]
+    return place[first], nos[first], other[first]
 
 
 # ---- chains ------------------------------------------------------------------------------------------------------------
@@ -458,7 +460,7 @@ def chain(places: np.ndarray, others: np.ndarray) -> list[list[int]]:
     return out
 
 
-CHAINS = "rid long, other_id long, other_rid long, anchors binary, a0 long, a1 long, b0 long, b1 long"
+CHAINS = "no long, other_no long, anchors binary, a0 long, a1 long, b0 long, b1 long"
 
 
 def _stretches(places: np.ndarray) -> list[tuple[int, int]]:
@@ -483,8 +485,8 @@ def _chains(texts: Iterator[tuple], again: bool = False) -> Iterator[pa.RecordBa
     """Chains long enough to be part of a passage, with the windows of words that their alignment needs; in rows without anchors the
     stretches of seeds that other texts have as well, unless it is the second look."""
     out = []
-    for rid, place, ids, rids, other in texts:
-        own = rids == rid  # further places of a seed in this text take the matches of its first place
+    for no, place, nos, other in texts:
+        own = nos == no  # further places of a seed in this text take the matches of its first place
         theirs, mine = np.flatnonzero(~own), np.flatnonzero(own)
         if not again and len(mine):
             owned = other[mine] < 0
@@ -495,9 +497,9 @@ def _chains(texts: Iterator[tuple], again: bool = False) -> Iterator[pa.RecordBa
         elif not again:
             shared = place
         if not again and len(shared):
-            out += [(rid, None, None, None, a, b, None, None) for a, b in _stretches(shared)]
+            out += [(no, None, None, a, b, None, None) for a, b in _stretches(shared)]
         if len(theirs):
-            out += _of_text(rid, place, ids, rids, other, theirs, mine, again)
+            out += _of_text(no, place, nos, other, theirs, mine, again)
         if len(out) >= 2_000:
             yield _chain_rows(out)
             out = []
@@ -505,7 +507,7 @@ def _chains(texts: Iterator[tuple], again: bool = False) -> Iterator[pa.RecordBa
         yield _chain_rows(out)
 
 
-def _of_text(rid: int, place, ids, rids, other, theirs, mine, again: bool) -> list[tuple]:
+def _of_text(no: int, place, nos, other, theirs, mine, again: bool) -> list[tuple]:
     """The chains of a text to each other one, from the matches with others (``theirs``) and with itself (``mine``)."""
     out = []
     if len(mine):
@@ -514,11 +516,11 @@ def _of_text(rid: int, place, ids, rids, other, theirs, mine, again: bool) -> li
         theirs = np.concatenate([theirs, theirs[index[there]]])
     else:
         place = place[theirs]
-    ids, rids, other = ids[theirs], rids[theirs], other[theirs]
+    nos, other = nos[theirs], other[theirs]
     if again:
-        place, ids, rids, other = _anchors(place, ids, rids, other)
-    order = np.argsort(rids, kind="stable")
-    start, end = runs(rids[order])
+        place, nos, other = _anchors(place, nos, other)
+    order = np.argsort(nos, kind="stable")
+    start, end = runs(nos[order])
     long = np.maximum.reduceat(place[order], start) + K - np.minimum.reduceat(place[order], start) >= SHORT
     for a, b in zip(start[long].tolist(), end[long].tolist()):
         some = order[a:b]
@@ -527,12 +529,12 @@ def _of_text(rid: int, place, ids, rids, other, theirs, mine, again: bool) -> li
             if at[-1] + K - at[0] < SHORT:
                 continue
             window = [_down(at[0]), _up(at[-1]), _down(to[0]), _up(to[-1])]
-            out.append((rid, int(ids[some[0]]), int(rids[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
+            out.append((no, int(nos[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
     return out
 
 
 def _chain_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4
+    kinds = [pa.int64()] * 2 + [pa.binary()] + [pa.int64()] * 4
     names = [c.split()[0] for c in CHAINS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
@@ -552,17 +554,17 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, bounds = text_bytes(part.column("text"))
             hashes, text, _, _ = words_of(data, bounds)
             begins = np.searchsorted(text, np.arange(part.num_rows + 1))
-            rid, a, b, short = [], [], [], []
-            for k, (r, wanted) in enumerate(zip(part.column("rid").to_pylist(), part.column("wanted").to_pylist())):
+            no, a, b, short = [], [], [], []
+            for k, (n, wanted) in enumerate(zip(part.column("no").to_pylist(), part.column("wanted").to_pylist())):
                 own = (hashes[begins[k] : begins[k + 1]] >> np.uint64(40)).astype("<u2")
                 for w in wanted:
-                    rid.append(r)
+                    no.append(n)
                     a.append(w["a"])
                     b.append(w["b"])
                     short.append(own[w["a"] : w["b"]].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(short, pa.binary())],
-                names=["rid", "a", "b", "words"],
+                [pa.array(no, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(short, pa.binary())],
+                names=["no", "a", "b", "words"],
             )
 
 
@@ -696,43 +698,55 @@ def best_parts(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray, box
     return sorted(out)
 
 
-PASSAGES = "rid long, other_id long, begin_word long, end_word long, other_begin long, other_end long, similarity double"
+PASSAGES = "no long, other_no long, begin_word long, end_word long, other_begin long, other_end long, similarity double"
 
 
 def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["rid", "other_id", "anchors", "a0", "b0", "words", "other_words"]
+    names = ["no", "other_no", "anchors", "a0", "b0", "words", "other_words"]
     for batch in batches:
         out = []
         columns = [batch.column(c) for c in names]  # row by row: windows of long texts are large
-        for rid, other, anchors, a0, b0, words, other_words in ((c[i].as_py() for c in columns) for i in range(batch.num_rows)):
+        for no, other, anchors, a0, b0, words, other_words in ((c[i].as_py() for c in columns) for i in range(batch.num_rows)):
             at, to = np.frombuffer(anchors, "<i4").reshape(2, -1)
             a, b = np.frombuffer(words, "<u2"), np.frombuffer(other_words, "<u2")
             for x0, x1, y0, y1, similarity in align(a, b, at - a0, to - b0):
-                out.append((rid, other, x0 + a0, x1 + a0, y0 + b0, y1 + b0, similarity))
+                out.append((no, other, x0 + a0, x1 + a0, y0 + b0, y1 + b0, similarity))
         if out:
             kinds = [pa.int64()] * 6 + [pa.float64()]
             names_out = [c.split()[0] for c in PASSAGES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names_out)
 
 
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.select("key", F.coalesce(F.col("key").cast("long"), F.lit(int(NO_ID))).alias("id"), row_key("key", "text").alias("rid"), "text")
+def _keyed(docs: DataFrame, key: str, text: str, *others: str) -> DataFrame:
+    """id, rid and text, with the key and other columns in ``row``."""
+    rows = docs.select(F.col(text).alias("text"), F.struct(F.col(key).alias("key"), *others).alias("row"))
+    rid = F.xxhash64("row.key", F.coalesce("text", F.lit("")))
+    return rows.select(F.coalesce(F.col("row.key").cast("long"), F.lit(int(NO_ID))).alias("id"), rid.alias("rid"), "text", "row")
 
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """``stored``; what the write has shuffled goes at its end, not when the driver happens to collect its garbage."""
+def _kept(df: DataFrame, label: str, buckets: int = 0) -> DataFrame:
+    """``stored``, by rid in so many buckets if asked; what the write has shuffled goes at its end, not when the driver happens to collect its garbage."""
     conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(name, None)
     conf.set(name, "true")
     try:
-        return stored(df, label)
+        return stored_buckets(df, label, buckets, "rid") if buckets else stored(df, label)
     finally:
         conf.unset(name) if before is None else conf.set(name, before)
 
 
-def find(rows: DataFrame) -> DataFrame:
-    """Passages of ``rows`` (key, id, rid, text), by rid.
+def _numbered(rows: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
+    """(rid, id and number (no) of each text in the order of id and rid; the rows with no). Texts are dealt by rid once, into buckets, so that no later
+    join by rid moves them, whatever its other side holds."""
+    each = rows.groupBy("rid").agg(F.min("id").alias("id"))
+    numbers = _kept(each.orderBy("id", "rid").withColumn("no", F.monotonically_increasing_id()), "numbers")
+    buckets = max(parts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # with fewer Spark would deal them again
+    dealt = rows.drop("id").repartition(buckets, "rid")
+    return numbers, _kept(dealt.join(numbers.select("rid", "no"), "rid"), "texts", buckets)
+
+
+def find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(passages of ``rows`` (id, rid, text and others), by rid; the rows stored in buckets by rid).
 
     A seed leads to its first text only, and those of one passage may lead to several texts of which none holds it. So stretches of shared
     seeds of which no passage is found are looked at again: pairs of seeds and whole windows of words lead to the first text that has
@@ -740,38 +754,43 @@ def find(rows: DataFrame) -> DataFrame:
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(size, PART_BYTES, rows.sparkSession.sparkContext.defaultParallelism)
-    chains = _kept(matches(rows.select("id", "rid", "text"), parts), "chains")
+    tasks = parts_for(size, PART_BYTES)  # small tables are one block, whatever the number of buckets
+    numbers, whole = _numbered(rows, parts)
+    texts = whole.select("rid", "no", F.coalesce("text", F.lit("")).alias("text"))
+
+    def to_texts(some: DataFrame, how: str = "inner", left: DataFrame = texts) -> DataFrame:
+        return left.join(some.join(numbers.select("no", "rid"), "no").drop("no"), "rid", how)
+
+    chains = _kept(matches(texts.select("no", "text").coalesce(tasks), parts), "chains")
     linked = chains.filter("anchors is not null")
-    spans = chains.filter("anchors is null").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("a0", "a1"))).alias("spans"))
-    needed = spans.join(_wanted(linked), "rid", "full")
-    # Texts are dealt by their key once; all that follows needs only some of them.
-    texts = _kept(rows.select("id", "rid", "text").join(needed, "rid"), "texts")
-    found = _kept(_aligned(texts.filter("wanted is not null"), linked, "windows"), "passages-seeds")
-    done = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word", "similarity")).alias("done"))
-    looked = texts.filter("spans is not null").select("id", "rid", "text", "spans")
-    more = _kept(matches_again(looked.join(done, "rid", "left"), 4 * parts), "chains-again")
-    # Both texts of such a chain have stretches of shared seeds.
-    others = looked.select("rid", "text").join(_wanted(more), "rid")
-    return found.union(_aligned(others, more, "windows-again")).distinct()
+    spans = chains.filter("anchors is null").groupBy("no").agg(F.sort_array(F.collect_list(F.struct("a0", "a1"))).alias("spans"))
+    found = _kept(_aligned(to_texts(_wanted(linked)), linked, "windows"), "passages-seeds")
+    done = found.groupBy("no").agg(F.collect_list(F.struct("begin_word", "end_word", "similarity")).alias("done"))
+    looked = to_texts(done, "left", to_texts(spans))
+    more = _kept(matches_again(looked.select("no", "text", "spans", "done").coalesce(tasks), parts), "chains-again")
+    both = found.union(_aligned(to_texts(_wanted(more)), more, "windows-again")).distinct()
+    others = numbers.select(F.col("no").alias("other_no"), F.col("id").alias("other_id"))
+    named = both.join(numbers.select("no", "rid"), "no").join(others, "other_no").drop("no", "other_no")
+    return _kept(named, "passages"), whole
 
 
 def _wanted(chains: DataFrame) -> DataFrame:
-    """rid with the windows of words (wanted) that the alignment of the chains needs."""
-    asked = chains.select("rid", F.struct(F.col("a0").alias("a"), F.col("a1").alias("b")).alias("w")).union(
-        chains.select("other_rid", F.struct(F.col("b0").alias("a"), F.col("b1").alias("b")))
+    """no with the windows of words (wanted) that the alignment of the chains needs."""
+    asked = chains.select("no", F.struct(F.col("a0").alias("a"), F.col("a1").alias("b")).alias("w")).union(
+        chains.select("other_no", F.struct(F.col("b0").alias("a"), F.col("b1").alias("b")))
     )
-    return asked.distinct().groupBy("rid").agg(F.collect_list("w").alias("wanted"))
+    return asked.distinct().groupBy("no").agg(F.collect_list("w").alias("wanted"))
 
 
 def _aligned(texts: DataFrame, chains: DataFrame, label: str) -> DataFrame:
-    """Passages of the chains, by the texts (rid, text, wanted) that they need."""
-    short = texts.select("rid", "text", "wanted").mapInArrow(_windows, "rid long, a long, b long, words binary")
-    windows = _kept(short.dropDuplicates(["rid", "a", "b"]), label)
-    own = windows.select("rid", F.col("a").alias("a0"), F.col("b").alias("a1"), "words")
+    """Passages of the chains, by the texts (no, text, wanted) that they need."""
+    short = texts.select("no", "text", "wanted").mapInArrow(_windows, "no long, a long, b long, words binary")
+    windows = _kept(short.dropDuplicates(["no", "a", "b"]), label)
+    own = windows.select("no", F.col("a").alias("a0"), F.col("b").alias("a1"), "words")
     other = windows.select(
-        F.col("rid").alias("other_rid"), F.col("a").alias("b0"), F.col("b").alias("b1"), F.col("words").alias("other_words")
+        F.col("no").alias("other_no"), F.col("a").alias("b0"), F.col("b").alias("b1"), F.col("words").alias("other_words")
     )
-    both = chains.join(own, ["rid", "a0", "a1"]).join(other, ["other_rid", "b0", "b1"])
+    both = chains.join(own, ["no", "a0", "a1"]).join(other, ["other_no", "b0", "b1"])
     return both.mapInArrow(_align_rows, PASSAGES)
 
 
@@ -784,9 +803,8 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     text and of all blocks, where seeds, pairs of seeds or windows lead to it; so none is compared with all others. Texts that are equal and have equal keys are one text. A null
     key is null in the result and comes last. Null, blank and short texts have no passage; other columns are not read.
     """
-    rows = _keyed(docs, key, text)
-    found = _kept(find(rows), "passages")
-    keys = rows.select("rid", "key").distinct()
+    found, rows = find(_keyed(docs, key, text))
+    keys = rows.select("rid", "row.key").distinct()
     other = F.when(F.col("other_id") == int(NO_ID), None).otherwise(F.col("other_id"))
     return found.join(keys, "rid").select(
         F.col("key").alias(key), "begin_word", "end_word", other.alias("other"), "other_begin", "other_end", "similarity"
@@ -796,11 +814,11 @@ def passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the repeated passages; a text of which no word is left goes. Texts without passages stay as they are."""
     columns = docs.columns
-    marked = docs.withColumns({"__rid": row_key(key, F.coalesce(F.col(text), F.lit("")))})
-    found = _kept(find(_keyed(docs, key, text)), "passages")
+    found, rows = find(_keyed(docs, key, text, *(c for c in columns if c not in (key, text))))
     spans = found.groupBy("rid").agg(F.collect_list(F.struct("begin_word", "end_word")).alias("__spans"))
-    joined = marked.join(spans.withColumnRenamed("rid", "__rid"), "__rid", "left")
-    hit = joined.filter(F.col("__spans").isNotNull()).select(*columns, "__spans")
+    back = [F.col("text" if c == text else "row.key" if c == key else f"row.`{c}`").alias(c) for c in columns]
+    joined = rows.join(spans, "rid", "left").select(*back, "__spans")
+    hit = joined.filter(F.col("__spans").isNotNull())
     clean = joined.filter(F.col("__spans").isNull()).select(*columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -219,3 +219,24 @@ def test_orders_and_lookups_are_those_of_plain_versions():
         last = {p: i for i, p in enumerate(known.tolist())}
         index, there = passages._last_at(known, wanted)
         assert [i if t else None for i, t in zip(index.tolist(), there.tolist())] == [last.get(w) for w in wanted.tolist()]
+
+
+def test_texts_are_dealt_once(spark):
+    """Later joins by rid do not move the texts, and how the input lies has no part in the result."""
+    rng = random.Random(3)
+    passage = made(rng, 90)
+    rows = [(i, " ".join(made(rng, 20 + i) + passage[i % 3 : 60 + i] + made(rng, 30))) for i in range(30)]
+    docs = spark.createDataFrame(rows + rows[:4] + [(None, rows[0][1]), (99, None)], "doc_id long, text string")
+    numbers, whole = passages._numbered(passages._keyed(docs, "doc_id", "text"), 4)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = whole.join(numbers.groupBy("rid").count(), "rid", "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert not [x for x in plan.splitlines() if "Exchange" in x and x.startswith("   :")] and "Bucketed: true" in plan
+    assert whole.count() == len(rows) + 6
+    order = [(r.id, r.rid) for r in numbers.orderBy("no").collect()]
+    assert order == sorted(set(order)) and len(order) == len(rows) + 2
+    found = [sorted(map(tuple, passages.passages(docs.repartition(n)).collect()), key=repr) for n in (1, 4)]
+    assert found[0] == found[1] and found[0]
