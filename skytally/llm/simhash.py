@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import each_group, parts_for, release_worker, row_key, stored
+from skytally.llm.common import each_group, parted, parts_for, release_worker, row_key, stored
 from skytally.llm.graph import components
 
 SEED = 42
@@ -177,8 +177,13 @@ def keep_first(
     prints, classes = _classified(marked.select(key, "__rid", text), key, text, shingle, distance, width)
     rank = F.struct(F.col(key).isNull(), F.col(key), F.col("__rid"))
     first = prints.join(classes, "fp").groupBy("root").agg(F.min(rank).alias("first")).select(F.col("first.__rid").alias("__rid"))
-    sizes = prints.join(first, "__rid", "left_semi").groupBy("__rid").agg(F.count("*").alias("__n"))
-    kept = marked.join(stored(sizes, "kept"), "__rid")
-    once = kept.filter("__n = 1")
-    again = kept.filter("__n > 1").dropDuplicates(["__rid"])  # the same row several times
-    return once.unionByName(again).select(*docs.columns)
+    # What goes or is there several times is far less than what stays: the other texts need not be dealt.
+    sizes = prints.groupBy("__rid").agg(F.count("*").alias("__n"))
+    gone = sizes.join(first, "__rid", "left_anti").select("__rid", F.lit(0).alias("__n"))
+    again = sizes.filter("__n > 1").join(first, "__rid", "left_semi").select("__rid", F.lit(2).alias("__n"))
+    noted = stored(gone.union(again), "gone")
+    rest, others = parted(marked, noted, "__rid")
+    joined = others.join(noted, "__rid", "left")
+    once = joined.filter("__n is null").drop("__n")
+    twice = joined.filter("__n = 2").drop("__n").dropDuplicates(["__rid"])  # the same row several times
+    return rest.unionByName(once).unionByName(twice).select(*docs.columns)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
-from skytally.llm import simhash
+from skytally.llm import common, simhash
 from skytally.llm.common import table
 from skytally.llm.queries import QUERIES
 
@@ -83,3 +83,21 @@ def test_odd_rows(spark):
 def test_lengths(words):
     text = " ".join(f"W{i % 97}" for i in range(words))
     assert simhash.fingerprint(text, 4) % (1 << 64) == plain_fingerprint(text)
+
+
+def test_only_what_may_go_is_dealt(spark):
+    rows = spark.range(20000).selectExpr("xxhash64(id) AS k", "id")
+    some = rows.filter("id % 50 = 0").select("k")
+    rest, others = common.parted(rows, some, "k")
+    assert others.join(some, "k", "left_semi").count() == 400 and rest.join(some, "k", "left_semi").count() == 0
+    assert rest.count() + others.count() == 20000 and others.count() < 3000
+    rest, others = common.parted(rows, some.limit(0), "k")
+    assert rest.count() == 20000 and others.count() == 0
+
+
+def test_keep_first_of_copies(spark):
+    same, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(3, same, "a"), (1, same, "b"), (1, same, "b"), (None, same, "c"), (7, other, "d"), (None, None, "e"), (None, "", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = sorted(map(tuple, simhash.keep_first(docs, shingle=4).collect()), key=repr)
+    assert found[0] == (1, same, "b") and found[1] == (7, other, "d") and len(found) == 3 and found[2][2] in "ef"
