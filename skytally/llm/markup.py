@@ -7,6 +7,8 @@ import re
 import zlib
 from typing import NamedTuple
 
+from skytally.llm.common import per_worker
+
 # Elements by what they mean for the text of a page.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}  # no markup inside
 SILENT = RAW | {"head", "noscript", "template", "svg", "math", "canvas", "object", "audio", "video", "select", "button", "form", "fieldset", "dialog"}
@@ -24,6 +26,7 @@ ENDS = [
     ({"tr"}, {"tr"}, {"table"}),
     ({"option"}, {"option"}, {"select"}),
 ]
+ENDED_BY = {name: [(ended, between) for ended, by, between in ENDS if name in by] for _, names, _ in ENDS for name in names}
 AROUND = {"nav", "aside", "footer", "menu"}
 ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form",
@@ -41,9 +44,14 @@ NOT_WORDS = {"has", "with", "without", "no", "free", "layout"}  # as in "has-sid
 
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 START = re.compile(r"""<([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""")
+NAME = re.compile(r"[^\s/>]*")
+RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in RAW}
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+KNOWN, KNOWN_CHARS = 50_000, 200  # elements that a worker remembers, and characters of their attributes at most
+
+
 class Block(NamedTuple):
     path: int  # of the element it stands in: a number for its ancestors with their classes
     around: bool  # in a menu, header, footer, sidebar, notice, advert or among comments
@@ -88,6 +96,19 @@ def _child(parent: _Element, name: str, attributes: dict[str, str]) -> _Element:
     return _Element(name, path, parent.silent or name in SILENT or hidden, around, header, inside)
 
 
+def _element(parent: _Element, name: str, raw: str) -> _Element:
+    """``_child`` from the attributes as written. The pages of a host have the same elements, so a worker remembers those."""
+    if len(raw) > KNOWN_CHARS:
+        return _child(parent, name, _attributes(raw))
+    known = per_worker("elements", dict)
+    found = known.get((parent, name, raw))
+    if found is None:
+        if len(known) >= KNOWN:
+            known.clear()
+        found = known[parent, name, raw] = _child(parent, name, _attributes(raw) if raw.strip(" /") else {})
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, white space as one space, character references decoded; no block is empty."""
     out: list[Block] = []
@@ -96,6 +117,8 @@ def blocks(page: str) -> list[Block]:
     pieces: list[str] = []
 
     def flush() -> None:
+        if not pieces:
+            return
         top = stack[-1]
         text = " ".join("".join(pieces).split())
         pieces.clear()
@@ -148,7 +171,7 @@ def blocks(page: str) -> list[Block]:
             if end < 0:
                 break
             at = end + 1
-            name = re.match(r"[^\s/>]*", page[tag + 2 : end])[0].lower() if following == "/" else ""
+            name = NAME.match(page, tag + 2, end)[0].lower() if following == "/" else ""
             if name == "p" and not open_names.get("p"):
                 flush()  # an end without a start is an empty paragraph
             elif name == "br":
@@ -170,7 +193,7 @@ def blocks(page: str) -> list[Block]:
         if not start:
             break  # a tag without an end runs to the end
         at = start.end()
-        name, attributes = start[1].lower(), _attributes(start[2]) if start[2].strip(" /") else {}
+        name = start[1].lower()
         if name in ("br", "wbr") or name in VOID:
             if name == "hr":
                 close({"p"}, {"body"})
@@ -179,15 +202,15 @@ def blocks(page: str) -> list[Block]:
                 text(" " if name == "br" else "")
             continue
         if name not in INLINE:
-            close({"p"}, {"body", "table", "button", "object"})
-            for ended, by, between in ENDS:
-                if name in by:
-                    close(ended, between)
+            if open_names.get("p"):
+                close({"p"}, {"body", "table", "button", "object"})
+            for ended, between in ENDED_BY.get(name, ()):
+                close(ended, between)
             flush()
         if name in RAW:
-            end = re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE).search(page, at)
+            end = RAW_END[name].search(page, at)
             at = len(page) if end is None else end.start()
-        stack.append(_child(stack[-1], name, attributes))
+        stack.append(_element(stack[-1], name, start[2]))
         open_names[name] = open_names.get(name, 0) + 1
     flush()
     return out

@@ -191,3 +191,12 @@ def test_figures_do_not_depend_on_the_chunks(spark, monkeypatch):
     texts_found = {r[0]: r[1] for r in results[0][0]}
     assert not any("offer number" in texts_found[i] or "same end" in texts_found[i] for i in range(60))
     assert not any("same end" in texts_found[i] for i in (60, 61, 62)) and not any("none" in texts_found[i] for i in (60, 61, 62))
+
+
+def test_elements_are_remembered(monkeypatch):
+    """A second page with the same elements asks for none of them again, and gives the same blocks."""
+    page = '<html><body><nav class="menu top"><ul><li>a<li>b</ul></nav><article id="x"><p>one<img alt="a>b"> two<p>three</article></body></html>'
+    first, asked = markup.blocks(page), []
+    monkeypatch.setattr(markup, "_child", lambda *a: asked.append(a))
+    assert markup.blocks(page) == first and not asked
+    assert [(b.text, b.around) for b in first] == [("a", True), ("b", True), ("one two", False), ("three", False)]
