@@ -174,7 +174,9 @@ def pack(values: np.ndarray) -> bytes:
     """64-bit integers in few bytes where neighbours are alike: differences, byte by byte, compressed."""
     steps = values.astype("<i8")
     steps[1:] -= values[:-1].astype("<i8")
-    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    planes = np.empty((8, len(steps)), np.uint8)
+    for k, byte in enumerate(steps.view(np.uint8).reshape(-1, 8).T):  # plane by plane is much quicker than all at once
+        planes[k] = byte
     return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
@@ -183,7 +185,10 @@ def unpack(data: bytes) -> np.ndarray:
     if not size:
         return np.zeros(0, np.int64)
     planes = pa.decompress(data[8:], 8 * size, codec="zstd", asbytes=True)
-    return np.cumsum(np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel())
+    steps = np.empty((size, 8), np.uint8)
+    for k, byte in enumerate(np.frombuffer(planes, np.uint8).reshape(8, -1)):
+        steps[:, k] = byte
+    return np.cumsum(steps.view("<i8").ravel())
 
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

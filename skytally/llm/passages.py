@@ -31,6 +31,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NEAR = 64  # places in a word whose bytes' hashes come from a table
 
 
 def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,22 +48,36 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not found:
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
     hashes, first, behind = map(np.concatenate, zip(*found))
-    return hashes, np.searchsorted(bounds, first, side="right") - 1, first, behind
+    return hashes, np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(first, bounds))), first, behind
+
+
+def _byte_hashes(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hash of each byte at a place of its word; nothing for white space."""
+    value = (LOWER[byte].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8))) * phrases.FACTORS[0]
+    value = (value ^ (value >> np.uint64(29))) * phrases.FACTORS[1] * ~SPACE[byte]
+    return value ^ (value >> np.uint64(32))
+
+
+BYTE_HASHES = _byte_hashes(np.tile(np.arange(256), NEAR), np.repeat(np.arange(NEAR), 256))
 
 
 def _words(data: np.ndarray, cuts: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = ~SPACE[data]
     fresh = np.zeros(len(data) + 1, bool)
     fresh[cuts] = True
-    begins = word & (fresh[:-1] | np.concatenate([[True], ~word[:-1]]))
-    ends = word & (fresh[1:] | np.concatenate([~word[1:], [True]]))
+    begins, ends = word.copy(), word.copy()
+    begins[1:] &= fresh[1:-1] | ~word[:-1]
+    ends[:-1] &= fresh[1:-1] | ~word[1:]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
     if len(first) == 0:
         return np.zeros(0, np.uint64), first, last
-    place = np.arange(len(data)) - first[np.maximum(np.cumsum(begins) - 1, 0)]
-    mixed = (LOWER[data].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8))) * phrases.FACTORS[0]
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * phrases.FACTORS[1] * word
-    whole = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), first)
+    byte = data[first[0] :]
+    place = np.arange(first[0], len(data)) - np.repeat(first, np.diff(first, append=len(data)))
+    mixed = BYTE_HASHES.take((place << 8) + byte, mode="clip")
+    far = np.flatnonzero(place >= NEAR)
+    if len(far):
+        mixed[far] = _byte_hashes(byte[far], place[far])
+    whole = np.add.reduceat(mixed, first - first[0])
     return whole * phrases.FACTORS[2], first + at, last + 1 + at
 
 
@@ -82,7 +97,8 @@ def seeds(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         least = a + (low - (phrases.least_in_window(part, REACH) & low)).astype(np.int64)
         window = a + np.arange(len(least))
         taken.append(least[text[window] == text[window + span - 1]])
-    places = np.unique(np.concatenate(taken))
+    places = np.concatenate(taken)  # these never fall
+    places = places[np.concatenate([[True], places[1:] != places[:-1]])] if len(places) else places
     return keys[places], places
 
 
@@ -93,10 +109,29 @@ ASKED = "part int, keys binary, at binary, known binary"
 NO_ID = np.iinfo(np.int64).max  # in place of null; such rows come last
 
 
+def _order(keys) -> tuple[np.ndarray, np.ndarray]:
+    """(order of 64-bit keys, the keys in it). Numbers of leading bits and row sort much faster than rows by their keys; the few rows that
+    differ in the other bits only are sorted again by the whole key."""
+    if keys.dtype != np.uint64:
+        order = np.argsort(keys)
+        return order, keys[order]
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    own = keys[order]
+    falls = np.flatnonzero(own[1:] < own[:-1])
+    if len(falls):
+        lead = own & ~low
+        first = np.unique(lead[falls])
+        some = np.concatenate([np.arange(a, b) for a, b in zip(np.searchsorted(lead, first), np.searchsorted(lead, first, side="right"))])
+        order[some] = order[some][np.argsort(own[some], kind="stable")]
+        own[some] = keys[order[some]]
+    return order, own
+
+
 def _by_key(keys, *texts_places) -> np.ndarray:
     """Order by key, then text and place (the further columns). Most keys are there once, so few rows are sorted by more than that."""
-    order = np.argsort(keys)
-    changed = keys[order[1:]] != keys[order[:-1]]
+    order, own = _order(keys)
+    changed = own[1:] != own[:-1]
     tied = np.zeros(len(order), bool)
     tied[1:] |= ~changed
     tied[:-1] |= ~changed
@@ -107,11 +142,24 @@ def _by_key(keys, *texts_places) -> np.ndarray:
     return order
 
 
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in order, number of each value among them). Numbers of value and row sort faster than rows by their values."""
+    bits, least = len(values).bit_length(), int(values.min())
+    if int(values.max()) - least >= 1 << (62 - bits):
+        return np.unique(values, return_inverse=True)
+    codes = np.sort((values - least) << bits | np.arange(len(values)))
+    value = codes >> bits
+    fresh = np.concatenate([[True], value[1:] != value[:-1]])
+    number = np.empty(len(values), np.int64)
+    number[codes & ((1 << bits) - 1)] = np.cumsum(fresh) - 1
+    return value[fresh] + least, number
+
+
 def _by_place(part, rids, places) -> np.ndarray:
     """Stable order by part, text and place. One number for all three sorts much faster than three columns."""
     if not len(rids):
         return np.zeros(0, np.int64)
-    texts, number = np.unique(rids, return_inverse=True)
+    texts, number = _ranked(rids)
     width = int(places.max()) + 1
     rows = len(rids)
     if places.min() < 0 or (int(part.max()) + 1) * len(texts) * width * rows >= 1 << 62:
@@ -124,21 +172,25 @@ def _ask(parts: int, nos, keys, places, again: bool) -> tuple[list[tuple], tuple
     texts of the block take that one, further places in one text take its first place."""
     order = _by_key(keys, nos, places)
     nos, keys, places = nos[order], keys[order], places[order]
-    new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
-    new_text = new_key | np.concatenate([[True], nos[1:] != nos[:-1]])
-    head = np.flatnonzero(new_text)[np.cumsum(new_text) - 1]  # first place of the seed in the text
-    top = np.flatnonzero(new_key)[np.cumsum(new_key) - 1]  # first place in the block
+    new_key = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+    asks, later = np.flatnonzero(new_key), np.flatnonzero(~new_key)
+    top = asks[np.cumsum(new_key)[later] - 1]  # first place in the block
+    new_text = nos[later] != nos[later - 1]
+    head = np.maximum.accumulate(np.where(new_text, later, top))  # first place of the seed in the text
     to = np.where(new_text, top, head)
-    linked = ~new_key & (places & 1 > 0) if again else ~new_key
-    part = ((keys >> np.uint64(19)) % np.uint64(parts)).astype(np.int64)
-    asks = np.flatnonzero(new_key)
-    asks = asks[_by_place(part[asks], nos[asks], places[asks])]
+    part = ((keys[asks] >> np.uint64(19)) % np.uint64(parts)).astype(np.int64)
+    order = _by_place(part, nos[asks], places[asks])
+    part, asks = part[order], asks[order]
+    asked, nos_asked, places_asked = keys[asks], nos[asks], places[asks]
     rows = []
-    for a, b in zip(*runs(part[asks])):
-        some = asks[a:b]
-        rows.append((int(part[some[0]]), keys[some].tobytes(), pack(np.concatenate([nos[some], places[some]]))))
-    found = nos[linked], places[linked], nos[to][linked], places[to][linked]
-    return rows, found if again else _with_owned(found, nos, places, top[nos != nos[top]])
+    for a, b in zip(*runs(part)):
+        rows.append((int(part[a]), asked[a:b].tobytes(), pack(np.concatenate([nos_asked[a:b], places_asked[a:b]]))))
+    tops = top[nos[later] != nos[top]]
+    if again:
+        linked = places[later] & 1 > 0
+        later, to = later[linked], to[linked]
+    found = nos[later], places[later], nos[to], places[to]
+    return rows, found if again else _with_owned(found, nos, places, tops)
 
 
 def _with_owned(found, nos, places, tops) -> tuple:
@@ -395,13 +447,15 @@ def _distinct(place: np.ndarray, nos: np.ndarray, other: np.ndarray) -> tuple[np
     """Each match once. One number for a match sorts much faster than a row of three."""
     if not len(place):
         return place, nos, other
-    code = np.unique(nos, return_inverse=True)[1].astype(np.int64)
+    texts, code = _ranked(nos)
     span, width = int(place.max()) + 1, int(other.max()) + 1
-    if (int(code.max()) + 1) * span * width >= 1 << 62:
+    if len(texts) * span * width >= 1 << 62:
         first = np.unique(np.stack([code, place, other]), axis=1, return_index=True)[1]
-    else:
-        first = np.unique((code * span + place) * width + other, return_index=True)[1]
-    return place[first], nos[first], other[first]
+        return place[first], nos[first], other[first]
+    each = np.sort((code * span + place) * width + other)
+    rest, other = np.divmod(each[np.concatenate([[True], each[1:] != each[:-1]])], width)
+    code, place = np.divmod(rest, span)
+    return place, texts[code], other
 
 
 # ---- chains ------------------------------------------------------------------------------------------------------------
@@ -413,50 +467,60 @@ def _straight(at: np.ndarray, to: np.ndarray) -> bool:
     return len(at) == 1 or bool((steps > 0).all() and (steps < LOOSE).all() and (np.diff(to) == steps).all())
 
 
-def chain(places: np.ndarray, others: np.ndarray) -> list[list[int]]:
-    """Collinear chains of matches, best first, each match in one at most.
+def chain(places: np.ndarray, others: np.ndarray, least: int = 0) -> list[list[int]]:
+    """Collinear chains of matches, best first, each match in one at most; only those over ``least`` words or more.
 
     A chain grows on both sides; its score is K for each match less GAP_COST for each word between matches on either
     side. That cost is a difference of two sums, so the best match to follow is a maximum over the matches before it,
     which a Fenwick tree over the other side holds.
     """
     order = np.lexsort((others, places))
-    if len(order) and _straight(places[order], others[order]):
-        return [order.tolist()]
-    at, to = places[order].tolist(), others[order].tolist()
-    ranks = np.unique(others)
-    rank = (np.searchsorted(ranks, others[order]) + 1).tolist()
-    tree: list[tuple[float, int]] = [(0.0, -1)] * (len(ranks) + 1)
-    score, before = [0.0] * len(at), [-1] * len(at)
-    waiting: list[int] = []  # of the same place: they must not follow each other
-    for i in range(len(at)):
-        if waiting and at[waiting[0]] != at[i]:
-            for j in waiting:
-                entry, r = (score[j] + GAP_COST * (at[j] + to[j]), j), rank[j]
-                while r < len(tree):
-                    if tree[r][1] < 0 or tree[r][0] < entry[0]:
-                        tree[r] = entry
+    places, others = places[order], others[order]
+    if len(order) and _straight(places, others):
+        return [order.tolist()] if places[-1] + K - places[0] >= least else []
+    at, cost = places.tolist(), (GAP_COST * (places + others)).tolist()
+    ranks, rank = np.unique(others, return_inverse=True)
+    rank, nodes = (rank + 1).tolist(), len(ranks) + 1
+    most, holder = [float("-inf")] * nodes, [-1] * nodes
+    top, top_rank, single = float("-inf"), nodes, True  # the largest entry, its rank, and whether no other is as large
+    top_holder = -1
+    score, before = [K] * len(at), [-1] * len(at)
+    ready = 0  # matches of the same place must not follow each other
+    for i, (here, paid) in enumerate(zip(at, cost)):
+        if at[ready] != here:
+            for j in range(ready, i):
+                entry, r = score[j] + cost[j], rank[j]
+                if entry > top:
+                    top, top_rank, top_holder, single = entry, r, j, True
+                elif entry == top:
+                    single = False
+                while r < nodes and most[r] < entry:  # nodes above hold no less
+                    most[r], holder[r] = entry, j
                     r += r & -r
-            waiting = []
-        best, r = (0.0, -1), rank[i] - 1
-        while r:
-            if tree[r][1] >= 0 and (best[1] < 0 or tree[r][0] > best[0]):
-                best = tree[r]
-            r -= r & -r
-        score[i] = K
-        gain = best[0] - GAP_COST * (at[i] + to[i])
-        if best[1] >= 0 and gain > 0:
-            score[i], before[i] = K + gain, best[1]
-        waiting.append(i)
+            ready = i
+        r = rank[i] - 1
+        if single and top_rank <= r:
+            best, follows = top, top_holder
+        else:
+            best, follows = float("-inf"), -1
+            while r:
+                if most[r] > best:
+                    best, follows = most[r], holder[r]
+                r &= r - 1
+        gain = best - paid
+        if gain > 0:
+            score[i], before[i] = K + gain, follows
     used, out = [False] * len(at), []
-    for i in sorted(range(len(at)), key=lambda i: -score[i]):
+    for i in sorted(range(len(at)), key=score.__getitem__, reverse=True):
+        if used[i]:
+            continue
         links = []
         while i >= 0 and not used[i]:
             used[i] = True
             links.append(i)
             i = before[i]
-        if links:
-            out.append([int(order[i]) for i in reversed(links)])
+        if at[links[0]] + K - at[links[-1]] >= least:
+            out.append(order[links[::-1]].tolist())
     return out
 
 
@@ -524,12 +588,12 @@ def _of_text(no: int, place, nos, other, theirs, mine, again: bool) -> list[tupl
     long = np.maximum.reduceat(place[order], start) + K - np.minimum.reduceat(place[order], start) >= SHORT
     for a, b in zip(start[long].tolist(), end[long].tolist()):
         some = order[a:b]
-        for links in chain(place[some], other[some]):
-            at, to = place[some[links]], other[some[links]]
-            if at[-1] + K - at[0] < SHORT:
-                continue
-            window = [_down(at[0]), _up(at[-1]), _down(to[0]), _up(to[-1])]
-            out.append((no, int(nos[some[0]]), np.stack([at, to]).astype("<i4").tobytes(), *window))
+        both = np.stack([place[some], other[some]])
+        for links in chain(*both, SHORT):
+            anchors = both[:, links].astype("<i4")
+            (first, last), (other_first, other_last) = anchors[:, [0, -1]].tolist()
+            window = [_down(first), _up(last), _down(other_first), _up(other_last)]
+            out.append((no, int(nos[some[0]]), anchors.tobytes(), *window))
     return out
 
 
@@ -579,8 +643,15 @@ def same_words(a: np.ndarray, b: np.ndarray) -> int:
 def _same_words(a: list[int], b: list[int]) -> int:
     if a == b:
         return len(a)
-    if not len(a) or not len(b):
-        return 0
+    begin, end = 0, min(len(a), len(b))
+    while begin < end and a[begin] == b[begin]:
+        begin += 1
+    behind = 0
+    while behind < end - begin and a[-1 - behind] == b[-1 - behind]:
+        behind += 1
+    ends, a, b = begin + behind, a[begin : len(a) - behind], b[begin : len(b) - behind]
+    if not a or not b:
+        return ends
     # A row of the table of common lengths as one number, a bit for each place where it does not grow.
     places: dict[int, int] = {}
     for i, x in enumerate(a):
@@ -591,18 +662,26 @@ def _same_words(a: list[int], b: list[int]) -> int:
         if y in places:
             same = row & places[y]
             row = ((row + same) | (row - same)) & every
-    return len(a) - row.bit_count()
-
-
-def _extended(a: np.ndarray, b: np.ndarray) -> int:
-    """How far two runs go together: a word in common counts 1, others cost 2, and 6 below the best ends it."""
-    n = min(len(a), len(b))
-    if not n:
-        return 0
-    value = np.cumsum(np.where(a[:n] == b[:n], 1, -2))
-    low = np.flatnonzero(value < np.maximum.accumulate(np.maximum(value, 0)) - 6)
-    value = value[: low[0]] if len(low) else value
-    return int(value.argmax()) + 1 if len(value) and value.max() > 0 else 0
+    return ends + len(a) - row.bit_count()
+
+
+def _extended(a: list[int], b: list[int], i: int, j: int, step: int) -> tuple[int, int]:
+    """(how far two runs go together from words i and j on, words in common there): a word in common counts 1, others cost 2, and 6 below the
+    best ends it."""
+    value = best = far = 0
+    n = min(len(a) - i, len(b) - j) if step > 0 else min(i, j) + 1
+    for k in range(n):
+        if a[i] == b[j]:
+            value += 1
+            if value > best:
+                best, far = value, k + 1
+        else:
+            value -= 2
+            if value < best - 6:
+                break
+        i += step
+        j += step
+    return far, (best + 2 * far) // 3
 
 
 def align(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> list[tuple[int, int, int, int, float]]:
@@ -612,12 +691,18 @@ def align(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> list[
     ends are extended, and the chain is cut where less than half of a gap of over K words agrees.
     """
     out, begin, same = [], 0, 0
-    pieces = []
-    places_a, places_b, words_a, words_b = at.tolist(), to.tolist(), a.tolist(), b.tolist()
+    pieces, gaps = [], []
+    a, b, at, to = a.tolist(), b.tolist(), at.tolist(), to.tolist()
     for i in range(len(at) - 1):
-        gap_a, gap_b = words_a[places_a[i] : places_a[i + 1]], words_b[places_b[i] : places_b[i + 1]]
+        gap_a, gap_b = a[at[i] : at[i + 1]], b[to[i] : to[i + 1]]
+        wide = len(gap_a)
+        if gap_a == gap_b:
+            gaps.append((wide, wide, wide))
+            same += wide
+            continue
         common = _same_words(gap_a, gap_b)
-        wide = max(len(gap_a), len(gap_b))
+        gaps.append((common, wide, len(gap_b)))
+        wide = max(wide, len(gap_b))
         if wide > 2 * K and 2 * common < wide:
             pieces.append((begin, i, same))
             begin, same = i + 1, 0
@@ -625,45 +710,73 @@ def align(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray) -> list[
             same += common
     pieces.append((begin, len(at) - 1, same))
     for first, last, same in pieces:
-        left = _extended(a[: at[first]][::-1], b[: to[first]][::-1])
+        left, same_left = _extended(a, b, at[first] - 1, to[first] - 1, -1)
         end_a, end_b = at[last] + K, to[last] + K
-        right = _extended(a[end_a:], b[end_b:])
-        box = int(at[first] - left), int(end_a + right), int(to[first] - left), int(end_b + right)
-        same += K + int((a[box[0] : at[first]] == b[box[2] : to[first]]).sum()) + int((a[end_a : box[1]] == b[end_b : box[3]]).sum())
-        similarity = same / max(box[1] - box[0], box[3] - box[2])
+        right, same_right = _extended(a, b, end_a, end_b, 1)
+        box = at[first] - left, end_a + right, to[first] - left, end_b + right
+        similarity = (same + K + same_left + same_right) / max(box[1] - box[0], box[3] - box[2])
         if box[1] - box[0] >= LEAST_WORDS and similarity >= SIMILARITY:
             out.append((*box, min(1.0, similarity)))
         elif box[1] - box[0] >= LEAST_WORDS:
-            out += best_parts(a, b, at[first : last + 1], to[first : last + 1], box)
+            ends = (same_left, left, left), (K + same_right, K + right, K + right)
+            if _may_have_parts([ends[0], *gaps[first:last], ends[1]]):
+                out += best_parts(a, b, at[first : last + 1], to[first : last + 1], box)
     return out
 
 
+def _may_have_parts(gaps: list[tuple[int, int, int]]) -> bool:
+    """Whether ``best_parts`` can find a passage, by the words in common and the lengths of the gaps in a row.
+
+    Of the gaps that a passage has in part it takes no more words than they have in common, and each of those adds at most 1 - SIMILARITY to what
+    the passage has in common over SIMILARITY of a side; a gap within it adds what it has over that.
+    """
+    least = SIMILARITY * LEAST_WORDS - 1e-6
+    if any(common >= least for common, _, _ in gaps):
+        return True
+    common, *sides = (np.array(c, np.float64) for c in zip(*gaps))
+    total = np.cumsum(common)
+    ends = np.searchsorted(total, total - common + least)  # first gap with which there are enough words
+    starts = np.flatnonzero(ends < len(gaps))
+    for side in sides:
+        over = np.cumsum(common - SIMILARITY * side)
+        until = over - (common - SIMILARITY * side) + (1 - SIMILARITY) * common  # to the last word of a gap
+        reach = np.maximum.accumulate(until[::-1])[::-1]
+        starts = starts[reach[ends[starts]] >= (over - (1 - SIMILARITY) * common)[starts] - 1e-6]
+    return len(starts) > 0
+
+
 def common_places(first: list[int], second: list[int]) -> list[tuple[int, int]]:
     """Places of the words that the best alignment of two short runs has in common."""
     if first == second:
         return [(i, i) for i in range(len(first))]
-    rows = [[0] * (len(second) + 1)]
-    for x in first:
-        before, row = rows[-1], [0]
-        for j, y in enumerate(second, 1):
-            row.append(before[j - 1] + 1 if x == y else max(row[-1], before[j]))
-        rows.append(row)
     out, i, j = [], len(first), len(second)
+    while i and j and first[i - 1] == second[j - 1]:
+        i, j = i - 1, j - 1
+        out.append((i, j))
+    # The rows of the table of common lengths as in ``_same_words``; a bit is set where going back loses nothing.
+    places: dict[int, int] = {}
+    for k, x in enumerate(first[:i]):
+        places[x] = places.get(x, 0) | 1 << k
+    every = (1 << i) - 1
+    rows = [every]
+    for y in second[:j]:
+        row = rows[-1]
+        same = row & places.get(y, 0)
+        rows.append(((row + same) | (row - same)) & every if same else row)
     while i and j:
-        if first[i - 1] == second[j - 1] and rows[i][j] == rows[i - 1][j - 1] + 1:
+        if first[i - 1] == second[j - 1]:
             i, j = i - 1, j - 1
             out.append((i, j))
-        elif rows[i - 1][j] >= rows[i][j - 1]:
+        elif rows[j] >> (i - 1) & 1:
             i -= 1
         else:
             j -= 1
     return out[::-1]
 
 
-def best_parts(a: np.ndarray, b: np.ndarray, at: np.ndarray, to: np.ndarray, box: tuple[int, int, int, int]) -> list[tuple[int, int, int, int, float]]:
+def best_parts(a: list[int], b: list[int], at: list[int], to: list[int], box: tuple[int, int, int, int]) -> list[tuple[int, int, int, int, float]]:
     """Passages within the box of a chain that as a whole is not alike enough: of the runs between two words in common that are long and
     alike enough the longest one, then the same on both sides of it."""
-    a, b, at, to = a.tolist(), b.tolist(), at.tolist(), to.tolist()
     left = min(at[0] - box[0], to[0] - box[2])
     same = [(at[0] - k, to[0] - k) for k in range(left, 0, -1) if a[at[0] - k] == b[to[0] - k]]
     for i in range(len(at) - 1):

@@ -240,3 +240,116 @@ def test_texts_are_dealt_once(spark):
     assert order == sorted(set(order)) and len(order) == len(rows) + 2
     found = [sorted(map(tuple, passages.passages(docs.repartition(n)).collect()), key=repr) for n in (1, 4)]
     assert found[0] == found[1] and found[0]
+
+
+def plain_places(first, second):
+    rows = [[0] * (len(second) + 1)]
+    for x in first:
+        row = [0]
+        for j, y in enumerate(second, 1):
+            row.append(rows[-1][j - 1] + 1 if x == y else max(row[-1], rows[-1][j]))
+        rows.append(row)
+    out, i, j = [], len(first), len(second)
+    while i and j:
+        if first[i - 1] == second[j - 1]:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif rows[i - 1][j] >= rows[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def reworked(rng, n, alike):
+    """Words, a version of them in which so many of ten stay (others are changed, left out or put in), and the places of equal seeds."""
+    a, b, at, to = [], [], [], []
+    while len(a) < n:
+        at.append(len(a))
+        to.append(len(b))
+        same = rng.integers(0, 60000, passages.K).tolist()
+        a += same
+        b += same
+        for _ in range(int(rng.integers(0, 9))):
+            x = int(rng.integers(0, 60000))
+            kind = rng.random() * 10 if rng.random() * 10 >= alike else 10
+            a += [x] * (kind > 2)
+            b += [x] if kind == 10 else [x ^ 1] if kind > 4 else [x ^ 1, x] if kind <= 2 else []
+    return a, b, at, to
+
+
+def test_places_in_common_are_those_of_the_table():
+    rng = np.random.default_rng(21)
+    for _ in range(300):
+        a, b = (rng.integers(0, 5, rng.integers(0, 70)).tolist() for _ in range(2))
+        if rng.random() < 0.3:
+            b = a[: len(a) // 2] + b + a[len(a) // 2 :]
+        assert passages.common_places(a, b) == plain_places(a, b)
+
+
+def test_chains_that_cannot_hold_a_passage_are_not_searched(monkeypatch):
+    """The search for parts runs only where the gaps leave room for one; elsewhere it would find nothing."""
+    rng = np.random.default_rng(22)
+    search, verdicts = passages.best_parts, []
+    monkeypatch.setattr(passages, "best_parts", lambda *x: [])
+    ask = passages._may_have_parts
+    rows = [reworked(rng, int(rng.integers(60, 400)), alike) for alike in (1, 4, 5, 6, 7, 8) for _ in range(60)]
+    for a, b, at, to in rows:
+        arrays = [np.array(a, np.uint16), np.array(b, np.uint16), np.array(at), np.array(to)]
+        calls = []
+        with monkeypatch.context() as m:
+            m.setattr(passages, "_may_have_parts", lambda gaps, calls=calls: calls.append([ask(gaps)]) or True)
+            m.setattr(passages, "best_parts", lambda *x, calls=calls: calls[-1].append(search(*x)) or calls[-1][1])
+            whole = passages.align(*arrays)
+        with monkeypatch.context() as m:
+            m.setattr(passages, "best_parts", search)
+            assert passages.align(*arrays) == whole
+        assert all(may or not parts for may, parts in calls)
+        verdicts += [(may, bool(parts)) for may, parts in calls]
+    assert {(False, False), (True, True)} <= set(verdicts)
+    changed = np.arange(300, dtype=np.uint16)
+    places = np.arange(0, 300, 10)
+    other = changed.copy()
+    other[(changed % 10 >= 5) & (changed % 10 < 9)] += 1000
+    monkeypatch.setattr(passages, "best_parts", lambda *x: 1 / 0)  # 60 percent alike everywhere: not searched
+    assert passages.align(changed, other, places, places) == []
+
+
+def test_chains_over_too_few_words_are_left_out():
+    rng = np.random.default_rng(23)
+    for n in (1, 7, 60, 200):
+        for spread in (12, 300):
+            at, to = rng.integers(0, spread, n), rng.integers(0, spread, n)
+            whole = passages.chain(at, to)
+            assert passages.chain(at, to, 30) == [c for c in whole if at[c[-1]] + passages.K - at[c[0]] >= 30]
+
+
+def test_orders_by_leading_bits():
+    rng = np.random.default_rng(24)
+    for n in (0, 1, 50, 5000):
+        keys = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        if n:
+            keys[rng.integers(0, n, n // 3)] = keys[0]
+            keys[rng.integers(0, n, n // 3)] = keys[0] ^ rng.integers(0, 4, n // 3).astype(np.uint64)  # differ in the last bits only
+        order, own = passages._order(keys)
+        assert sorted(order.tolist()) == list(range(n)) and (own == np.sort(keys)).all() and (keys[order] == own).all()
+    for low, high in ((-5, 5), (-(1 << 62), 1 << 62)):
+        values = rng.integers(low, high, 700)
+        found, wanted = passages._ranked(values), np.unique(values, return_inverse=True)
+        assert all((f == w).all() for f, w in zip(found, wanted))
+
+
+def test_words_longer_than_the_table_of_hashes():
+    texts = ["q" * n for n in (1, 63, 64, 65, 300)] + ["Q" * 300, "q" * 299 + "r", "a" + " " * 500 + "b"]
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    hashes, _, _, _ = passages.words_of(data, np.array([0, len(data)]))
+    assert len(hashes) == 9 and len(set(hashes.tolist())) == 8 and hashes[4] == hashes[5]
+    for text, value in zip(texts, hashes.tolist()):
+        own = np.frombuffer(text.encode(), np.uint8)
+        whole = passages._byte_hashes(own, np.arange(len(own))).sum(keepdims=True) * passages.phrases.FACTORS[2]
+        assert len(text.split()) > 1 or whole.tolist() == [value]
+
+
+def test_texts_without_a_seed(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, None)], "doc_id long, text string").coalesce(1)
+    assert passages.passages(docs).count() == 0 and passages.cut_passages(docs).count() == 3
